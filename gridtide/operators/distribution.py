@@ -94,6 +94,7 @@ def histogram(
     fixed = F.when((b > 0) & (x < edge(b)), b - 1).when((b < n - 1) & (x >= edge(b + 1)), b + 1).otherwise(b)
     counts = placed.select(*group, fixed.alias(_BIN)).groupBy(*group, _BIN).agg(F.count(F.lit(1)).alias("count"))
     if by:
+        counts = small_copy(counts)
         # a group's empty bins: one row per group, spread over the bins
         frame = counts.select(by).distinct().withColumn(_BIN, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
         full = frame.alias("f").join(
@@ -121,15 +122,18 @@ def kde(
     if by:
         x = x.filter(F.col(by).isNotNull())
     weights = x.groupBy(*group, _X).agg(F.count(F.lit(1)).alias("w"))
-    stats = x.groupBy(*group).agg(
-        F.count(_X).alias("n"), F.stddev_samp(_X).alias("std"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
-    ).filter("std > 0")
-    total = x.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    stats = small_copy(
+        x.groupBy(*group).agg(
+            F.count(_X).alias("n"), F.stddev_samp(_X).alias("std"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
+        )
+    )
+    total = stats.agg(F.sum("n").alias("n")).first()["n"] or 0
+    stats = stats.filter("std > 0")
     stats = stats.withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("g0", F.col("lo") - cut * F.col("h")).withColumn(
         "dx", (F.col("hi") + cut * F.col("h") - F.col("g0")) / (grid - 1)
     )
-    stats = small_copy(stats.select(*group, "h", "g0", "dx"))
+    stats = stats.select(*group, "h", "g0", "dx")
     if by:
         points = weights.join(stats, by)
     else:

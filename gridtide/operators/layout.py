@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from gridtide.spec import SeriesSpec
@@ -181,10 +181,18 @@ def over_series(
     return made.drop(_POS, _BLOCK, _HOME, *names.values())
 
 
-def small_copy(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """A table of at most ``limit`` rows as a local relation of known size, which the optimizer may broadcast.
-
-    A larger table comes back unchanged, and joins with it shuffle.
-    """
+def collect_small(df: DataFrame, limit: int = 100_000) -> list[Row] | None:
+    """The rows of a table of at most ``limit`` rows, else None."""
     rows = df.limit(limit + 1).collect()
-    return df if len(rows) > limit else df.sparkSession.createDataFrame(rows, df.schema)
+    return rows if len(rows) <= limit else None
+
+
+def as_local(df: DataFrame, rows: list[Row]) -> DataFrame:
+    """Collected rows of ``df`` as a local relation: its size is known, so the optimizer may broadcast it."""
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def small_copy(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A table of at most ``limit`` rows as a local relation; a larger one unchanged, so that joins with it shuffle."""
+    rows = collect_small(df, limit)
+    return df if rows is None else as_local(df, rows)

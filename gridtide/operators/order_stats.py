@@ -1,23 +1,26 @@
 """Exact order statistics without sorting a column and without holding its values in one task.
 
-A position is narrowed down in three counting passes: by order of magnitude, by place inside the chosen magnitude,
-and by value inside the chosen place. Each pass is a map-side combined count with a bounded number of
-buckets, so a heavy key or a heavy value costs no more than any other.
+A position is narrowed down in up to three counting passes: by order of magnitude, by place inside the chosen
+magnitude, and by value inside the chosen place. Each pass is a map-side combined count with a bounded number
+of buckets, so a heavy group or a heavy value costs no more than any other. The last passes are left out once the
+chosen buckets hold a single value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtide.operators.layout import small_copy
+from gridtide.operators.layout import as_local, collect_small
 
 #: buckets per unit of ln|x| in the first pass (0.1 % wide), and buckets per first-pass bucket in the second
 _PER_E, _PER_BUCKET = 1024, 1 << 21
 
 _V, _B1, _B2, _LO, _HI, _N, _AT = "_gt_v", "_gt_b1", "_gt_b2", "_gt_lo", "_gt_hi", "_gt_n", "_gt_at"
+_WANTED, _ALL = "_gt_wanted", "_gt_all"
 
 
 def _magnitude(v: Column) -> Column:
@@ -27,48 +30,66 @@ def _magnitude(v: Column) -> Column:
 
 
 def _place(v: Column, lo: Column, hi: Column) -> Column:
-    return F.when(lo == hi, F.lit(0).cast("bigint")).otherwise(F.floor((v - lo) / (hi - lo) * _PER_BUCKET))
+    return F.floor((v - lo) / (hi - lo) * _PER_BUCKET)
 
 
-def _pick(counts: DataFrame, within: Sequence[str], bucket: str, wanted: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The bucket each wanted position falls in; ``position`` becomes relative to that bucket."""
+def _counts(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias(_N), F.min(_V).alias(_LO), F.max(_V).alias(_HI))
+
+
+def _pick(counts: DataFrame, within: Sequence[str], bucket: str) -> DataFrame:
+    """Buckets that hold a wanted position; positions become relative to their bucket."""
     w = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn(_AT, F.sum(_N).over(w))
-    hit = counts.join(wanted, list(within)).filter(
-        (F.col("position") < F.col(_AT)) & (F.col("position") >= F.col(_AT) - F.col(_N))
+    before = F.col(_AT) - F.col(_N)
+    here = F.filter(_WANTED, lambda t: (t["position"] >= before) & (t["position"] < F.col(_AT)))
+    moved = F.transform(
+        here, lambda t: F.struct(t["target"], (t["position"] - before).alias("position"), t["n"])
     )
-    return hit.withColumn("position", F.col("position") - (F.col(_AT) - F.col(_N))).drop(_AT, *keep)
+    return counts.withColumn(_AT, F.sum(_N).over(w)).withColumn(_WANTED, moved).filter(F.size(_WANTED) > 0).drop(_AT, _N)
 
 
-def values_at(rows: DataFrame, group: Sequence[str], value: str, wanted: DataFrame) -> DataFrame:
+def values_at(
+    rows: DataFrame, group: Sequence[str], value: str, positions: Sequence[Callable[[Column], Column]]
+) -> DataFrame:
     """Value at zero-based positions of the ascending order of ``value``, per group.
 
-    ``rows``: (group…, value DOUBLE); nulls and NaN are ignored. ``wanted``: (group…, position BIGINT, and any labels).
-    Returns the labels, the group and ``value``. ``group`` must name at least one column.
+    ``rows``: (group…, value DOUBLE); nulls and NaN are ignored. A position is a function of the group's row count.
+    Returns (group…, ``target``, ``value``, ``offset``, ``n``): the number of the position in the list, its value, how many
+    equal values come before it, and the group's row count. A position outside the group gives no row. ``group`` must name
+    at least one column, without nulls.
     """
     group = list(group)
-    labels = [c for c in wanted.columns if c not in group and c != "position"]
     rows = rows.select(*group, F.col(value).alias(_V)).filter(F.col(_V).isNotNull() & ~F.isnan(_V))
-    spread = [F.count(F.lit(1)).alias(_N), F.min(_V).alias(_LO), F.max(_V).alias(_HI)]
-
     rows1 = rows.withColumn(_B1, _magnitude(F.col(_V)))
-    counts1 = rows1.groupBy(*group, _B1).agg(*spread)
-    pick1 = small_copy(_pick(counts1, group, _B1, wanted, [_N]))
-
-    where1 = [*group, _B1]
-    inside1 = rows1.join(pick1.select(*where1, _LO, _HI).distinct(), where1)
-    rows2 = inside1.withColumn(_B2, _place(F.col(_V), F.col(_LO), F.col(_HI))).drop(_LO, _HI)
-    counts2 = rows2.groupBy(*where1, _B2).agg(*spread)
-    pick2 = small_copy(_pick(counts2, where1, _B2, pick1.drop(_LO, _HI), [_N]))
-
-    where2 = [*where1, _B2]
-    done = pick2.filter(F.col(_LO) == F.col(_HI))
-    todo = pick2.filter(F.col(_LO) < F.col(_HI)).drop(_LO, _HI)
-    counts3 = rows2.join(todo.select(*where2).distinct(), where2).groupBy(*where2, _V).agg(F.count(F.lit(1)).alias(_N))
-    pick3 = _pick(counts3, where2, _V, todo, [_N])
-    return done.select(*group, *labels, F.col(_LO).alias("value")).unionByName(
-        pick3.select(*group, *labels, F.col(_V).alias("value"))
+    counts1 = _counts(rows1, [*group, _B1]).withColumn(_ALL, F.sum(_N).over(Window.partitionBy(*group)))
+    n = F.col(_ALL)
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("target"), p(n).cast("bigint").alias("position"), n.alias("n"))
+            for i, p in enumerate(positions)
+        ]
     )
+    levels = [(rows1, [*group, _B1], _pick(counts1.withColumn(_WANTED, wanted).drop(_ALL), group, _B1))]
+    found = []
+    while True:
+        inside, where, picked = levels[-1]
+        local = collect_small(picked)
+        picked = picked if local is None else as_local(picked, local)
+        answers = picked.filter(F.col(_LO) == F.col(_HI)).select(*group, F.col(_LO).alias("value"), F.explode(_WANTED).alias("t"))
+        found.append(answers.select(*group, "t.target", "value", F.col("t.position").alias("offset"), "t.n"))
+        if local is not None and all(r[_LO] == r[_HI] for r in local):
+            break
+        open_ = picked.filter(F.col(_LO) < F.col(_HI))
+        if len(levels) == 1:
+            rows2 = inside.join(open_.select(*where, _LO, _HI), where)
+            rows2 = rows2.withColumn(_B2, _place(F.col(_V), F.col(_LO), F.col(_HI))).drop(_LO, _HI)
+            bucket = _B2
+        else:
+            # few enough places are left to count each value
+            rows2, bucket = inside.join(open_.select(*where), where).withColumn(_B2 + "v", F.col(_V)), _B2 + "v"
+        counts = _counts(rows2, [*where, bucket]).join(open_.select(*where, _WANTED), where)
+        levels.append((rows2, [*where, bucket], _pick(counts, where, bucket)))
+    return reduce(DataFrame.unionByName, found)
 
 
 def known_number(c: Column | str) -> Column:
@@ -77,26 +98,41 @@ def known_number(c: Column | str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def quantiles_wide(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact quantiles with linear interpolation: (by…, ``column``, ``q0``, ``q1`` …), nulls ignored.
+
+    A column (of a group) without values has no row.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), known_number(c).alias(_V)) for c in cols])
+    # null groups are groups: a flag beside the value keeps them apart in joins
+    flags = [F.col(c).isNull().alias(f"_gt_null_{i}") for i, c in enumerate(by)]
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_gt_key_{i}") for i, c in enumerate(by)]
+    rows = df.select(*keys, *flags, F.inline(pairs))
+    group = [c for c in rows.columns if c != _V]
+
+    def end(p: float, up: bool) -> Callable[[Column], Column]:
+        return lambda n: (F.ceil if up else F.floor)(F.lit(float(p)) * (n - 1))
+
+    found = values_at(rows, group, _V, [end(p, up) for p in probs for up in (False, True)])
+    at = [F.max(F.when(F.col("target") == i, F.col("value"))).alias(f"v{i}") for i in range(2 * len(probs))]
+    wide = found.groupBy(*group, "n").agg(*at)
+    out = []
+    for i, p in enumerate(probs):
+        lo, hi, place = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}"), F.lit(float(p)) * (F.col("n") - 1)
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (place - F.floor(place))).alias(f"q{i}"))
+    back = [
+        F.when(~F.col(f"_gt_null_{i}"), F.col(f"_gt_key_{i}")).cast(df.schema[c].dataType).alias(c)
+        for i, c in enumerate(by)
+    ]
+    return wide.select(*back, "column", *out)
+
+
 def quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: (by…, ``column``, ``prob``, ``value``), nulls ignored."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), known_number(c).alias(_V)) for c in cols]))
-    rows = df.select(*by, pairs.alias("_gt_pair")).select(*by, "_gt_pair.column", f"_gt_pair.{_V}")
-    group = [*by, "column"]
-    sizes = rows.groupBy(*group).agg(F.count(_V).alias("n")).filter("n > 0")
-    at = F.col("prob") * (F.col("n") - 1)
-    ends = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    ends = ends.withColumn("weight", at - F.floor(at)).withColumn(
-        "end", F.explode(F.array(F.struct(F.lit("lo").alias("side"), F.floor(at).alias("position")),
-                                 F.struct(F.lit("hi").alias("side"), F.ceil(at).alias("position"))))
-    )
-    wanted = small_copy(ends.select(*group, "prob", "weight", "end.side", "end.position"))
-    found = values_at(rows, group, _V, wanted)
-    lo, hi = (F.max(F.when(F.col("side") == s, F.col("value"))) for s in ("lo", "hi"))
-    return (
-        found.groupBy(*group, "prob", "weight")
-        .agg(lo.alias("lo"), hi.alias("hi"))
-        .select(*group, "prob", F.when(F.col("lo") == F.col("hi"), F.col("lo"))
-                .otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("weight")).alias("value"))
-    )
+    """As :func:`quantiles_wide`, one row per quantile: (by…, ``column``, ``prob``, ``value``)."""
+    wide = quantiles_wide(df, cols, probs, by)
+    items = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probs)])
+    return wide.select(*by, "column", F.inline(items))

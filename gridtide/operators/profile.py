@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtide.operators.columns import numeric_columns
 from gridtide.operators.layout import known_keys
-from gridtide.operators.order_stats import known_number, quantiles
+from gridtide.operators.order_stats import known_number, quantiles_wide
 from gridtide.spec import SeriesSpec
 
 
@@ -105,16 +105,12 @@ def describe_columns(
     ]
     moments = wide.select(*by, F.inline(F.array(*items)))
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-    q = quantiles(df, cols, list(names), by)
-    quartiles = q.groupBy(*by, "column").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in names.items()]
-    )
+    quartiles = quantiles_wide(df, cols, list(names), by)
     # null-safe on the group: a null group is a group here
     on = [moments[c].eqNullSafe(quartiles[c]) for c in [*by, "column"]]
     joined = moments.join(quartiles, on, "left")
-    return joined.select(
-        *[moments[c] for c in by], moments["column"], *parts[:4], *names.values(), "max"
-    )
+    quartile = [F.col(f"q{i}").alias(name) for i, name in enumerate(names.values())]
+    return joined.select(*[moments[c] for c in by], moments["column"], *parts[:4], *quartile, "max")
 
 
 def split_fractions(df: DataFrame, split: str = "split") -> DataFrame:

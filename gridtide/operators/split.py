@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
@@ -12,7 +13,9 @@ from gridtide.operators.columns import _instant
 from gridtide.operators.order_stats import values_at
 from gridtide.spec import SeriesSpec
 
-_ALL, _M, _DIGEST = "_gt_all", "_gt_micros", "_gt_digest"
+_ALL, _M, _DIGEST = "_gt_group", "_gt_micros", "_gt_digest"
+#: stands for a null time, which sorts last
+_AFTER_ALL = F.expr("timestamp_ntz'2200-01-01 00:00:00'")
 
 
 def time_split(df: DataFrame, spec: SeriesSpec, cutoff) -> DataFrame:
@@ -32,10 +35,10 @@ def check_split(df: DataFrame, split: str = "split") -> DataFrame:
     return counts.withColumn("complete", F.col("n_rows") == F.col("n_train") + F.col("n_test"))
 
 
-def _micros_at(df: DataFrame, time: str, positions: DataFrame) -> DataFrame:
-    """(label…, ``value``): microseconds of the rows at given positions in time order."""
+def _micros_at(df: DataFrame, time: str, positions: Sequence[Callable[[Column], Column]]) -> DataFrame:
+    """(``target``, ``value``, ``offset``): time, in microseconds, of the rows at given positions in time order."""
     rows = df.select(F.lit(0).alias(_ALL), micros(time).cast("double").alias(_M))
-    return values_at(rows, [_ALL], _M, positions.withColumn(_ALL, F.lit(0)))
+    return values_at(rows, [_ALL], _M, positions)
 
 
 def _from_micros(m):
@@ -47,13 +50,12 @@ def cutoff_at_fraction(df: DataFrame, spec: SeriesSpec, fraction: float = 0.80)
 
     Found by counting (see ``order_stats``); no row is sorted.
     """
-    n = df.count()
-    at = int(n * fraction)
-    if n == 0 or at >= n:
-        raise ValueError(f"no row at position {at} of {n}")
-    positions = df.sparkSession.createDataFrame([(at,)], "position bigint")
-    found = _micros_at(df, spec.time, positions)
-    return found.select(_from_micros(F.col("value")).alias("cutoff"))
+    if not 0 <= fraction < 1:
+        raise ValueError(f"fraction must be in [0, 1): {fraction}")
+    timed = df.select(F.coalesce(spec.time, _AFTER_ALL).alias(spec.time))
+    found = _micros_at(timed, spec.time, [lambda n: F.floor(n * F.lit(float(fraction)))])
+    cutoff = _from_micros(F.col("value"))
+    return found.select(F.when(cutoff < _AFTER_ALL, cutoff).alias("cutoff"))
 
 
 def _digest(cols: Sequence[str]):
@@ -77,40 +79,37 @@ def expanding_folds(
         raise ValueError(f"unknown by: {by!r}")
     ties = list(ties if ties is not None else spec.keys)
     timed = df.filter(F.col(spec.time).isNotNull())
-    n = timed.count()
-    m = n // (k + 1)
-    if m == 0:
-        raise ValueError(f"{n} rows are too few for {k} folds")
-    starts = [(i, n - (k + 1 - i) * m) for i in range(1, k + 1)]
-    positions = df.sparkSession.createDataFrame(starts, "fold int, position bigint")
-    at_time = {r["fold"]: int(r["value"]) for r in _micros_at(timed, spec.time, positions).collect()}
+
+    def start(i: int) -> Callable[[Column], Column]:
+        return lambda n: n - (k + 1 - i) * F.call_function("div", n, F.lit(k + 1))
+
+    # a position of n (no row) means that there are fewer than k + 1 rows
+    bound = {r["target"] + 1: r for r in _micros_at(timed, spec.time, [start(i) for i in range(1, k + 1)]).collect()}
+    if len(bound) < k:
+        raise ValueError(f"too few rows for {k} folds")
+    at_time = {i: int(r["value"]) for i, r in bound.items()}
 
     t, digest = micros(spec.time), _digest(ties)
     if by == "time":
-        bounds = [t >= at_time[i] for i, _ in starts]
+        bounds = [t >= m for m in at_time.values()]
     else:
-        first = _boundary_digests(timed, spec, ties, at_time, dict(starts))
-        bounds = [(t > at_time[i]) | ((t == at_time[i]) & (digest >= F.lit(first[i]))) for i, _ in starts]
+        first = _boundary_digests(timed, spec, ties, {i: (at_time[i], r["offset"]) for i, r in bound.items()})
+        bounds = [(t > m) | ((t == m) & (digest >= F.lit(first[i]))) for i, m in at_time.items()]
     block = sum((F.when(b, 1).otherwise(0) for b in bounds), F.lit(0))
     return df.withColumn("block", F.when(F.col(spec.time).isNotNull(), block))
 
 
-def _boundary_digests(df: DataFrame, spec: SeriesSpec, ties, at_time, starts) -> dict[int, str]:
-    """Digest of each boundary row, among the rows that share its time."""
-    times = sorted(set(at_time.values()))
-    # rows before each boundary time
-    t = micros(spec.time)
-    before = df.agg(*[F.count_if(t < m).alias(f"n{j}") for j, m in enumerate(times)]).first()
-    rank = {m: before[f"n{j}"] for j, m in enumerate(times)}
-    wanted = df.sparkSession.createDataFrame(
-        [(i, at_time[i], starts[i] - rank[at_time[i]]) for i in starts], f"fold int, {_M} bigint, position bigint"
-    )
+def _boundary_digests(df: DataFrame, spec: SeriesSpec, ties: Sequence[str], bound: dict[int, tuple[int, int]]) -> dict[int, str]:
+    """Digest of each boundary row, given its time and its place among the rows that share this time."""
+    times = sorted({m for m, _ in bound.values()})
+    tied = df.filter(F.col(spec.time).isin([_instant_of(m) for m in times]))
+    tied = tied.select(micros(spec.time).alias(_M), _digest(ties).alias(_DIGEST))
     # two levels: count by the first digits of the digest, then order the rows of the one prefix that is hit
-    tied = df.select(t.alias(_M), _digest(ties).alias(_DIGEST)).filter(F.col(_M).isin(times))
     tied = tied.withColumn("prefix", F.substring(_DIGEST, 1, 4))
     w = Window.partitionBy(_M).orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = tied.groupBy(_M, "prefix").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(w))
-    hit = counts.join(wanted, _M).filter("position < upto and position >= upto - n")
+    wanted = df.sparkSession.createDataFrame([(i, m, at) for i, (m, at) in bound.items()], f"fold int, {_M} bigint, position bigint")
+    hit = counts.join(wanted, _M).filter("position < upto AND position >= upto - n")
     hit = [(r["fold"], r[_M], r["prefix"], r["position"] - (r["upto"] - r["n"])) for r in hit.collect()]
     hits = df.sparkSession.createDataFrame(hit, f"fold int, {_M} bigint, prefix string, place bigint")
     inside = tied.join(hits.select(_M, "prefix").distinct(), [_M, "prefix"])
@@ -118,3 +117,7 @@ def _boundary_digests(df: DataFrame, spec: SeriesSpec, ties, at_time, starts) ->
     inside = inside.withColumn("place", F.row_number().over(w).cast("bigint") - 1)
     found = inside.join(hits, [_M, "prefix", "place"])
     return {r["fold"]: r[_DIGEST] for r in found.select("fold", _DIGEST).collect()}
+
+
+def _instant_of(m: int) -> datetime:
+    return datetime(1970, 1, 1) + timedelta(microseconds=m)

@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridtide.sources.readers import exists, read_lookup_json, read_observations
 
@@ -79,7 +78,7 @@ def land_raw(
 
 
 def _csv_names(spark: SparkSession, src: str) -> list[str]:
-    """File names in one directory, without ``.csv``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(src)
-    name = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
-    return [r["name"] for r in files.select(name.alias("name")).distinct().collect()]
+    """Names in one directory that end in ``.csv``, without it. A name may be a file or a directory of part files."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/*.csv")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [f.getPath().getName().removesuffix(".csv") for f in found or ()]
