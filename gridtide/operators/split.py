@@ -14,8 +14,8 @@ from gridtide.operators.order_stats import values_at
 from gridtide.spec import SeriesSpec
 
 _ALL, _M, _DIGEST = "_gt_group", "_gt_micros", "_gt_digest"
-#: stands for a null time, which sorts last
-_AFTER_ALL = F.expr("timestamp_ntz'2200-01-01 00:00:00'")
+#: a null time sorts last
+_NEVER = float("inf")
 
 
 def time_split(df: DataFrame, spec: SeriesSpec, cutoff) -> DataFrame:
@@ -37,7 +37,8 @@ def check_split(df: DataFrame, split: str = "split") -> DataFrame:
 
 def _micros_at(df: DataFrame, time: str, positions: Sequence[Callable[[Column], Column]]) -> DataFrame:
     """(``target``, ``value``, ``offset``): time, in microseconds, of the rows at given positions in time order."""
-    rows = df.select(F.lit(0).alias(_ALL), micros(time).cast("double").alias(_M))
+    at = F.coalesce(micros(time).cast("double"), F.lit(_NEVER))
+    rows = df.select(F.lit(0).alias(_ALL), at.alias(_M))
     return values_at(rows, [_ALL], _M, positions)
 
 
@@ -52,10 +53,8 @@ def cutoff_at_fraction(df: DataFrame, spec: SeriesSpec, fraction: float = 0.80)
     """
     if not 0 <= fraction < 1:
         raise ValueError(f"fraction must be in [0, 1): {fraction}")
-    timed = df.select(F.coalesce(spec.time, _AFTER_ALL).alias(spec.time))
-    found = _micros_at(timed, spec.time, [lambda n: F.floor(n * F.lit(float(fraction)))])
-    cutoff = _from_micros(F.col("value"))
-    return found.select(F.when(cutoff < _AFTER_ALL, cutoff).alias("cutoff"))
+    found = _micros_at(df, spec.time, [lambda n: F.floor(n * F.lit(float(fraction)))])
+    return found.select(F.when(F.col("value") < _NEVER, _from_micros(F.col("value"))).alias("cutoff"))
 
 
 def _digest(cols: Sequence[str]):
