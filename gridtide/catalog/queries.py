@@ -732,7 +732,7 @@ def fit_and_predict(spark, d):
 @query
 def backtest(spark, d):
     folds = splits.expanding_folds(_monthly_features(spark, d), MONTHLY, 3)
-    return _rounded(bt.backtest(folds, regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3))
+    return _rounded(bt.backtest(folds, regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3, MODEL_COLUMNS))
 
 
 def _sweep(spark, d, n=2):

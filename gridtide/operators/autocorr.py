@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from gridtide.operators.layout import known_keys, over_series, series_stats, settle
 from gridtide.spec import SeriesSpec
 
-_SUM, _N, _ROWS, _X = "_gt_sum", "_gt_n", "_gt_rows", "_gt_x"
+_SUM, _N, _ROWS, _X, _NEAR = "_gt_sum", "_gt_n", "_gt_rows", "_gt_x", "_gt_near"
 
 
 def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -> DataFrame:
@@ -29,22 +29,27 @@ def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -
     # a series with a null has no autocorrelation
     rows = rows.withColumn(_X, F.when(F.col(_N) == F.col("_gt_all"), F.col(spec.target) - F.col(_SUM) / F.col(_N)))
     rows = rows.select(*spec.keys, spec.time, _X)
-    names = [f"_gt_lag{k}" for k in range(1, nlags + 1)]
-    lagged = over_series(
-        rows, spec, nlags, lambda w, _: {name: F.lag(_X, k).over(w) for k, name in enumerate(names, 1)}
+    # each row meets itself and its predecessors; the products are summed per lag before anything is shuffled
+    near = over_series(
+        rows, spec, nlags, lambda w, _: {_NEAR: F.collect_list(_X).over(w.rowsBetween(-nlags, Window.currentRow))}
     )
-    sums = [F.sum(F.col(_X) * F.col(c)).alias(c) for c in [_X, *names]]
-    per_series = lagged.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+    pairs = near.select(*spec.keys, _X, F.posexplode_outer(F.reverse(_NEAR)).alias("lag", "past"))
+    sums = pairs.groupBy(*spec.keys, "lag").agg(F.sum(F.col(_X) * F.col("past")).alias("s"), F.count(F.lit(1)).alias("n"))
+    # a series with nulls has no pairs, hence no lag
+    by_lag = F.map_from_entries(F.collect_list(F.when(F.col("lag").isNotNull(), F.struct("lag", "s"))))
+    per_series = sums.groupBy(*spec.keys).agg(F.max("n").alias("n"), by_lag.alias("s"))
     n = F.col("n")
-    variance = F.nullif(F.col(_X), F.lit(0.0)) / n
-    # a lag as long as the series has no product to sum: zero
-    terms = [
-        (F.coalesce(F.col(c), F.when(F.col(_X).isNotNull(), F.lit(0.0))) / (F.nullif(F.greatest(n - k, F.lit(0)), F.lit(0)) if adjusted else n))
-        / variance
-        for k, c in enumerate(names, 1)
-    ]
-    one = F.when(variance.isNotNull(), F.lit(1.0))
-    return per_series.select(*spec.keys, "n", F.array(one, *terms).alias("acf"))
+    variance = F.nullif(F.element_at("s", F.lit(0)), F.lit(0.0)) / n
+
+    def correlation(k):
+        terms = F.nullif(F.greatest(n - k, F.lit(0)), F.lit(0)) if adjusted else n
+        # a lag as long as the series has no product to sum: zero
+        return F.when(k == 0, F.when(variance.isNotNull(), F.lit(1.0))).otherwise(
+            F.coalesce(F.element_at("s", k), F.lit(0.0)) / terms / variance
+        )
+
+    lags = F.sequence(F.lit(0), F.lit(nlags))
+    return per_series.select(*spec.keys, "n", F.transform(lags, correlation).alias("acf"))
 
 
 def acf(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool = False) -> DataFrame:

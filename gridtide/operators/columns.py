@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.operators.layout import small_copy
+from gridtide.operators.layout import local_table, small_copy
 
 
 def target_first(df: DataFrame, target: str) -> DataFrame:
@@ -64,7 +64,7 @@ def _key_table(df: DataFrame, ids: DataFrame | Iterable, key: str) -> DataFrame:
     if isinstance(ids, DataFrame):
         return ids
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-    return df.sparkSession.createDataFrame([(i,) for i in ids], schema)
+    return local_table(df.sparkSession, {key: ids}, schema)
 
 
 def keep_series(df: DataFrame, ids: DataFrame | Iterable, key: str | Sequence[str]) -> DataFrame:

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.spec import SeriesSpec
 
@@ -181,13 +183,13 @@ def over_series(
     return made.drop(_POS, _BLOCK, _HOME, *names.values())
 
 
-def collect_small(df: DataFrame, limit: int = 100_000) -> list[Row] | None:
+def collect_small(df: DataFrame, limit: int = 100_000) -> pa.Table | None:
     """The rows of a table of at most ``limit`` rows, else None."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+    rows = df.limit(limit + 1).toArrow()
+    return rows if rows.num_rows <= limit else None
 
 
-def as_local(df: DataFrame, rows: list[Row]) -> DataFrame:
+def as_local(df: DataFrame, rows: pa.Table) -> DataFrame:
     """Collected rows of ``df`` as a local relation: its size is known, so the optimizer may broadcast it."""
     return df.sparkSession.createDataFrame(rows, df.schema)
 
@@ -196,3 +198,8 @@ def small_copy(df: DataFrame, limit: int = 100_000) -> DataFrame:
     """A table of at most ``limit`` rows as a local relation; a larger one unchanged, so that joins with it shuffle."""
     rows = collect_small(df, limit)
     return df if rows is None else as_local(df, rows)
+
+
+def local_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few values as a local relation (a list of rows would become an RDD of unknown size)."""
+    return spark.createDataFrame(pa.table({c: list(v) for c, v in columns.items()}), schema)

@@ -77,7 +77,7 @@ def values_at(
         picked = picked if local is None else as_local(picked, local)
         answers = picked.filter(F.col(_LO) == F.col(_HI)).select(*group, F.col(_LO).alias("value"), F.explode(_WANTED).alias("t"))
         found.append(answers.select(*group, "t.target", "value", F.col("t.position").alias("offset"), "t.n"))
-        if local is not None and all(r[_LO] == r[_HI] for r in local):
+        if local is not None and local.column(_LO).equals(local.column(_HI)):
             break
         open_ = picked.filter(F.col(_LO) < F.col(_HI))
         if len(levels) == 1:

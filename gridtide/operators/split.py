@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
 from gridtide.operators.columns import _instant
+from gridtide.operators.layout import local_table, small_copy
 from gridtide.operators.order_stats import values_at
 from gridtide.spec import SeriesSpec
 
@@ -107,10 +108,11 @@ def _boundary_digests(df: DataFrame, spec: SeriesSpec, ties: Sequence[str], boun
     tied = tied.withColumn("prefix", F.substring(_DIGEST, 1, 4))
     w = Window.partitionBy(_M).orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = tied.groupBy(_M, "prefix").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(w))
-    wanted = df.sparkSession.createDataFrame([(i, m, at) for i, (m, at) in bound.items()], f"fold int, {_M} bigint, position bigint")
+    spark = df.sparkSession
+    folds, m, at = zip(*[(i, m, at) for i, (m, at) in bound.items()], strict=True)
+    wanted = local_table(spark, {"fold": folds, _M: m, "position": at}, f"fold int, {_M} bigint, position bigint")
     hit = counts.join(wanted, _M).filter("position < upto AND position >= upto - n")
-    hit = [(r["fold"], r[_M], r["prefix"], r["position"] - (r["upto"] - r["n"])) for r in hit.collect()]
-    hits = df.sparkSession.createDataFrame(hit, f"fold int, {_M} bigint, prefix string, place bigint")
+    hits = small_copy(hit.select("fold", _M, "prefix", (F.col("position") - F.col("upto") + F.col("n")).alias("place")))
     inside = tied.join(hits.select(_M, "prefix").distinct(), [_M, "prefix"])
     w = Window.partitionBy(_M, "prefix").orderBy(_DIGEST)
     inside = inside.withColumn("place", F.row_number().over(w).cast("bigint") - 1)

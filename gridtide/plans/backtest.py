@@ -30,14 +30,21 @@ SPACE = (
 )
 
 
-def fold_errors(df: DataFrame, estimator: Estimator, label: str, k: int) -> list[float]:
-    """MAE of each expanding fold of a table with a ``block`` column (see ``expanding_folds``)."""
-    errors = []
-    for i in range(1, k + 1):
-        model = estimator.fit(df.filter(F.col("block") < i))
-        scored = model.transform(df.filter(F.col("block") == i))
-        errors.append(mae(scored, label, "prediction").first()["mae"])
-    return errors
+def fold_error(df: DataFrame, estimator: Estimator, label: str, fold: int) -> float:
+    """MAE on ``block = fold`` of a model fitted on all earlier blocks (see ``expanding_folds``)."""
+    model = estimator.fit(df.filter(F.col("block") < fold))
+    return mae(model.transform(df.filter(F.col("block") == fold)), label, "prediction").first()["mae"]
+
+
+def _fold_errors(
+    df: DataFrame, estimators: Sequence[Estimator], label: str, k: int, parallel: int
+) -> list[list[float]]:
+    """Errors per estimator and fold. Fits run side by side: a fit is many short jobs, which leave the cluster idle alone."""
+    jobs = [(e, fold) for e in estimators for fold in range(1, k + 1)]
+    run = inheritable_thread_target(df.sparkSession)(lambda job: fold_error(df, job[0], label, job[1]))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(jobs)))) as pool:
+        errors = list(pool.map(run, jobs))
+    return [errors[i * k : (i + 1) * k] for i in range(len(estimators))]
 
 
 def _mean(errors: Sequence[float]) -> float:
@@ -50,11 +57,33 @@ def _std(errors: Sequence[float]) -> float:
     return math.sqrt(sum((e - m) ** 2 for e in errors) / len(errors))
 
 
-def backtest(df: DataFrame, estimator: Estimator, label: str, k: int = 5) -> DataFrame:
-    """One row per fold (``fold``, ``mae``) with the mean and population std of all folds beside it."""
-    errors = fold_errors(df, estimator, label, k)
-    rows = [(i, e, _mean(errors), _std(errors)) for i, e in enumerate(errors, 1)]
-    return df.sparkSession.createDataFrame(rows, "fold INT, mae DOUBLE, cv_mean DOUBLE, cv_std DOUBLE")
+def _cached(df: DataFrame, label: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """The rows that belong to a fold, computed once for all fits. Lost parts are recomputed, or read again from disk."""
+    cols = [c for c in (cols if cols is not None else df.columns) if c not in (label, "block")]
+    rows = df.select(*cols, F.col(label).cast("double").alias(label), "block")
+    rows = rows.filter(F.col(label).isNotNull() & F.col("block").isNotNull())
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def backtest(
+    df: DataFrame,
+    estimator: Estimator,
+    label: str,
+    k: int = 5,
+    features: Sequence[str] | None = None,
+    parallel: int = 4,
+) -> DataFrame:
+    """One row per fold (``fold``, ``mae``) with the mean and population std of all folds beside it.
+
+    Name the ``features`` to cache these columns only.
+    """
+    rows = _cached(df, label, features)
+    try:
+        errors = _fold_errors(rows, [estimator], label, k, parallel)[0]
+    finally:
+        rows.unpersist()
+    out = [(i, e, _mean(errors), _std(errors)) for i, e in enumerate(errors, 1)]
+    return df.sparkSession.createDataFrame(out, "fold INT, mae DOUBLE, cv_mean DOUBLE, cv_std DOUBLE")
 
 
 def sample_params(space: Sequence[Mapping], n: int, seed: int = 0, first: int = 0) -> list[dict[str, float]]:
@@ -89,29 +118,26 @@ def sweep(
 ) -> DataFrame:
     """Random search over the folds of ``df`` (with ``block``); one row per trial.
 
-    Only the feature, label and block columns are cached, once for all fits; trials run side by side and share the cluster. With
+    Only the feature, label and block columns are cached, once for all fits; trials and folds run side by side. With
     ``path`` the trials are appended to that table and numbering goes on from the study's earlier trials.
     """
     spark = df.sparkSession
     first = trials_table(spark, path, study).count() if path and exists(spark, path) else 0
     draws = sample_params(space, n_trials, seed, first)
     make = estimator_fn or (lambda params: regressor(features, label, params, seed))
-    rows = df.select(*features, F.col(label).cast("double").alias(label), "block")
-    rows = rows.filter(F.col(label).isNotNull() & F.col("block").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def trial(number: int, params: Mapping[str, float]):
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore", UserWarning)
-            estimator = make(params)
-        errors = fold_errors(rows, estimator, label, k)
-        return (number, _mean(errors), {p: float(v) for p, v in params.items()}, errors, _std(errors), study)
+    rows = _cached(df, label, features)
 
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        estimators = [make(params) for params in draws]
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_trials))) as pool:
-            jobs = [pool.submit(inheritable_thread_target(trial), first + i, p) for i, p in enumerate(draws)]
-            done = [j.result() for j in jobs]
+        errors = _fold_errors(rows, estimators, label, k, parallel)
     finally:
         rows.unpersist()
+    done = [
+        (first + i, _mean(e), {p: float(v) for p, v in params.items()}, e, _std(e), study)
+        for i, (params, e) in enumerate(zip(draws, errors, strict=True))
+    ]
     trials = spark.createDataFrame(done, TRIALS)
     if path:
         trials.coalesce(1).write.mode("append").partitionBy("study").parquet(path)
