@@ -86,6 +86,13 @@ def _monthly_features(spark, d):
     return made.withColumn("month_of_year", F.month("month"))
 
 
+def _monthly_stage(spark, d):
+    """The monthly features as a written table: folds, fits and scores all read it."""
+    at = scratch(spark, "features")
+    writers.write_table(_monthly_features(spark, d), at)
+    return readers.read_table(spark, at)
+
+
 # --- series ---------------------------------------------------------------------------------------------------------
 
 
@@ -215,9 +222,10 @@ def preprocess_stage_frame_fill(spark, d):
 
 @query
 def feature_stage(spark, d):
-    rows = preprocess(_observations(spark, d), _OBS, "2000-01-01 00:00:00", flag="is_returned")
-    known = rows.filter("target IS NOT NULL")
-    return _rounded(feature_table(known, _OBS, FeatureSpec((1, 3), (1,), (2,), True, ("month",)), drop=["row_id"]))
+    raw = _observations(spark, d)
+    spec = settle(raw, _OBS)
+    known = preprocess(raw, spec, "2000-01-01 00:00:00", flag="is_returned").filter("target IS NOT NULL")
+    return _rounded(feature_table(known, spec, FeatureSpec((1, 3), (1,), (2,), True, ("month",)), drop=["row_id"]))
 
 
 _OBS = SeriesSpec(("supplier", "is_returned"), time="period", target="target", step="1 month")
@@ -724,20 +732,20 @@ def from_split_json_requests(spark, d):
 
 @query
 def fit_and_predict(spark, d):
-    rows = _monthly_features(spark, d)
+    rows = _monthly_stage(spark, d)
     model = fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
     return _rounded(predict(model, rows).select("l_suppkey", "month", "quantity", "prediction"))
 
 
 @query
 def backtest(spark, d):
-    folds = splits.expanding_folds(_monthly_features(spark, d), MONTHLY, 3)
+    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, 3)
     return _rounded(bt.backtest(folds, regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3, MODEL_COLUMNS))
 
 
 def _sweep(spark, d, n=2):
     at = scratch(spark, "trials")
-    folds = splits.expanding_folds(_monthly_features(spark, d), MONTHLY, 2)
+    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, 2)
     space = [{**p, "high": 4} if p["kind"] == "int" and p["name"] != "num_leaves" else p for p in bt.SPACE]
     bt.sweep(folds, MODEL_COLUMNS, "quantity", space, n_trials=n, k=2, study="monthly", path=at)
     return at
@@ -758,11 +766,10 @@ def best_trial(spark, d):
 
 def _store(spark, d):
     store = scratch(spark, "store")
-    rows = splits.time_split(_monthly_features(spark, d), MONTHLY, "2000-01-01 00:00:00").persist()
+    rows = splits.time_split(_monthly_stage(spark, d), MONTHLY, "2000-01-01 00:00:00")
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     for params in (TREES, {**TREES, "num_trees": 2}, TREES):
         rn.evaluate_run(train, test, MODEL_COLUMNS, "quantity", store, "monthly", params)
-    rows.unpersist()
     return store
 
 
@@ -788,7 +795,7 @@ def promote_and_validate(spark, d):
 
 
 def _model_and_requests(spark, d):
-    rows = _monthly_features(spark, d)
+    rows = _monthly_stage(spark, d)
     model = fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
     number = F.col("l_suppkey") * 10_000 + Step.parse("1 month").index("month")
     sent = to_split_json(rows.withColumn("n", number), MODEL_COLUMNS, 10_000, "n")

@@ -65,6 +65,11 @@ class Step:
         """Length in microseconds (fixed-length units only)."""
         return self.n * _MICROS[self.unit]
 
+    @property
+    def about(self) -> int:
+        """Length in microseconds; a month counts as 30 days."""
+        return self.months * 30 * _MICROS["day"] if self.is_calendar else self.length
+
     def interval(self) -> Column:
         if self.is_calendar:
             return F.expr(f"interval '{self.months}' month")

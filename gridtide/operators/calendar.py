@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import Step
-from gridtide.operators.layout import chunk_of, known_keys, running, series_stats, settle
+from gridtide.operators.layout import chunk_of, in_order, known_keys, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _LO, _K, _PREV_K, _AT = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at"
@@ -28,7 +28,12 @@ def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     rows = known_keys(df, spec.keys).filter(F.col(spec.time).isNotNull())
     spec = settle(rows, spec)
     grid = spec.grid
-    rows = series_stats(rows, spec, {_LO: ("min", spec.time)})
+    if spec.layout == "whole":
+        # the running minimum is the first time; it shares the sort of the window below
+        w = Window.partitionBy(*spec.keys).orderBy(*in_order(spec.time))
+        rows = rows.withColumn(_LO, F.min(spec.time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    else:
+        rows = series_stats(rows, spec, {_LO: ("min", spec.time)})
     rows = rows.withColumn(_K, grid.between(F.col(_LO), F.col(spec.time)))
     rows = rows.filter(grid.plus(F.col(_LO), F.col(_K)) == F.col(spec.time))
     bucket = None if spec.layout == "whole" else chunk_of(spec)

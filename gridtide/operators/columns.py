@@ -9,11 +9,11 @@ from pyspark.ml import Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.operators.layout import local_table, small_copy
+from gridtide.operators.layout import bucket_by_value, local_table, running, small_copy
 
 
 def target_first(df: DataFrame, target: str) -> DataFrame:
@@ -163,7 +163,8 @@ def downcast_floats(df: DataFrame, cols: Sequence[str] | None = None, tolerance:
 def as_category(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Add the position of each value among the sorted distinct values (``-1`` for null)."""
     values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    codes = small_copy(values.withColumn("_gt_code", F.row_number().over(Window.orderBy(col)) - 1))
+    codes = running(values.withColumn("_gt_one", F.lit(1)), (), [col], {"_gt_code": ("sum", "_gt_one")}, bucket_by_value(df, col))
+    codes = small_copy(codes.select(col, (F.col("_gt_code") - 1).cast("int").alias("_gt_code")))
     return (
         df.join(codes, col, "left")
         .withColumn(out or f"{col}_code", F.coalesce("_gt_code", F.lit(-1)))

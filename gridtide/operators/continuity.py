@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
-from gridtide.operators.layout import chunk_of, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_by_value, chunk_of, known_keys, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _STEPS = "_gt_steps"
@@ -45,9 +45,9 @@ def discontinuous_series(df: DataFrame, spec: SeriesSpec, boundary: str = "serie
         F.max(spec.time).alias("hi"),
     )
     if boundary == "frame":
-        # one row per series, not per observation
-        before = F.lag("hi").over(Window.orderBy(*spec.keys))
-        out = out.withColumn("max_steps", F.greatest("max_steps", _in_steps(spec, before, F.col("lo"))))
+        # over one row per series
+        out = running(out, (), spec.keys, {"before": ("last", "hi")}, bucket_by_value(out, spec.keys[0]), inclusive=False)
+        out = out.withColumn("max_steps", F.greatest("max_steps", _in_steps(spec, F.col("before"), F.col("lo"))))
     return out.filter(~F.col("max_steps").eqNullSafe(F.lit(1.0))).select(*spec.keys, "max_steps")
 
 

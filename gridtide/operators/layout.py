@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.functions.steps import micros
 from gridtide.spec import SeriesSpec
 
 _BUCKET = "_gt_bucket"
@@ -32,29 +33,45 @@ def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)) if keys else df
 
 
-def longest_series(df: DataFrame, spec: SeriesSpec) -> int:
-    """Upper bound on the rows of any one series, before or after filling its gaps."""
-    per_series = df.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(spec.time).alias("lo"), F.max(spec.time).alias("hi")
-    )
-    span = spec.grid.between(F.col("lo"), F.col("hi")) + 1
-    row = per_series.agg(F.max(F.greatest("n", span)).alias("n")).first()
-    return int(row["n"] or 0)
-
-
 def settle(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
     """Replace layout ``auto`` by the layout that fits this table (one aggregate over keys and time)."""
     if spec.layout != "auto":
         return spec
-    small = longest_series(df, spec) <= spec.whole_limit
-    return spec.with_(layout="whole" if small else "chunked")
+    per_series = df.groupBy(*spec.keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(spec.time).alias("lo"), F.max(spec.time).alias("hi")
+    )
+    span = spec.grid.between(F.col("lo"), F.col("hi")) + 1
+    # the span bounds a series after its gaps are filled
+    row = per_series.agg(F.max(F.greatest("n", span)).alias("longest"), F.max(F.col("n") > span).alias("crowded")).first()
+    if (row["longest"] or 0) <= spec.whole_limit:
+        return spec.with_(layout="whole")
+    if not row["crowded"]:
+        return spec.with_(layout="chunked")
+    # more rows than steps: pieces as long as the busiest step allows
+    per_step = df.groupBy(*spec.keys, spec.grid.index(spec.time)).count()
+    busiest = per_step.agg(F.max("count")).first()[0]
+    return spec.with_(layout="chunked", chunk_micros=max(1, spec.grid.about * spec.chunk_rows // busiest))
 
 
 def chunk_of(spec: SeriesSpec) -> Column:
-    """Piece of the time axis a row falls in: at most ``chunk_rows`` rows per series when times are distinct."""
+    """Piece of the time axis a row falls in: about ``chunk_rows`` rows of a series at most."""
+    if spec.chunk_micros is not None:
+        m = micros(spec.time)
+        return F.call_function("div", m - F.pmod(m, F.lit(spec.chunk_micros)), F.lit(spec.chunk_micros))
     return F.floor(spec.grid.index(spec.time) / spec.chunk_rows)
 
 
+def bucket_by_value(df: DataFrame, col: str) -> Column | None:
+    """A whole number that does not decrease with ``col``, to cut an order over values; None if there is none."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(col) / (1 << 16))
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 3)), 6, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    return None
+
+
 def in_order(*cols: str) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 

@@ -22,7 +22,7 @@ def _as_schema(schema: str | T.StructType) -> T.StructType:
 def read_observations(
     spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS, rejects: bool = False
 ) -> DataFrame:
-    """Typed rows of headed CSV files, checked against the declared schema.
+    """Typed rows of headed CSV files, checked against the declared schema. NaN is read as null.
 
     A line that does not fit it is left out here and returned, as text in ``_corrupt``, by ``rejects=True``.
     """
@@ -40,7 +40,10 @@ def read_observations(
     # Spark wants a data column beside the one for bad records; this condition holds for any value
     first = F.coalesce(F.col(declared.names[0]).cast("string"), F.lit("")) >= ""
     bad = F.col(CORRUPT).isNotNull()
-    return rows.filter(first & bad).select(CORRUPT) if rejects else rows.filter(first & ~bad).drop(CORRUPT)
+    if rejects:
+        return rows.filter(first & bad).select(CORRUPT)
+    floats = [f.name for f in declared if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return rows.filter(first & ~bad).drop(CORRUPT).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -33,6 +33,9 @@ class SeriesSpec(_Json):
       pass a small carry to each other. Gives the same results for a series of any length.
     * ``"auto"``: measure the longest series first (one aggregate), and take ``"whole"`` only if it has at most
       ``whole_limit`` rows.
+
+    ``chunk_micros`` is the length of a piece in microseconds, for series with more than one row per step; ``"auto"`` sets it
+    from the largest number of rows in one step.
     """
 
     keys: tuple[str, ...]
@@ -42,6 +45,7 @@ class SeriesSpec(_Json):
     layout: str = "auto"
     chunk_rows: int = 1 << 16
     whole_limit: int = 2_000_000
+    chunk_micros: int | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(self.keys))

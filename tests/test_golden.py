@@ -236,3 +236,30 @@ def test_specs_round_trip():
         assert type(s).from_json(s.to_json()) == s
     with pytest.raises(ValueError):
         FeatureSpec.from_json('{"lag": [1]}')
+
+
+@pytest.mark.parametrize("keys", [(3, 1, 70000, 200000), ("b", "a", "béta", "zz")])
+def test_frame_boundary_and_codes_follow_the_key_order(spark, keys):
+    from gridtide.operators.columns import as_category
+
+    rows = [(k, T0 + timedelta(hours=i)) for i, k in enumerate(sorted(keys))]
+    kind = "int" if isinstance(keys[0], int) else "string"
+    df = spark.createDataFrame(rows, f"id {kind}, datetime timestamp_ntz")
+    assert discontinuous_series(df, SeriesSpec(("id",)), "frame").collect() == [(sorted(keys)[0], None)]
+    codes = {r.id: r.id_code for r in as_category(df, "id").collect()}
+    assert codes == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_auto_layout(spark):
+    from gridtide.operators.layout import settle
+
+    df, spec = panel(spark, {0: [(t, 1) for t in hours(*range(20))], 1: [(t, 1) for t in hours(0, 3)]}, "auto", 4)
+    assert settle(df, spec).layout == "whole"
+    assert settle(df, spec.with_(whole_limit=10)).layout == "chunked"
+    # ten rows in one minute: pieces shorter than a step, same result
+    crowd = [(T0 + timedelta(minutes=i / 10), None if i % 3 else i) for i in range(100)]
+    df, spec = panel(spark, {0: crowd}, "auto", 4)
+    cut = settle(df, spec.with_(whole_limit=10))
+    assert cut.chunk_micros == 3_600_000_000 * 4 // 100
+    a, b = (forward_fill(df, s, ["target"]).orderBy("datetime").collect() for s in (spec, cut))
+    assert a == b
