@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.operators.layout import known_keys, over_series, series_stats, settle
+from gridtide.operators.layout import cut, known_keys, over_series, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _SUM, _N, _ROWS, _X, _NEAR = "_gt_sum", "_gt_n", "_gt_rows", "_gt_x", "_gt_near"
@@ -22,13 +22,13 @@ def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -
     rows = known_keys(df, spec.keys).select(*spec.keys, spec.time, spec.target)
     spec = settle(rows, spec)
     rows = series_stats(
-        rows.withColumn(_ROWS, F.lit(1)),
+        cut(rows.withColumn(_ROWS, F.lit(1)), spec),
         spec,
         {_SUM: ("sum", spec.target), _N: ("count", spec.target), "_gt_all": ("count", _ROWS)},
     )
     # a series with a null has no autocorrelation
     rows = rows.withColumn(_X, F.when(F.col(_N) == F.col("_gt_all"), F.col(spec.target) - F.col(_SUM) / F.col(_N)))
-    rows = rows.select(*spec.keys, spec.time, _X)
+    rows = rows.drop(spec.target, _ROWS, _SUM, _N, "_gt_all")
     # each row meets itself and its predecessors; the products are summed per lag before anything is shuffled
     near = over_series(
         rows, spec, nlags, lambda w, _: {_NEAR: F.collect_list(_X).over(w.rowsBetween(-nlags, Window.currentRow))}

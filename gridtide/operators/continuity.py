@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
-from gridtide.operators.layout import bucket_by_value, chunk_of, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_by_value, bucket_of, cut, known_keys, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _STEPS = "_gt_steps"
@@ -16,8 +16,8 @@ def time_steps(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add ``prev_time`` and ``step`` (time minus the previous time of the series)."""
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
-    bucket = None if spec.layout == "whole" else chunk_of(spec)
-    out = running(rows, spec.keys, [spec.time], {"prev_time": ("last", spec.time)}, bucket=bucket, inclusive=False)
+    previous = {"prev_time": ("last", spec.time)}
+    out = running(rows, spec.keys, [spec.time], previous, bucket=bucket_of(spec), inclusive=False)
     return out.withColumn("step", F.col(spec.time) - F.col("prev_time"))
 
 
@@ -56,7 +56,7 @@ def drop_discontinuous(df: DataFrame, spec: SeriesSpec, boundary: str = "series"
     if boundary == "frame":
         return known_keys(df, spec.keys).join(discontinuous_series(df, spec, boundary), list(spec.keys), "left_anti")
     spec = settle(known_keys(df, spec.keys), spec)
-    steps = time_steps(df, spec)
+    steps = time_steps(cut(df, spec), spec)
     steps = steps.withColumn(_STEPS, _in_steps(spec, F.col("prev_time"), F.col(spec.time)))
     flagged = series_stats(steps, spec, {"_gt_max": ("max", _STEPS)})
     return flagged.filter(F.col("_gt_max") == 1.0).select(*df.columns)

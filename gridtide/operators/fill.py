@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.operators.layout import chunk_of, known_keys, running, settle
+from gridtide.operators.layout import bucket_of, known_keys, running, settle
 from gridtide.spec import SeriesSpec
 
 
@@ -30,7 +30,7 @@ def forward_fill(
         part, by = spec.keys, [spec.time]
         rows = known_keys(df, part)
         spec = settle(rows, spec)
-        bucket = None if spec.layout == "whole" else chunk_of(spec)
+        bucket = bucket_of(spec)
     elif scope == "frame":
         if order is None:
             raise ValueError("scope='frame' needs the order column")

@@ -61,6 +61,16 @@ def chunk_of(spec: SeriesSpec) -> Column:
     return F.floor(spec.grid.index(spec.time) / spec.chunk_rows)
 
 
+def cut(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Add the piece of each row as a column that consecutive steps on the same pieces share, and so shuffle once."""
+    return df if spec.layout == "whole" or _BUCKET in df.columns else df.withColumn(_BUCKET, chunk_of(spec))
+
+
+def bucket_of(spec: SeriesSpec) -> Column | None:
+    """The piece as the ``bucket`` of :func:`running`; None in the whole layout."""
+    return None if spec.layout == "whole" else chunk_of(spec)
+
+
 def bucket_by_value(df: DataFrame, col: str) -> Column | None:
     """A whole number that does not decrease with ``col``, to cut an order over values; None if there is none."""
     kind = df.schema[col].dataType
@@ -104,8 +114,8 @@ def running(
 ) -> DataFrame:
     """Add running columns: ``{new: ("last" | "sum", source)}`` in ``order`` within ``part``.
 
-    Without ``bucket`` each part is one window partition. With it (a non-decreasing whole number along the order),
-    rows are spread over (part, bucket); what earlier buckets contribute is found on the table of buckets,
+    Without ``bucket`` each part is one window partition. With it (a non-decreasing whole number along the order; the
+    column of :func:`cut` if it is there), rows are spread over (part, bucket); what earlier buckets contribute is found on the table of buckets,
     itself bucketed again ``depth - 1`` times, so neither a huge part nor an empty ``part`` ends in one task.
     """
     end = 0 if inclusive else _PREV
@@ -113,9 +123,9 @@ def running(
         w = Window.partitionBy(*part).orderBy(*in_order(*order)).rowsBetween(_START, end)
         return df.withColumns({new: _COMBINE[how][1](F.col(c)).over(w) for new, (how, c) in values.items()})
 
-    cut = df.withColumn(_BUCKET, bucket)
+    pieces = df if _BUCKET in df.columns else df.withColumn(_BUCKET, bucket)
     rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    table = cut.groupBy(*part, _BUCKET).agg(
+    table = pieces.groupBy(*part, _BUCKET).agg(
         *[_COMBINE[how][0](F.col(c), rank).alias(_CARRY + new) for new, (how, c) in values.items()]
     )
     level = f"{_BUCKET}_{depth}"
@@ -131,7 +141,7 @@ def running(
     ).select(*part, F.col(level).alias(_BUCKET), *[f"{_CARRY}{new}_before" for new in values])
 
     w = Window.partitionBy(*part, _BUCKET).orderBy(*in_order(*order)).rowsBetween(_START, end)
-    joined = cut.join(before, [*part, _BUCKET], "left")
+    joined = pieces.join(before, [*part, _BUCKET], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[
@@ -152,10 +162,10 @@ def series_stats(df: DataFrame, spec: SeriesSpec, stats: Mapping[str, tuple[str,
     if spec.layout == "whole":
         return df.withColumns({new: fn[how](F.col(c)).over(w) for new, (how, c) in stats.items()})
     merge = {**fn, "count": F.sum}
-    cut = df.withColumn(_BUCKET, chunk_of(spec))
-    table = cut.groupBy(*spec.keys, _BUCKET).agg(*[fn[how](c).alias(new) for new, (how, c) in stats.items()])
+    pieces = cut(df, spec)
+    table = pieces.groupBy(*spec.keys, _BUCKET).agg(*[fn[how](c).alias(new) for new, (how, c) in stats.items()])
     table = table.withColumns({new: merge[how](F.col(new)).over(w) for new, (how, _) in stats.items()})
-    return cut.join(table, [*spec.keys, _BUCKET]).select(*[F.col(f"`{c}`") for c in df.columns], *stats)
+    return pieces.join(table, [*spec.keys, _BUCKET]).select(*[F.col(f"`{c}`") for c in df.columns], *stats)
 
 
 def over_series(
@@ -187,7 +197,7 @@ def over_series(
         [spec.time],
         {_POS: ("sum", one), **{names[new]: how_col for new, how_col in totals.items()}},
         bucket=chunk_of(spec),
-    ).drop(one)
+    ).drop(one, _BUCKET)
     size = max(spec.chunk_rows, reach, 1)
     pos = F.col(_POS) - 1
     home = F.floor(pos / size)

@@ -69,29 +69,34 @@ def values_at(
             for i, p in enumerate(positions)
         ]
     )
-    levels = [(rows1, [*group, _B1], _pick(counts1.withColumn(_WANTED, wanted).drop(_ALL), group, _B1))]
+    where, inside = [*group, _B1], rows1
+    picked = _pick(counts1.withColumn(_WANTED, wanted).drop(_ALL), group, _B1)
     found = []
-    while True:
-        inside, where, picked = levels[-1]
+    for bucket in (_B2, _V):
         local = collect_small(picked)
         picked = picked if local is None else as_local(picked, local)
-        answers = picked.filter(F.col(_LO) == F.col(_HI)).select(*group, F.col(_LO).alias("value"), F.explode(_WANTED).alias("t"))
-        found.append(answers.select(*group, "t.target", "value", F.col("t.position").alias("offset"), "t.n"))
+        found.append(_answers(picked.filter(F.col(_LO) == F.col(_HI)), group))
         if local is not None and local.column(_LO).equals(local.column(_HI)):
-            break
-        open_ = picked.filter(F.col(_LO) < F.col(_HI))
-        if len(levels) == 1:
-            rows2 = inside.join(open_.select(*where, _LO, _HI), where)
-            rows2 = rows2.withColumn(_B2, _place(F.col(_V), F.col(_LO), F.col(_HI))).drop(_LO, _HI)
-            bucket = _B2
+            return reduce(DataFrame.unionByName, found)
+        still = picked.filter(F.col(_LO) < F.col(_HI))
+        if bucket == _B2:
+            inside = inside.join(still.select(*where, _LO, _HI), where)
+            inside = inside.withColumn(_B2, _place(F.col(_V), F.col(_LO), F.col(_HI))).drop(_LO, _HI)
         else:
-            # few enough places are left to count each value
-            rows2, bucket = inside.join(open_.select(*where), where).withColumn(_B2 + "v", F.col(_V)), _B2 + "v"
-        counts = _counts(rows2, [*where, bucket]).join(open_.select(*where, _WANTED), where)
-        levels.append((rows2, [*where, bucket], _pick(counts, where, bucket)))
+            # few enough values are left to count each
+            inside = inside.join(still.select(*where), where)
+        counts = _counts(inside, [*where, bucket]).join(still.select(*where, _WANTED), where)
+        picked, where = _pick(counts, where, bucket), [*where, bucket]
+    found.append(_answers(picked, group))
     return reduce(DataFrame.unionByName, found)
 
 
+def _answers(picked: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Positions that fell in a bucket of one value."""
+    rows = picked.select(*group, F.col(_LO).alias("value"), F.explode(_WANTED).alias("t"))
+    return rows.select(*group, "t.target", "value", F.col("t.position").alias("offset"), "t.n")
+
+
 def known_number(c: Column | str) -> Column:
     """A number as DOUBLE, with NaN read as null."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double")

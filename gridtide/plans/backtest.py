@@ -20,7 +20,7 @@ from gridtide.sources.readers import exists
 
 TRIALS = "number INT, value DOUBLE, params MAP<STRING, DOUBLE>, fold_errors ARRAY<DOUBLE>, cv_errors_std DOUBLE, study STRING"
 
-#: default search space of the boosted trees
+# fixed values: default search space of the boosted trees
 SPACE = (
     {"name": "num_trees", "low": 3, "high": 10, "kind": "int"},
     {"name": "max_depth", "low": 3, "high": 10, "kind": "int"},

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
 
-#: columns of the raw observation file, in file order
+# fixed values: columns of the raw observation file, in file order
 OBSERVATIONS = (
     "county INT, is_business INT, product_type INT, target DOUBLE, is_consumption INT, datetime TIMESTAMP_NTZ, "
     "data_block_id BIGINT, row_id BIGINT, prediction_unit_id INT"

@@ -65,8 +65,9 @@ class SeriesSpec(_Json):
 
 @dataclass(frozen=True)
 class FeatureSpec(_Json):
-    """Lag, rolling, expanding and calendar features. Defaults are those of the hourly energy panel."""
+    """Lag, rolling, expanding and calendar features. The defaults are those of the hourly energy panel."""
 
+    # fixed values: default feature settings
     lags: tuple[int, ...] = (48, 72, 96, 120, 144, 168)
     transform_lags: tuple[int, ...] = (48,)
     rolling_windows: tuple[int, ...] = (6, 12, 24, 48)
@@ -90,6 +91,7 @@ class FeatureSpec(_Json):
 class BacktestSpec(_Json):
     """Time-ordered evaluation and training settings."""
 
+    # fixed values: default evaluation settings
     cutoff: str = "2023-01-26 05:00:00"
     n_folds: int = 5
     n_trials: int = 3

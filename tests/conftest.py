@@ -10,6 +10,6 @@ from gridtide.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "gridtide-tests")
+    session = local_session(8, "gridtide-tests", **{"spark.sql.shuffle.partitions": "3"})
     yield session
     session.stop()

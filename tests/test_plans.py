@@ -49,7 +49,7 @@ def drop_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("drop")
     (d / "train.csv").write_text("\n".join([*raw_lines(), "x,0,1,1.0,0,2023-01-01 00:00:00,0,0,0", "1,2"]) + "\n")
     (d / "client.csv").write_text("a,b\n1,x\n")
-    (d / "county_id_to_name_map.json").write_text(json.dumps({"0": "HARJUMAA", "1": "TARTUMAA"}))
+    (d / "names.json").write_text(json.dumps({"0": "NORTH", "1": "SOUTH"}))
     return d
 
 
@@ -66,15 +66,15 @@ def features(spark):
 def test_sources_and_stages(spark, drop_dir, tmp_path):
     landed = str(tmp_path / "raw")
     schemas = {"train": readers.OBSERVATIONS}
-    names = writers.land_raw(spark, str(drop_dir), landed, schemas, lookup="county_id_to_name_map.json")
-    assert names == ["client", "train", "county_id_to_name_map"]
-    assert writers.land_raw(spark, str(drop_dir), landed, schemas, lookup="county_id_to_name_map.json") == []
+    names = writers.land_raw(spark, str(drop_dir), landed, schemas, lookup="names.json")
+    assert names == ["client", "train", "names"]
+    assert writers.land_raw(spark, str(drop_dir), landed, schemas, lookup="names.json") == []
     raw = readers.read_table(spark, f"{landed}/train")
     assert raw.count() == len(raw_lines()) - 1
     assert dict(raw.dtypes)["datetime"] == "timestamp_ntz"
     assert readers.read_table(spark, f"{landed}/train_rejects").count() == 2
-    lookup = {r.id: r.name for r in readers.read_table(spark, f"{landed}/county_id_to_name_map").collect()}
-    assert lookup == {"0": "HARJUMAA", "1": "TARTUMAA"}
+    lookup = {r.id: r.name for r in readers.read_table(spark, f"{landed}/names").collect()}
+    assert lookup == {"0": "NORTH", "1": "SOUTH"}
     assert readers.list_stage(spark, landed).filter("path like '%train/%.parquet'").count() >= 1
     # a bad line is left out whichever columns are read
     direct = readers.read_observations(spark, str(drop_dir / "train.csv"))
