@@ -155,7 +155,7 @@ ORACLES["feature_stage"] = f"WITH {_prepared(_BY_SERIES)} " + _rounded(
 
 # --- dates ----------------------------------------------------------------------------------------------------------
 
-ORACLES["date_features"] = """SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+ORACLES["add_date_features"] = """SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
   CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS dayofweek,
   CAST(dayofyear(ts) AS INTEGER) AS dayofyear, CAST(week(ts) AS INTEGER) AS weekofyear FROM events"""
 ORACLES["time_difference_and_stamp"] = """SELECT l_orderkey, l_linenumber, l_partkey,
@@ -231,7 +231,7 @@ ORACLES["resample_total"] = _rounded(
   ON c.o_orderdate = d.o_orderdate""",
     "o_totalprice", digits=2,
 )
-ORACLES["mean_absolute_error"] = f"""WITH {_MONTHLY}
+ORACLES["mae"] = f"""WITH {_MONTHLY}
 SELECT round(avg(abs(quantity - lag1)) + 1e-10, 6) AS mae FROM (
   SELECT quantity, lag(quantity) OVER (PARTITION BY l_suppkey ORDER BY month) AS lag1 FROM monthly) AS t"""
 
@@ -299,6 +299,28 @@ ORACLES["top_lags"] = f"""SELECT event_type, lag, acf, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY acf DESC, lag) AS INTEGER) AS rank
   FROM ({_acf(24, False)}) AS a) AS r WHERE rank <= 10"""
 
+# with two lags the partial autocorrelations are 1, r1 and (r2 - r1²) / (1 - r1²)
+_R = f"""(SELECT event_type, max(r) FILTER (lag = 1) AS r1, max(r) FILTER (lag = 2) AS r2,
+  (SELECT count(*) FROM filled f WHERE f.event_type = c.event_type) AS n
+  FROM ({{correlations}}) AS c GROUP BY event_type) AS r"""
+
+
+def _pacf_two_lags() -> str:
+    text = _acf(2, True).replace("+ 1e-10, 6) AS acf", "+ 0, 15) AS r")
+    shared, correlations = text.split("\nSELECT a.event_type", 1)
+    half = f"{1.959963984540054} / sqrt(n)"
+    parts = [("0", "1.0", "0.0"), ("1", "r1", half), ("2", "(r2 - r1 * r1) / (1 - r1 * r1)", half)]
+    rows = " UNION ALL ".join(
+        f"SELECT event_type, CAST({lag} AS INTEGER) AS lag, CAST({v} AS DOUBLE) AS pacf, {v} - {h} AS lower, {v} + {h} AS upper "
+        "FROM r"
+        for lag, v, h in parts
+    )
+    inner = _R.format(correlations="SELECT a.event_type" + correlations).removesuffix(" AS r")
+    return f"{shared}, r AS {inner} " + _rounded(rows, "pacf", "lower", "upper")
+
+
+ORACLES["pacf_two_lags"] = _pacf_two_lags()
+
 # --- splits ---------------------------------------------------------------------------------------------------------
 
 _SPLIT = """(SELECT o_orderkey, o_orderdate,
@@ -363,6 +385,10 @@ ORACLES["update_from"] = """SELECT c_custkey, c_name, c_nationkey,
   CASE WHEN c_mktsegment = 'BUILDING' THEN coalesce(m, c_acctbal) ELSE c_acctbal END AS c_acctbal, c_mktsegment
 FROM customer LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS m FROM orders GROUP BY o_custkey) AS o ON o_custkey = c_custkey"""
 ORACLES["stack_rows"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"
+ORACLES["align_columns"] = """SELECT user_id, min(ts) AS first, max(ts) AS last,
+  nullif(count(*) FILTER (event_type = 'purchase' AND value > 100), 0) AS n FROM events GROUP BY user_id"""
+ORACLES["sample_series"] = """SELECT user_id FROM (SELECT DISTINCT user_id FROM events) AS u
+ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id LIMIT 5"""
 ORACLES["distinct_rows"] = "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem"
 ORACLES["same_rows"] = "SELECT TRUE AS same"
 ORACLES["different_rows"] = """SELECT l_suppkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n FROM (
@@ -382,11 +408,11 @@ ORACLES["write_stage"] = "SELECT * FROM customer"
 ORACLES["write_table_downcast"] = (
     "SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS FLOAT) AS l_quantity FROM lineitem"
 )
-ORACLES["to_split_json_requests"] = """SELECT event_id // 100 AS request,
+ORACLES["to_split_json"] = """SELECT event_id // 100 AS request,
   '{"dataframe_split":{"columns":["user_id","value"],"data":[' || string_agg(
     '[' || CAST(CAST(user_id AS DOUBLE) AS VARCHAR) || ',' || CAST(value AS VARCHAR) || ']', ',' ORDER BY event_id)
   || ']}}' AS payload FROM events GROUP BY ALL"""
-ORACLES["from_split_json_requests"] = """SELECT event_id // 100 AS request,
+ORACLES["from_split_json"] = """SELECT event_id // 100 AS request,
   CAST(row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS INTEGER) AS "row",
   value, CAST(user_id AS DOUBLE) AS user_id, CAST(NULL AS VARCHAR) AS error FROM events"""
 
@@ -395,5 +421,5 @@ ORACLES["from_split_json_requests"] = """SELECT event_id // 100 AS request,
 _SCORED = f"""WITH {_MONTHLY}
 SELECT l_suppkey AS request, CAST(count(*) AS {{kind}}) AS n_predictions, CAST(NULL AS VARCHAR) AS error
 FROM ({_MONTHLY_FEATURES}) AS f GROUP BY l_suppkey"""
-ORACLES["score_requests"] = _SCORED.format(kind="INTEGER")
-ORACLES["score_request_stream"] = _SCORED.format(kind="BIGINT")
+ORACLES["score_batch"] = _SCORED.format(kind="INTEGER")
+ORACLES["score_stream"] = _SCORED.format(kind="BIGINT")

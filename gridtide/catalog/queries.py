@@ -9,22 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.functions.dates import DATE_PARTS, add_date_features, time_difference, utc_stamp
+from gridtide.functions import dates
 from gridtide.functions.steps import Step
-from gridtide.operators import autocorr, calendar, columns, continuity, distribution, features, fill, ordering, profile
+from gridtide.operators import (
+    autocorr, calendar, columns, continuity, distribution, features, fill, metrics, ordering, profile,
+)
 from gridtide.operators import split as splits
-from gridtide.operators.metrics import mae
 from gridtide.operators.layout import settle
 from gridtide.plans import backtest as bt
 from gridtide.plans import runs as rn
-from gridtide.plans.model import fit_regressor, predict, regressor
-from gridtide.plans.scoring import score_batch
+from gridtide.plans import model as md
+from gridtide.plans import scoring
 from gridtide.plans.stages import feature_table, preprocess
 from gridtide.session import scratch
 from gridtide.sources import readers, writers
-from gridtide.sources.payload import from_split_json, to_split_json
+from gridtide.sources import payload
 from gridtide.spec import FeatureSpec, SeriesSpec
-from gridtide.streaming.scoring import request_stream, score_stream
+from gridtide.streaming import scoring as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -251,9 +252,9 @@ def _observations(spark, d):
 
 
 @query
-def date_features(spark, d):
+def add_date_features(spark, d):
     rows = _table(spark, d, "events").select("event_id", "ts")
-    return add_date_features(rows, "ts", tuple(DATE_PARTS))
+    return dates.add_date_features(rows, "ts", tuple(dates.DATE_PARTS))
 
 
 @query
@@ -261,10 +262,10 @@ def time_difference_and_stamp(spark, d):
     rows = _table(spark, d, "lineitem").join(
         _table(spark, d, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    late = time_difference(F.col("l_shipdate"), F.col("o_orderdate"))
+    late = dates.time_difference(F.col("l_shipdate"), F.col("o_orderdate"))
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        F.extract(F.lit("DAY"), late).cast("bigint").alias("days"), utc_stamp(F.col("l_shipdate")).alias("stamp"),
+        F.extract(F.lit("DAY"), late).cast("bigint").alias("days"), dates.utc_stamp(F.col("l_shipdate")).alias("stamp"),
     )
 
 
@@ -347,10 +348,10 @@ def resample_total(spark, d):
 
 
 @query
-def mean_absolute_error(spark, d):
+def mae(spark, d):
     """Error of predicting each month by the month before."""
     rows = features.add_lags(_monthly(spark, d), MONTHLY, [1])
-    return _rounded(mae(rows, "quantity", "lag1"))
+    return _rounded(metrics.mae(rows, "quantity", "lag1"))
 
 
 # --- distributions --------------------------------------------------------------------------------------------------
@@ -418,6 +419,12 @@ def pacf(spark, d):
     return _rounded(autocorr.pacf(rows, spec, 24, "ywm", alpha=0.01))
 
 
+@query
+def pacf_two_lags(spark, d):
+    rows, spec = _filled(spark, d)
+    return _rounded(autocorr.pacf(rows, spec, 2, "ywadjusted", alpha=0.05))
+
+
 @query
 def pacf_week(spark, d):
     rows, spec = _filled(spark, d)
@@ -632,6 +639,17 @@ def stack_rows(spark, d):
     return ordering.stack_rows([rows.filter(F.col("o_orderstatus") == s) for s in ("F", "O", "P")])
 
 
+@query
+def align_columns(spark, d):
+    """First and last event of each user beside the number of purchases; some have none."""
+    rows = _table(spark, d, "events").groupBy("user_id")
+    bought = _table(spark, d, "events").filter("event_type = 'purchase' AND value > 100").groupBy("user_id")
+    return ordering.align_columns(
+        [rows.agg(F.min("ts").alias("first")), rows.agg(F.max("ts").alias("last")), bought.agg(F.count("value").alias("n"))],
+        ["user_id"],
+    )
+
+
 @query
 def distinct_rows(spark, d):
     return ordering.distinct_rows(_table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate"))
@@ -714,33 +732,33 @@ def write_table_downcast(spark, d):
 
 
 def _requests(spark, d):
-    return to_split_json(_table(spark, d, "events"), ["user_id", "value"], 100, "event_id")
+    return payload.to_split_json(_table(spark, d, "events"), ["user_id", "value"], 100, "event_id")
 
 
 @query
-def to_split_json_requests(spark, d):
+def to_split_json(spark, d):
     return _requests(spark, d)
 
 
 @query
-def from_split_json_requests(spark, d):
-    return from_split_json(_requests(spark, d), "payload", ["value", "user_id"], keep=["request"])
+def from_split_json(spark, d):
+    return payload.from_split_json(_requests(spark, d), "payload", ["value", "user_id"], keep=["request"])
 
 
 # --- models ---------------------------------------------------------------------------------------------------------
 
 
 @query
-def fit_and_predict(spark, d):
+def predict(spark, d):
     rows = _monthly_stage(spark, d)
-    model = fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
-    return _rounded(predict(model, rows).select("l_suppkey", "month", "quantity", "prediction"))
+    model = md.fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
+    return _rounded(md.predict(model, rows).select("l_suppkey", "month", "quantity", "prediction"))
 
 
 @query
 def backtest(spark, d):
     folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, 3)
-    return _rounded(bt.backtest(folds, regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3, MODEL_COLUMNS))
+    return _rounded(bt.backtest(folds, md.regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3, MODEL_COLUMNS))
 
 
 def _sweep(spark, d, n=2):
@@ -774,7 +792,7 @@ def _store(spark, d):
 
 
 @query
-def training_runs(spark, d):
+def search_runs(spark, d):
     """Runs of an experiment after the repeated one was marked as deleted."""
     store = _store(spark, d)
     rn.delete_duplicate_runs(spark, store, "monthly")
@@ -784,7 +802,7 @@ def training_runs(spark, d):
 
 
 @query
-def promote_and_validate(spark, d):
+def validate_model(spark, d):
     """The promoted model scores the example stored with its run as it did then."""
     store = _store(spark, d)
     rn.promote_best(spark, store, "monthly")
@@ -796,26 +814,26 @@ def promote_and_validate(spark, d):
 
 def _model_and_requests(spark, d):
     rows = _monthly_stage(spark, d)
-    model = fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
+    model = md.fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
     number = F.col("l_suppkey") * 10_000 + Step.parse("1 month").index("month")
-    sent = to_split_json(rows.withColumn("n", number), MODEL_COLUMNS, 10_000, "n")
+    sent = payload.to_split_json(rows.withColumn("n", number), MODEL_COLUMNS, 10_000, "n")
     return model, sent.withColumn("request", F.col("request").cast("bigint"))
 
 
 @query
-def score_requests(spark, d):
+def score_batch(spark, d):
     """One answer per supplier."""
     model, sent = _model_and_requests(spark, d)
-    out = score_batch(model, sent)
+    out = scoring.score_batch(model, sent)
     return out.select("request", F.size("predictions").alias("n_predictions"), "error")
 
 
 @query
-def score_request_stream(spark, d):
+def score_stream(spark, d):
     model, sent = _model_and_requests(spark, d)
     inbox, sink, state = (scratch(spark, name) for name in ("inbox", "scored", "state"))
     writers.write_table(sent, inbox)
-    stream = request_stream(spark, inbox)
-    score_stream(model, stream, sink, state, available_now=True).awaitTermination()
+    stream = streams.request_stream(spark, inbox)
+    streams.score_stream(model, stream, sink, state, available_now=True).awaitTermination()
     out = readers.read_table(spark, sink)
     return out.groupBy("request").agg(F.count("prediction").alias("n_predictions"), F.max("error").alias("error"))

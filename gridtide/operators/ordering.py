@@ -32,13 +32,18 @@ def best_row(df: DataFrame, metric: str, ties: Sequence[str] = ()) -> DataFrame:
 def sample_series(df: DataFrame, spec: SeriesSpec, k: int, seed: int = 42) -> DataFrame:
     """``k`` different series, the same ones for the same seed however the table is partitioned."""
     keys = known_keys(df, spec.keys).select(*spec.keys).distinct()
-    return keys.orderBy(F.xxhash64(F.lit(seed), *spec.keys), *spec.keys).limit(k)
+    return keys.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in spec.keys])), *spec.keys).limit(k)
 
 
 def stack_rows(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def align_columns(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
+    """Frames side by side, matched on key columns that are unique in each; a key missing in a frame gives nulls there."""
+    return reduce(lambda a, b: a.join(b, list(on), "full_outer"), frames)
+
+
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(cols)) if cols else df.distinct()
 

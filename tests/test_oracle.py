@@ -32,11 +32,11 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["pacf", "sample_series", "backtest", "promote_and_validate"])
+@pytest.mark.parametrize("name", ["pacf", "backtest", "validate_model"])
 def test_query_without_sql_runs(spark, name):
     rows = QUERIES[name](spark, DATA).collect()
     assert rows
     if name == "pacf":
         assert all(r.pacf == 1 for r in rows if r.lag == 0)
-    if name == "promote_and_validate":
+    if name == "validate_model":
         assert rows[0].valid

@@ -32,8 +32,8 @@ def monthly(spark):
 
 WHOLE = q.MONTHLY.with_(layout="whole")
 SLOW = {
-    "backtest", "sweep", "best_trial", "training_runs", "promote_and_validate", "score_requests", "score_request_stream",
-    "fit_and_predict",
+    "backtest", "sweep", "best_trial", "search_runs", "validate_model", "score_batch", "score_stream",
+    "predict",
 }
 
 
