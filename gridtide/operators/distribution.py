@@ -114,14 +114,13 @@ def kde(
     """Gaussian kernel density on ``grid`` points: (by), ``point``, ``x``, ``density``.
 
     Bandwidth is Scott's rule per group; a group's grid runs ``cut`` bandwidths past its values and its curve is scaled by its
-    share of the rows. Equal values are counted first; each then adds only to the grid points its kernel reaches, so the sum is the
-    full one. Groups without spread have no density.
+    share of the rows. Each value adds to the grid points its kernel reaches (beyond them it adds zero in double precision), and the
+    sums are combined before they are shuffled. Groups without spread have no density.
     """
     group = [by] if by else []
-    x = _measured(df, col, log)
+    x = _measured(df, col, log).select(*group, _X)
     if by:
         x = x.filter(F.col(by).isNotNull())
-    weights = x.groupBy(*group, _X).agg(F.count(F.lit(1)).alias("w"))
     stats = small_copy(
         x.groupBy(*group).agg(
             F.count(_X).alias("n"), F.stddev_samp(_X).alias("std"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
@@ -135,20 +134,20 @@ def kde(
     )
     stats = stats.select(*group, "h", "g0", "dx")
     if by:
-        points = weights.join(stats, by)
+        points = x.join(stats, by)
     else:
         row = stats.first()
         if row is None:
-            points = weights.limit(0).withColumns({c: F.lit(0.0) for c in ("h", "g0", "dx")})
+            points = x.limit(0).withColumns({c: F.lit(0.0) for c in ("h", "g0", "dx")})
         else:
-            points = weights.withColumns({c: F.lit(row[c]) for c in ("h", "g0", "dx")})
+            points = x.withColumns({c: F.lit(row[c]) for c in ("h", "g0", "dx")})
     place = (F.col(_X) - F.col("g0")) / F.col("dx")
     reach = _KERNEL_REACH * F.col("h") / F.col("dx")
     first = F.greatest(F.ceil(place - reach), F.lit(0).cast("bigint"))
     last = F.least(F.floor(place + reach), F.lit(grid - 1).cast("bigint"))
     spread = points.filter(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
     z = (F.col("g0") + F.col("point") * F.col("dx") - F.col(_X)) / F.col("h")
-    mass = spread.groupBy(*group, "point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("mass"))
+    mass = spread.groupBy(*group, "point").agg(F.sum(F.exp(-0.5 * z * z)).alias("mass"))
     # grid points far from every value have density zero but are still part of the curve
     if by:
         curve = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +19,10 @@ def _as_schema(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def read_observations(
-    spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS, rejects: bool = False
-) -> DataFrame:
-    """Typed rows of headed CSV files, checked against the declared schema. NaN is read as null.
-
-    A line that does not fit it is left out here and returned, as text in ``_corrupt``, by ``rejects=True``.
-    """
+def parse_observations(spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS) -> DataFrame:
+    """All lines of headed CSV files: the declared columns, and the text of a line that does not fit them in ``_corrupt``."""
     declared = _as_schema(schema)
-    rows = (
+    return (
         spark.read.schema(T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
         .option("mode", "PERMISSIVE")
@@ -37,13 +32,33 @@ def read_observations(
         .option("columnPruning", False)
         .csv(path)
     )
-    # Spark wants a data column beside the one for bad records; this condition holds for any value
-    first = F.coalesce(F.col(declared.names[0]).cast("string"), F.lit("")) >= ""
-    bad = F.col(CORRUPT).isNotNull()
-    if rejects:
-        return rows.filter(first & bad).select(CORRUPT)
-    floats = [f.name for f in declared if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return rows.filter(first & ~bad).drop(CORRUPT).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
+def _reads_data(parsed: DataFrame) -> Column:
+    """Always true. Spark wants a data column used beside the one for bad records."""
+    return F.coalesce(F.col(parsed.columns[0]).cast("string"), F.lit("")) >= ""
+
+
+def good_lines(parsed: DataFrame) -> DataFrame:
+    """Typed rows of :func:`parse_observations`; NaN is read as null."""
+    floats = [f.name for f in parsed.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    rows = parsed.filter(_reads_data(parsed) & F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
+def bad_lines(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(_reads_data(parsed) & F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
+def read_observations(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS, rejects: bool = False
+) -> DataFrame:
+    """Typed rows of headed CSV files, checked against the declared schema. NaN is read as null.
+
+    A line that does not fit is left out here and returned, as text in ``_corrupt``, by ``rejects=True``.
+    """
+    parsed = parse_observations(spark, path, schema)
+    return bad_lines(parsed) if rejects else good_lines(parsed)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

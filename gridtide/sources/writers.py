@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from gridtide.sources.readers import exists, read_lookup_json, read_observations
+from gridtide.sources.readers import CORRUPT, bad_lines, exists, good_lines, parse_observations, read_lookup_json
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -54,7 +55,7 @@ def land_raw(
     """Land a drop directory: every CSV file becomes a typed parquet table of the same name, and so does the lookup file.
 
     ``schemas`` gives the columns per file name (without ``.csv``); a file without an entry is landed with all its columns as text.
-    Lines that do not fit their schema go to ``<name>_rejects``. Returns the names of the tables written now.
+    Lines that do not fit their schema go to ``<name>_rejects``, if there are any. Returns the names of the tables written now.
     """
     src, dst = src_dir.rstrip("/"), dst.rstrip("/")
     written = []
@@ -63,12 +64,10 @@ def land_raw(
         ddl = schemas.get(name)
         if ddl is None:
             build = partial(lambda at: spark.read.option("header", True).csv(at), source)
+            done = write_stage(build, target, force, spark=spark)
         else:
-            build = partial(read_observations, spark, source, ddl)
-        if write_stage(build, target, force, spark=spark):
-            written.append(name)
-            if ddl is not None:
-                write_table(read_observations(spark, source, ddl, rejects=True), f"{target}_rejects")
+            done = _land_typed(spark, source, target, ddl, force)
+        written += [name] if done else []
     if lookup is not None:
         name = lookup.rsplit("/", 1)[-1].removesuffix(".json")
         build = partial(read_lookup_json, spark, f"{src}/{lookup}")
@@ -77,6 +76,20 @@ def land_raw(
     return written
 
 
+def _land_typed(spark: SparkSession, source: str, target: str, ddl: str, force: bool) -> bool:
+    """Bad lines are counted while the good ones are written; the file is read again only if there are some."""
+    seen = Observation()
+    parsed = parse_observations(spark, source, ddl)
+
+    def build() -> DataFrame:
+        return good_lines(parsed.observe(seen, F.count(CORRUPT).alias("bad")))
+
+    done = write_stage(build, target, force, spark=spark)
+    if done and seen.get["bad"]:
+        write_table(bad_lines(parsed), f"{target}_rejects")
+    return done
+
+
 def _csv_names(spark: SparkSession, src: str) -> list[str]:
     """Names in one directory that end in ``.csv``, without it. A name may be a file or a directory of part files."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/*.csv")
