@@ -31,7 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 EVENTS = SeriesSpec(("event_type",), time="ts", target="value", step="1 hour")
 USERS = SeriesSpec(("user_id",), time="ts", target="value", step="1 day")
-MONTHLY = SeriesSpec(("l_suppkey",), time="month", target="quantity", step="1 month")
+MONTHLY = SeriesSpec(("l_suppkey",), time="month", target="quantity", step="1 month", unique=True)
 ORDERS = SeriesSpec(("o_orderkey",), time="o_orderdate", target="o_totalprice", step="1 day")
 HOURLY_FEATURES = FeatureSpec(lags=(24, 48), transform_lags=(24,), rolling_windows=(6, 12))
 MONTHLY_FEATURES = FeatureSpec(lags=(1, 2, 12), transform_lags=(1,), rolling_windows=(3, 6), date_parts=())
@@ -65,9 +65,8 @@ def _hourly(spark, d):
 
 def _dense(spark, d):
     """Hourly means per event type with a row, perhaps null, for each hour; and the spec sized for it."""
-    rows = _hourly(spark, d)
-    spec = settle(rows, EVENTS)
-    return calendar.densify(rows, spec), spec
+    spec = settle(_table(spark, d, "events"), EVENTS.with_(unique=True))
+    return calendar.densify(_hourly(spark, d), spec), spec
 
 
 def _filled(spark, d):
@@ -111,7 +110,8 @@ def densify(spark, d):
 
 @query
 def missing_times(spark, d):
-    return calendar.missing_times(_hourly(spark, d), EVENTS)
+    spec = settle(_table(spark, d, "events"), EVENTS.with_(unique=True))
+    return calendar.missing_times(_hourly(spark, d), spec)
 
 
 @query
@@ -229,7 +229,7 @@ def feature_stage(spark, d):
     return _rounded(feature_table(known, spec, FeatureSpec((1, 3), (1,), (2,), True, ("month",)), drop=["row_id"]))
 
 
-_OBS = SeriesSpec(("supplier", "is_returned"), time="period", target="target", step="1 month")
+_OBS = SeriesSpec(("supplier", "is_returned"), time="period", target="target", step="1 month", unique=True)
 
 
 def _observations(spark, d):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import Step
-from gridtide.operators.layout import bucket_of, cut, in_order, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_of, cut, depth_of, in_order, known_keys, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _LO, _K, _PREV_K, _AT = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at"
@@ -36,7 +36,9 @@ def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         rows = series_stats(cut(rows, spec), spec, {_LO: ("min", spec.time)})
     rows = rows.withColumn(_K, grid.between(F.col(_LO), F.col(spec.time)))
     rows = rows.filter(grid.plus(F.col(_LO), F.col(_K)) == F.col(spec.time))
-    rows = running(rows, spec.keys, [spec.time], {_PREV_K: ("last", _K)}, bucket=bucket_of(spec), inclusive=False)
+    rows = running(
+        rows, spec.keys, [spec.time], {_PREV_K: ("last", _K)}, bucket_of(spec), inclusive=False, depth=depth_of(spec)
+    )
     first = F.when(
         F.col(_PREV_K) == F.col(_K), F.raise_error(F.lit("densify: a series has two rows for one time"))
     ).otherwise(F.coalesce(F.col(_PREV_K) + 1, F.col(_K)))
@@ -93,5 +95,6 @@ def resample(
         out = out.withColumn(spec.target, F.coalesce(spec.target, F.lit(0.0)))
     if not dense:
         return out
-    out = densify(out, spec.with_(keys=keys, step=every))
+    # measured on the rows: cheaper than on the buckets, which would be built twice
+    out = densify(out, settle(rows, spec.with_(keys=keys, step=every, unique=True)))
     return out.fillna(0, subset=[spec.target]) if agg in ("sum", "count") else out

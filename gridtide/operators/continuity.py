@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
-from gridtide.operators.layout import bucket_by_value, bucket_of, cut, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_by_value, bucket_of, cut, depth_of, known_keys, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _STEPS = "_gt_steps"
@@ -17,7 +17,7 @@ def time_steps(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
     previous = {"prev_time": ("last", spec.time)}
-    out = running(rows, spec.keys, [spec.time], previous, bucket=bucket_of(spec), inclusive=False)
+    out = running(rows, spec.keys, [spec.time], previous, bucket_of(spec), inclusive=False, depth=depth_of(spec))
     return out.withColumn("step", F.col(spec.time) - F.col("prev_time"))
 
 

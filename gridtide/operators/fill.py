@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.operators.layout import bucket_of, known_keys, running, settle
+from gridtide.operators.layout import bucket_of, depth_of, known_keys, running, settle
 from gridtide.spec import SeriesSpec
 
 
@@ -30,18 +30,18 @@ def forward_fill(
         part, by = spec.keys, [spec.time]
         rows = known_keys(df, part)
         spec = settle(rows, spec)
-        bucket = bucket_of(spec)
+        bucket, depth = bucket_of(spec), depth_of(spec)
     elif scope == "frame":
         if order is None:
             raise ValueError("scope='frame' needs the order column")
         part, by = tuple(partition), [order]
         rows = known_keys(df, part)
-        bucket = F.floor(F.col(order) / spec.chunk_rows)
+        bucket, depth = F.floor(F.col(order) / spec.chunk_rows), 2
     else:
         raise ValueError(f"unknown scope: {scope!r}")
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (*part, *by, *spec.keys, spec.time)]
     filled = {c: f"_gt_fill_{c}" for c in cols}
-    out = running(rows, part, by, {new: ("last", c) for c, new in filled.items()}, bucket=bucket)
+    out = running(rows, part, by, {new: ("last", c) for c, new in filled.items()}, bucket, depth=depth)
     return out.select(*[F.col(filled[c]).alias(c) if c in filled else F.col(f"`{c}`") for c in df.columns])
 
 

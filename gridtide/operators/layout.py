@@ -34,9 +34,17 @@ def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def settle(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
-    """Replace layout ``auto`` by the layout that fits this table (one aggregate over keys and time)."""
+    """Replace layout ``auto`` by the layout that fits this table (one aggregate over keys and time at most)."""
     if spec.layout != "auto":
         return spec
+    if spec.unique:
+        # months between the first and the last year a timestamp can hold
+        if spec.grid.is_calendar and spec.whole_limit >= 12 * 9999:
+            return spec.with_(layout="whole")
+        ends = df.agg(F.min(spec.time).alias("lo"), F.max(spec.time).alias("hi"))
+        span = ends.select((spec.grid.between(F.col("lo"), F.col("hi")) + 1).alias("span")).first()["span"]
+        if (span or 0) <= spec.whole_limit:
+            return spec.with_(layout="whole")
     per_series = df.groupBy(*spec.keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(spec.time).alias("lo"), F.max(spec.time).alias("hi")
     )
@@ -71,6 +79,11 @@ def bucket_of(spec: SeriesSpec) -> Column | None:
     return None if spec.layout == "whole" else chunk_of(spec)
 
 
+def depth_of(spec: SeriesSpec) -> int:
+    """Levels of pieces: a regular series has one piece per ``chunk_rows`` rows, a short list; an uneven one may have many more."""
+    return 1 if spec.chunk_micros is None else 2
+
+
 def bucket_by_value(df: DataFrame, col: str) -> Column | None:
     """A whole number that does not decrease with ``col``, to cut an order over values; None if there is none."""
     kind = df.schema[col].dataType
@@ -197,6 +210,7 @@ def over_series(
         [spec.time],
         {_POS: ("sum", one), **{names[new]: how_col for new, how_col in totals.items()}},
         bucket=chunk_of(spec),
+        depth=depth_of(spec),
     ).drop(one, _BUCKET)
     size = max(spec.chunk_rows, reach, 1)
     pos = F.col(_POS) - 1

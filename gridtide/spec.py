@@ -34,6 +34,9 @@ class SeriesSpec(_Json):
     * ``"auto"``: measure the longest series first (one aggregate), and take ``"whole"`` only if it has at most
       ``whole_limit`` rows.
 
+    ``unique`` promises at most one row per series and step (as after ``resample``). The extent of the whole table then bounds its
+    longest series, and ``"auto"`` has less to measure, or nothing for calendar months.
+
     ``chunk_micros`` is the length of a piece in microseconds, for series with more than one row per step; ``"auto"`` sets it
     from the largest number of rows in one step.
     """
@@ -46,6 +49,7 @@ class SeriesSpec(_Json):
     chunk_rows: int = 1 << 16
     whole_limit: int = 2_000_000
     chunk_micros: int | None = None
+    unique: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(self.keys))

@@ -255,6 +255,9 @@ def test_auto_layout(spark):
     df, spec = panel(spark, {0: [(t, 1) for t in hours(*range(20))], 1: [(t, 1) for t in hours(0, 3)]}, "auto", 4)
     assert settle(df, spec).layout == "whole"
     assert settle(df, spec.with_(whole_limit=10)).layout == "chunked"
+    assert settle(df, spec.with_(unique=True)).layout == "whole"
+    assert settle(df, spec.with_(unique=True, whole_limit=10)).layout == "chunked"
+    assert settle(df, spec.with_(unique=True, step="1 month")).layout == "whole"
     # ten rows in one minute: pieces shorter than a step, same result
     crowd = [(T0 + timedelta(minutes=i / 10), None if i % 3 else i) for i in range(100)]
     df, spec = panel(spark, {0: crowd}, "auto", 4)
