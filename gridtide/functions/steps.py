@@ -1,6 +1,6 @@
 """Arithmetic on a regular time step, for zone-less (TIMESTAMP_NTZ) columns.
 
-Everything is built from ``datediff`` and the clock parts, so no value passes through the session
+Everything is built from intervals, ``datediff`` and the clock parts, so no value passes through the session
 time zone and a daylight-saving change can neither lose nor repeat an hour.
 """
 
@@ -25,12 +25,11 @@ _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 def micros(t: Column | str) -> Column:
     """Microseconds since 1970-01-01 of a zone-less timestamp."""
     t = F.col(t) if isinstance(t, str) else t
-    seconds = (
-        F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400
-        + F.hour(t) * 3_600
-        + F.minute(t) * 60
-    )
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    since = t - F.expr(_EPOCH)
+    seconds = since.cast("interval second").cast("bigint")
+    rest = since - F.expr("interval '1' second") * seconds
+    # a million times the rest, in seconds, is the rest in microseconds
+    return seconds * 1_000_000 + (rest * 1_000_000).cast("interval second").cast("bigint")
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from gridtide.operators.layout import small_copy
 from gridtide.operators.order_stats import quantiles
 
-_X, _BIN = "_gt_x", "bin"
+_X, _W, _BIN = "_gt_x", "_gt_w", "bin"
 #: beyond this many bandwidths the Gaussian kernel is zero in double precision: exp(-z²/2) underflows
 _KERNEL_REACH = 39.0
 
@@ -123,10 +123,20 @@ def kde(
         x = x.filter(F.col(by).isNotNull())
     stats = small_copy(
         x.groupBy(*group).agg(
-            F.count(_X).alias("n"), F.stddev_samp(_X).alias("std"), F.min(_X).alias("lo"), F.max(_X).alias("hi")
+            F.count(_X).alias("n"),
+            F.stddev_samp(_X).alias("std"),
+            F.min(_X).alias("lo"),
+            F.max(_X).alias("hi"),
+            F.approx_count_distinct(_X).alias("values"),
         )
     )
-    total = stats.agg(F.sum("n").alias("n")).first()["n"] or 0
+    sizes = stats.agg(F.sum("n").alias("n"), F.sum("values").alias("values")).first()
+    total = sizes["n"] or 0
+    # where values repeat, count them first; otherwise that would only shuffle the rows
+    if (sizes["values"] or 0) * 10 < total:
+        x = x.groupBy(*group, _X).agg(F.count(F.lit(1)).alias(_W))
+    else:
+        x = x.withColumn(_W, F.lit(1))
     stats = stats.filter("std > 0")
     stats = stats.withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("g0", F.col("lo") - cut * F.col("h")).withColumn(
@@ -147,7 +157,7 @@ def kde(
     last = F.least(F.floor(place + reach), F.lit(grid - 1).cast("bigint"))
     spread = points.filter(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
     z = (F.col("g0") + F.col("point") * F.col("dx") - F.col(_X)) / F.col("h")
-    mass = spread.groupBy(*group, "point").agg(F.sum(F.exp(-0.5 * z * z)).alias("mass"))
+    mass = spread.groupBy(*group, "point").agg(F.sum(F.col(_W) * F.exp(-0.5 * z * z)).alias("mass"))
     # grid points far from every value have density zero but are still part of the curve
     if by:
         curve = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))

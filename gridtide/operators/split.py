@@ -89,20 +89,21 @@ def expanding_folds(
         raise ValueError(f"too few rows for {k} folds")
     at_time = {i: int(r["value"]) for i, r in bound.items()}
 
-    t, digest = micros(spec.time), _digest(ties)
+    t, digest = F.col(spec.time), _digest(ties)
+    at = {i: _instant(_instant_of(m)) for i, m in at_time.items()}
     if by == "time":
-        bounds = [t >= m for m in at_time.values()]
+        passed = [F.when(t >= at[i], 1).otherwise(0) for i in at]
     else:
         first = _boundary_digests(timed, spec, ties, {i: (at_time[i], r["offset"]) for i, r in bound.items()})
-        bounds = [(t > m) | ((t == m) & (digest >= F.lit(first[i]))) for i, m in at_time.items()]
-    block = sum((F.when(b, 1).otherwise(0) for b in bounds), F.lit(0))
-    return df.withColumn("block", F.when(F.col(spec.time).isNotNull(), block))
+        # the digest is a branch of its own: it is computed for the rows at a boundary time only
+        passed = [F.when(t > at[i], 1).when(t == at[i], (digest >= F.lit(first[i])).cast("int")).otherwise(0) for i in at]
+    return df.withColumn("block", F.when(t.isNotNull(), sum(passed, F.lit(0))))
 
 
 def _boundary_digests(df: DataFrame, spec: SeriesSpec, ties: Sequence[str], bound: dict[int, tuple[int, int]]) -> dict[int, str]:
     """Digest of each boundary row, given its time and its place among the rows that share this time."""
     times = sorted({m for m, _ in bound.values()})
-    tied = df.filter(F.col(spec.time).isin([_instant_of(m) for m in times]))
+    tied = df.filter(F.col(spec.time).isin([_instant(_instant_of(m)) for m in times]))
     tied = tied.select(micros(spec.time).alias(_M), _digest(ties).alias(_DIGEST))
     # two levels: count by the first digits of the digest, then order the rows of the one prefix that is hit
     tied = tied.withColumn("prefix", F.substring(_DIGEST, 1, 4))

@@ -265,3 +265,24 @@ def test_auto_layout(spark):
     assert cut.chunk_micros == 3_600_000_000 * 4 // 100
     a, b = (forward_fill(df, s, ["target"]).orderBy("datetime").collect() for s in (spec, cut))
     assert a == b
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Tallinn", "America/New_York"])
+def test_time_arithmetic_ignores_the_session_zone(spark, zone):
+    from gridtide.functions.steps import Step, micros
+
+    texts = ["2021-03-28 03:30:00.123456", "2021-10-31 02:59:59.999999", "1969-12-31 23:59:59.5", "1900-01-01", "2024-02-29 12:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        for r in df.select("t", micros("t").alias("m"), *[Step.parse(s).floor("t").alias(s) for s in ("1 hour", "15 minute", "1 month")]).collect():
+            assert r.m == (r.t - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+            assert r["1 hour"] == r.t.replace(minute=0, second=0, microsecond=0)
+            assert r["15 minute"] == r.t.replace(minute=r.t.minute // 15 * 15, second=0, microsecond=0)
+            assert r["1 month"] == r.t.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
+        rows, spec = panel(spark, {k: [(t, k) for t in hours(0, 1, 2)] for k in range(11)})
+        sizes = {r.block: r["count"] for r in expanding_folds(rows, spec, 4).groupBy("block").count().collect()}
+        assert sizes == {0: 9, 1: 6, 2: 6, 3: 6, 4: 6}
+        assert cutoff_at_fraction(rows, spec, 0.5).first().cutoff == hours(1)[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
