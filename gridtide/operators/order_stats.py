@@ -1,8 +1,8 @@
 """Exact order statistics without sorting a column and without holding its values in one task.
 
-A position is narrowed down in up to three counting passes: by order of magnitude, by place inside the chosen
-magnitude, and by value inside the chosen place. Each pass is a map-side combined count with a bounded number
-of buckets, so a heavy group or a heavy value costs no more than any other. The last passes are left out once the
+A position is narrowed down in counting passes: by order of magnitude, by place inside the chosen magnitude (again while
+a place still holds many rows), and by value inside the chosen place. Each pass is a map-side combined count with a
+bounded number of buckets, so a heavy group or a heavy value costs no more than any other. Passes end as soon as the
 chosen buckets hold a single value.
 """
 
@@ -11,15 +11,20 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.operators.layout import as_local, collect_small
 
-#: buckets per unit of ln|x| in the first pass (0.1 % wide), and buckets per first-pass bucket in the second
-_PER_E, _PER_BUCKET = 1024, 1 << 21
+#: buckets per unit of ln|x| in the first pass (0.1 % wide), and places per bucket in the passes after it
+_PER_E, _PER_BUCKET = 1024, 1 << 16
+#: rows of a place whose values are counted one by one
+_FEW = 1 << 20
+#: after this many passes by place, no place holds more than one double: 0.1 % of a magnitude has less than 2^(16·3)
+_PLACES = 3
 
-_V, _B1, _B2, _LO, _HI, _N, _AT = "_gt_v", "_gt_b1", "_gt_b2", "_gt_lo", "_gt_hi", "_gt_n", "_gt_at"
+_V, _B1, _LO, _HI, _N, _AT = "_gt_v", "_gt_b1", "_gt_lo", "_gt_hi", "_gt_n", "_gt_at"
 _WANTED, _ALL = "_gt_wanted", "_gt_all"
 
 
@@ -45,7 +50,7 @@ def _pick(counts: DataFrame, within: Sequence[str], bucket: str) -> DataFrame:
     moved = F.transform(
         here, lambda t: F.struct(t["target"], (t["position"] - before).alias("position"), t["n"])
     )
-    return counts.withColumn(_AT, F.sum(_N).over(w)).withColumn(_WANTED, moved).filter(F.size(_WANTED) > 0).drop(_AT, _N)
+    return counts.withColumn(_AT, F.sum(_N).over(w)).withColumn(_WANTED, moved).filter(F.size(_WANTED) > 0).drop(_AT)
 
 
 def values_at(
@@ -72,22 +77,24 @@ def values_at(
     where, inside = [*group, _B1], rows1
     picked = _pick(counts1.withColumn(_WANTED, wanted).drop(_ALL), group, _B1)
     found = []
-    for bucket in (_B2, _V):
+    for depth in range(_PLACES + 1):
         local = collect_small(picked)
         picked = picked if local is None else as_local(picked, local)
         found.append(_answers(picked.filter(F.col(_LO) == F.col(_HI)), group))
         if local is not None and local.column(_LO).equals(local.column(_HI)):
-            return reduce(DataFrame.unionByName, found)
+            break
         still = picked.filter(F.col(_LO) < F.col(_HI))
-        if bucket == _B2:
-            inside = inside.join(still.select(*where, _LO, _HI), where)
-            inside = inside.withColumn(_B2, _place(F.col(_V), F.col(_LO), F.col(_HI))).drop(_LO, _HI)
-        else:
-            # few enough values are left to count each
-            inside = inside.join(still.select(*where), where)
+        done = depth == _PLACES or (local is not None and pc.max(local.column(_N)).as_py() <= _FEW)
+        inside = inside.join(still.select(*where, _LO, _HI), where)
+        bucket = _V if done else f"_gt_place{depth}"
+        if not done:
+            inside = inside.withColumn(bucket, _place(F.col(_V), F.col(_LO), F.col(_HI)))
+        inside = inside.drop(_LO, _HI)
         counts = _counts(inside, [*where, bucket]).join(still.select(*where, _WANTED), where)
         picked, where = _pick(counts, where, bucket), [*where, bucket]
-    found.append(_answers(picked, group))
+        if done:
+            found.append(_answers(picked, group))
+            break
     return reduce(DataFrame.unionByName, found)
 
 
