@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from gridtide.session import scratch
 
+ROW_GROUP_BYTES = 4 << 20
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read again.
 
-    Cuts the lineage, so what follows does not compute ``df`` again, and survives lost executors.
+    Cuts the lineage, so what follows does not compute ``df`` again, and survives lost executors. Row groups are small: a reader holds a
+    whole column of one, outside of the heap.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -49,7 +49,7 @@ def _name_blocks(blocks: DataFrame) -> DataFrame:
     cold = blocks.join(hot, "h", "left_anti").withColumn("bucket", F.pmod("h", F.lit(64 * parts)))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("block"))
     cold = cold.select("row", "pos", "n", (F.col("bucket") * F.lit(1 << 32) + rank).alias("name"))
-    shared = blocks.join(hot, "h", "left_semi").select("row", "pos", "n", "block")
+    shared = stage(blocks.join(hot, "h", "left_semi").select("row", "pos", "n", "block"), "shared-blocks")
     named = stage(numbered(shared.select("block").distinct(), "block", into="name"), "block-names")
     return cold.union(shared.join(named, "block").select("row", "pos", "n", (-1 - F.col("name")).alias("name")))
 
