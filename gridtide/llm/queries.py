@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import exact_dedup, simhash
+from gridtide.llm import bpe, exact_dedup, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL}
@@ -29,3 +30,10 @@ def op1_simhash_near_dedup(spark, d):
 @query
 def op4_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(_table(spark, d, "documents"))
+
+
+@query
+def op10_byte_bpe(spark, d):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = bpe.encode(_table(spark, d, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(ids.select("doc_id", "ids"), ranks))
