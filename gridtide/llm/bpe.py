@@ -342,11 +342,12 @@ def sliced(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Itera
         at = end
 
 
-def digests(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of rows with ids and decoded text."""
+def digests(df: DataFrame, *more: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, more columns) of rows with ids and decoded text."""
     return df.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

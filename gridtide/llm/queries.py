@@ -7,10 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import bpe, exact_dedup, simhash
+from gridtide.llm import bpe, exact_dedup, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL}
+ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
 
 
 def query(fn):
@@ -32,6 +32,17 @@ def op4_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(_table(spark, d, "documents"))
 
 
+@query
+def op7_source_mixing(spark, d):
+    return mixing.copies(_table(spark, d, "documents"))
+
+
+@query
+def op8_quality_classifier(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    return quality.scored(docs, quality.train(docs, _table(spark, d, "labels")))
+
+
 @query
 def op10_byte_bpe(spark, d):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
