@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import bpe, exact_dedup, mixing, quality, simhash
+from gridtide.llm import bpe, exact_dedup, mixing, piecewise, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
@@ -32,6 +32,11 @@ def op4_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(_table(spark, d, "documents"))
 
 
+@query
+def op5_document_fingerprints(spark, d):
+    return piecewise.with_edited(_table(spark, d, "documents"))
+
+
 @query
 def op7_source_mixing(spark, d):
     return mixing.copies(_table(spark, d, "documents"))
