@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import bpe, exact_dedup, mixing, piecewise, quality, simhash
+from gridtide.llm import bpe, exact_dedup, html_text, mixing, piecewise, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
@@ -48,6 +48,11 @@ def op8_quality_classifier(spark, d):
     return quality.scored(docs, quality.train(docs, _table(spark, d, "labels")))
 
 
+@query
+def op9_html_main_text(spark, d):
+    return html_text.main_text(_table(spark, d, "pages"))
+
+
 @query
 def op10_byte_bpe(spark, d):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
