@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import bpe, exact_dedup, html_text, mixing, piecewise, quality, simhash
+from gridtide.llm import bpe, exact_dedup, html_text, licenses, mixing, piecewise, pseudonyms, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
@@ -27,6 +27,11 @@ def op1_simhash_near_dedup(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"))
 
 
+@query
+def op2_license_scan(spark, d):
+    return licenses.scan(licenses.shelved(_table(spark, d, "documents")))
+
+
 @query
 def op4_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(_table(spark, d, "documents"))
@@ -37,6 +42,15 @@ def op5_document_fingerprints(spark, d):
     return piecewise.with_edited(_table(spark, d, "documents"))
 
 
+#: a key for the sample tables; real ones come from the caller and are kept secret
+SAMPLE_KEY = b"sample key, not a secret"
+
+
+@query
+def op6_pii_pseudonyms(spark, d):
+    return pseudonyms.with_pseudonyms(_table(spark, d, "documents"), SAMPLE_KEY)
+
+
 @query
 def op7_source_mixing(spark, d):
     return mixing.copies(_table(spark, d, "documents"))
