@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridtide.llm import bpe, exact_dedup, html_text, licenses, mixing, piecewise, pseudonyms, quality, simhash
+from gridtide.llm import bpe, exact_dedup, html_text, licenses, mixing, piecewise, pseudonyms, quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
@@ -32,6 +32,11 @@ def op2_license_scan(spark, d):
     return licenses.scan(licenses.shelved(_table(spark, d, "documents")))
 
 
+@query
+def op3_substring_dedup(spark, d):
+    return substrings.passages(_table(spark, d, "documents"))
+
+
 @query
 def op4_exact_dedup(spark, d):
     return exact_dedup.exact_duplicates(_table(spark, d, "documents"))
