@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: entries of the tables, at most (of pairs, words and pieces, in each of two generations)
-KEPT_STATES = 150_000
-KEPT_PAIRS = 400_000
-KEPT_WORDS = 60_000
+KEPT_STATES = 120_000
+KEPT_PAIRS = 60_000
+KEPT_WORDS = 120_000
 KEPT_PIECES = 150_000
 #: bytes of text in a batch of results; ids that are decoded at a time
 BATCH_BYTES = 8 << 20
@@ -71,15 +71,24 @@ class Transducer:
     """Encodes pieces of bytes.
 
     A state holds the bytes since the last settled token and the nodes that paths of live positions go through: (position, token that ends
-    there, position before). The settled token itself is told apart only while another token may start right after it.
+    there, position before). The settled token itself is told apart only while it matters: while another token may start right after it, and
+    some merge could join the two.
     """
 
     def __init__(self, ranks: dict[bytes, int], kept_states: int = KEPT_STATES):
         self.ranks, self.kept = ranks, kept_states
         self.tokens = {i: t for t, i in ranks.items()}
-        self.prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
+        #: of what begins a longer token, the least rank of such tokens
+        self.prefixes: dict[bytes, int] = {}
+        for token, rank in ranks.items():
+            for n in range(1, len(token)):
+                begin = token[:n]
+                if self.prefixes.get(begin, rank) >= rank:
+                    self.prefixes[begin] = rank
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.alone: dict[int, bool] = {}
         self.pairs = Kept(lambda pair: self._fits(*pair), KEPT_PAIRS)
+        self.weight = Kept(lambda pair: self._matters(pair >> 8, pair & 255), KEPT_PAIRS)
         self._reset()
 
     def _reset(self) -> None:
@@ -113,16 +122,22 @@ class Transducer:
             self.halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
         return self.halves[token]
 
+    def _alone(self, token: int) -> bool:
+        """Whether merging the bytes of a token gives the token."""
+        if token not in self.alone:
+            self.alone[token] = len(self.merge(self.tokens[token])) == 1
+        return self.alone[token]
+
     def _fits(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of two tokens gives these two. (-1, t): whether merging the bytes of t gives t.
+        """Whether merging the bytes of two tokens gives these two; -1 stands for a left one that does not matter.
 
         Goes back in time from the two tokens: while two parts touch where the tokens meet, they must not have a rank that comes before the
         merge that took one of them away. Of equal ranks the left one is first.
         """
-        if left < 0:
-            return len(self.merge(self.tokens[right])) == 1
+        if not self._alone(right):
+            return False
         before = 1 << 60
-        while True:
+        while left >= 0:
             if self.ranks.get(self.tokens[left] + self.tokens[right], before) < before:
                 return False
             a, b = self._halves(left), self._halves(right)
@@ -131,38 +146,63 @@ class Transducer:
             elif b:
                 before, right = right + 1, b[0]
             else:
+                break
+        return True
+
+    def _matters(self, token: int, byte: int) -> bool:
+        """Whether a token can fail to fit before some token that begins with a byte.
+
+        It cannot if none of the parts that touch its end could merge with bytes from there on before it was taken away.
+        """
+        before, byte = 1 << 60, bytes((byte,))
+        while True:
+            begin = self.tokens[token] + byte
+            if min(self.ranks.get(begin, before), self.prefixes.get(begin, before)) < before:
                 return True
+            halves = self._halves(token)
+            if not halves:
+                return False
+            before, token = token, halves[1]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the step of a state."""
         pending, nodes = self.states[state]
         pending += bytes((byte,))
-        size, ranks, tree, heads = len(pending), self.ranks, {}, {len(pending)}
-        for at, token, start in nodes:
-            tree[at] = token, start
+        size, prefixes, tree, heads = len(pending), self.prefixes, {}, [len(pending)]
+        for node in nodes:
+            at = node[0]
+            tree[at] = node
             after = pending[at:]
             if size not in tree:
-                here = ranks.get(after)
-                if here is not None and self.pairs[token, here]:
-                    tree[size] = here, at
-            if after in self.prefixes:
-                heads.add(at)
+                here = self.ranks.get(after)
+                if here is not None and self.pairs[node[1], here]:
+                    tree[size] = size, here, at
+            if after in prefixes:
+                heads.append(at)
         if size not in tree:
             raise ValueError("the vocabulary lacks a byte or a merge")
         # from the live positions back to the last one that all their paths share: what is before that is settled
-        opened, used = frozenset(heads), []
+        opened, used = heads[1:], []
         while len(heads) > 1:
             last = max(heads)
-            used.append(last)
-            heads.remove(last)
-            heads.add(tree[last][1])
-        (root,) = heads
-        settled, at = [], root
+            used.append(tree[last])
+            heads = [at for at in heads if at != last]
+            start = tree[last][2]
+            if start not in heads:
+                heads.append(start)
+        root = at = heads[0]
+        settled = []
         while at:
-            token, at = tree[at]
+            _, token, at = tree[at]
             settled.append(token)
-        top = (0, tree[root][0] if root in opened else -2, 0)
-        target = self._state(pending[root:], (top, *[(at - root, tree[at][0], tree[at][1] - root) for at in reversed(used)]))
+        pending = pending[root:]
+        top = tree[root][1]
+        if top >= 0 and pending and not (root in opened and self.weight[top << 8 | pending[0]]):
+            top = -1
+        used.reverse()
+        if root:
+            used = [(at - root, token, start - root) for at, token, start in used]
+        target = self._state(pending, ((0, top, 0), *used))
         found = self.steps[state << 8 | byte] = target, tuple(reversed(settled))
         return found
 
@@ -203,12 +243,12 @@ class Encoder:
         self.words = Kept(lambda word: self._packed(" " + word), KEPT_WORDS)
 
     def _packed(self, text: str) -> bytes:
-        return b"".join([self.pieces[piece] for piece in self.pattern.findall(text)])
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """The ids, four bytes each."""
         first, *rest = self.cuts.split(text)
-        return self._packed(first) + b"".join([self.words[word] for word in rest])
+        return self._packed(first) + b"".join(map(self.words.__getitem__, rest))
 
 
 # decoding
