@@ -88,10 +88,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text counts as empty. Empty texts are equal to each other. An empty table gives no rows. Other columns are not looked at.
     """
     rows = stage(identities(docs, id_col, text_col, block_bytes), "identities")
-    groups = rows.groupBy("rounds", "name").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("doc", "row")).alias("keep")
+    # written, so that both sides of the join are shuffled for it and a hot group can be split
+    groups = stage(
+        rows.groupBy("rounds", "name").agg(F.count("*").alias("group_size"), F.max(F.struct("doc", "row")).alias("keep")), "groups"
     )
-    return rows.join(groups.repartitionByRange("rounds", "name"), ["rounds", "name"]).select(
+    return rows.join(groups, ["rounds", "name"]).select(
         F.col("doc").alias("doc_id"),
         F.col("keep.doc").alias("keep_id"),
         "group_size",
