@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +26,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for an application: functions that run there import it."""
+    root = Path(__file__).resolve().parents[1]
+    files = {str(p.relative_to(root.parent)): p.read_bytes() for p in sorted(root.rglob("*.py"))}
+    mark = hashlib.sha256(repr(files).encode()).hexdigest()[:16]
+    if (spark.sparkContext.applicationId, mark) not in _shipped:
+        path = Path(tempfile.mkdtemp(prefix="code-"), f"{root.name}-{mark}.zip")  # on the driver, which serves it
+        with zipfile.ZipFile(path, "w") as archive:
+            for name, data in files.items():
+                archive.writestr(name, data)
+        spark.sparkContext.addPyFile(str(path))
+        _shipped.add((spark.sparkContext.applicationId, mark))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import ship
+
 # fixed values: element names of HTML
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4"
@@ -245,6 +247,7 @@ def extract(page: str, table: dict[str, float]) -> str:
 
 def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     """Weights from all pages that mark their main part."""
+    ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -270,6 +273,7 @@ def main_text(
     A null or empty page, and one without a region above zero, has an empty text. Without labelled pages, words weigh by
     what their context says. Repeated rows are returned as often as they come; an empty table gives no rows. Other columns are not looked at.
     """
+    ship(pages.sparkSession)
     table = learn(pages, html_col) if table is None else table
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import stage
+from gridtide.llm.common import ship, stage
 
 THRESHOLD = 0.75
 #: fixed values: short notices as licences and their users word them
@@ -88,6 +88,7 @@ class Matcher:
 
 def count_words(files: DataFrame, words: set[str], text_col: str = "text") -> tuple[int, dict[str, int]]:
     """(number of files, files that have each of some words); the result has the size of the templates' vocabulary."""
+    ship(files.sparkSession)
     wanted = frozenset(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import partitions
+from gridtide.llm.common import partitions, ship
 
 WINDOW = 7
 #: pieces that are aimed at; ends there should be at least; a repetitive text may have at most
@@ -155,6 +155,7 @@ def likeness(a: str, b: str) -> float:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_chars, fingerprint): one row for each row of ``docs``; a null text counts as empty."""
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,6 +207,7 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Ids are cut into even ranges, a fixed number for each partition; a range gets its rows, and a copy of the first row of the next range.
     So texts are shuffled once, and a task holds two at a time.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     cuts, tops, _ = _places(rows, RANGES * partitions(docs.sparkSession))
     order = list(tops)

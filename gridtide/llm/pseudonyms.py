@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import ship
+
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
@@ -263,6 +265,8 @@ def with_pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     The key is the caller's to keep: it goes to tasks in the function, and into no result.
     """
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyed = Keyed(key)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

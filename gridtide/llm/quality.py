@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.common import ship
+
 PER_CLASS = 1500
 CHUNKS = 16
 WIDTH, STRIDE, PER_CHUNK = 12, 2, 252
@@ -159,6 +161,7 @@ def train(
     with several labels counts with the largest one; null labels and ids are left out. Without rows of both labels, the smoothed share of
     label 1 is every text's probability.
     """
+    ship(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     count = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
@@ -197,6 +200,7 @@ def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
     A null text counts as empty, and an empty one has a score as any other. Repeated rows are returned as often as they come; an empty
     table gives no rows. Other columns are not looked at.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,6 +217,7 @@ def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score below the threshold, in one pass: no join, so ids may repeat or be null."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
     at = docs.columns.index(text_col)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import components, stage
+from gridtide.llm.common import components, ship, stage
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -64,6 +64,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc, fp): the fingerprint of each row as a signed long."""
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
@@ -179,6 +181,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): fingerprints within ``max_bits`` bits, enough of them to connect all that are. ``distinct`` has a column fp, each value once."""
     if max_bits > 5:
         raise ValueError("keys are sure to meet up to five bits only")
+    ship(distinct.sparkSession)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
