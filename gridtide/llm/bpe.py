@@ -28,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.llm.common import ship
+
 #: entries of the tables, at most (of pairs, words and pieces, in each of two generations)
-KEPT_STATES = 120_000
+KEPT_STATES = 150_000
 KEPT_PAIRS = 60_000
 KEPT_WORDS = 120_000
-KEPT_PIECES = 150_000
+KEPT_PIECES = 180_000
+#: bytes between looks at the number of states
+STRIDE = 1 << 12
 #: bytes of text in a batch of results; ids that are decoded at a time
 BATCH_BYTES = 8 << 20
 DECODE_IDS = 1 << 16
@@ -45,6 +49,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
+#: keys of a row that are no bytes
+STATE, END = -1, -2
 
 # the transducer
 
@@ -92,18 +98,15 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[tuple[bytes, tuple]] = []
-        self.known: dict[tuple, int] = {}
-        #: by state and byte, the next state and the tokens that are settled
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._state(b"", ((0, -1, 0),))
-
-    def _state(self, pending: bytes, nodes: tuple) -> int:
-        key = pending, nodes
-        number = self.known.setdefault(key, len(self.states))
-        if number == len(self.states):
-            self.states.append(key)
-        return number
+        #: a state's row: by byte, the row of the next state and the tokens that are settled, packed; under END, what is left, packed
+        self.rows: dict[tuple, dict] = {}
+        self.start = self._row((b"", ((0, -1, 0),)))
+
+    def _row(self, state: tuple[bytes, tuple]) -> dict:
+        row = self.rows.get(state)
+        if row is None:
+            row = self.rows[state] = {STATE: state}
+        return row
 
     def merge(self, piece: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by its definition: the first of the pairs of lowest rank is merged, until no rank is below a limit."""
@@ -164,9 +167,9 @@ class Transducer:
                 return False
             before, token = token, halves[1]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, row: dict, byte: int) -> tuple[dict, bytes]:
         """Make the step of a state."""
-        pending, nodes = self.states[state]
+        pending, nodes = row[STATE]
         pending += bytes((byte,))
         size, prefixes, tree, heads = len(pending), self.prefixes, {}, [len(pending)]
         for node in nodes:
@@ -202,33 +205,39 @@ class Transducer:
         used.reverse()
         if root:
             used = [(at - root, token, start - root) for at, token, start in used]
-        target = self._state(pending, ((0, top, 0), *used))
-        found = self.steps[state << 8 | byte] = target, tuple(reversed(settled))
+        found = row[byte] = self._row((pending, ((0, top, 0), *used))), array("i", reversed(settled)).tobytes()
         return found
 
-    def _end(self, state: int) -> list[int]:
+    def _end(self, row: dict) -> bytes:
         """The tokens of the bytes that are left."""
-        pending, nodes = self.states[state]
+        pending, nodes = row[STATE]
         tree, at, out = {n[0]: n[1:] for n in nodes}, len(pending), []
         while at:
             token, at = tree[at]
             out.append(token)
-        return out[::-1]
+        found = row[END] = array("i", reversed(out)).tobytes()
+        return found
 
-    def encode(self, piece: bytes) -> list[int]:
+    def encode(self, piece: bytes) -> bytes:
+        """The ids of a piece, packed, four bytes each."""
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token, whether merges lead there or not
-            return [whole]
-        out, state, get = [], 0, self.steps.get
-        for byte in piece:
-            state, settled = get(state << 8 | byte) or self._step(state, byte)
-            if settled:
-                out += settled
-            if len(self.states) > self.kept:  # begin anew, from this state
-                kept = self.states[state]
+            return array("i", (whole,)).tobytes()
+        out, row = [], self.start
+        for at in range(0, len(piece), STRIDE):
+            if len(self.rows) > self.kept:  # begin anew, from this state
+                state = row[STATE]
                 self._reset()
-                state, get = self._state(*kept), self.steps.get
-        return out + self._end(state)
+                row = self._row(state)
+            for byte in piece[at : at + STRIDE]:
+                try:
+                    row, settled = row[byte]
+                except KeyError:
+                    row, settled = self._step(row, byte)
+                if settled:
+                    out.append(settled)
+        out.append(row[END] if END in row else self._end(row))
+        return b"".join(out)
 
 
 class Encoder:
@@ -239,7 +248,7 @@ class Encoder:
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         # a space between two characters that are not white space always begins a piece, and what follows does not depend on what is before
         self.cuts = re.compile(f" (?=[^{SPACE}])(?<=[^{SPACE}] )")
-        self.pieces = Kept(lambda piece: array("i", self.transducer.encode(piece.encode())).tobytes(), KEPT_PIECES)
+        self.pieces = Kept(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
         self.words = Kept(lambda word: self._packed(" " + word), KEPT_WORDS)
 
     def _packed(self, text: str) -> bytes:
@@ -337,6 +346,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     """
     if into in docs.columns:
         raise ValueError(f"there is a column {into}")
+    ship(docs.sparkSession)
     shared, key = docs.sparkSession.sparkContext.broadcast((ranks, pattern)), ("encode", pattern, _mark(ranks))
     at = docs.columns.index(text_col)
 
@@ -356,6 +366,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", into: s
     """``df`` with a column of the text that its ids stand for; null ids give an empty text. Bytes that are not UTF-8 become U+FFFD."""
     if into in df.columns:
         raise ValueError(f"there is a column {into}")
+    ship(df.sparkSession)
     shared, key = df.sparkSession.sparkContext.broadcast(ranks), ("decode", _mark(ranks))
     at = df.columns.index(ids_col)
 

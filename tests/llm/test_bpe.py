@@ -40,7 +40,8 @@ def test_bytes_as_the_library_would(ranks, reference):
     transducer, rng, tokens = bpe.Transducer(ranks, kept_states=300), random.Random(2), list(ranks)
     for _ in range(2000):
         piece = b"".join(rng.choice(tokens) for _ in range(rng.randrange(1, 9)))
-        assert transducer.encode(piece) == reference._core_bpe.encode_single_piece(piece)
+        ids = np.frombuffer(transducer.encode(piece), "<i4").tolist()
+        assert ids == reference._core_bpe.encode_single_piece(piece)
 
 
 def test_small_tables_do_not_change_ids(ranks, monkeypatch):
