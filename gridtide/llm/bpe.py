@@ -18,7 +18,7 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,12 @@ from pyspark.sql import types as T
 
 from gridtide.llm.common import ship
 
-#: entries of the tables, at most (of pairs, words and pieces, in each of two generations)
-KEPT_STATES = 150_000
-KEPT_PAIRS = 60_000
-KEPT_WORDS = 120_000
-KEPT_PIECES = 180_000
-#: bytes between looks at the number of states
-STRIDE = 1 << 12
+#: entries of the tables, at most (of pairs and pieces, in each of two generations)
+KEPT_STATES = 180_000
+KEPT_PAIRS = 25_000
+KEPT_PIECES = 140_000
+#: bytes between looks at the number of states; characters that are cut into pieces at a time, or more up to a place to cut
+STRIDE, SLICE = 1 << 12, 1 << 16
 #: bytes of text in a batch of results; ids that are decoded at a time
 BATCH_BYTES = 8 << 20
 DECODE_IDS = 1 << 16
@@ -93,16 +92,16 @@ class Transducer:
                     self.prefixes[begin] = rank
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.alone: dict[int, bool] = {}
-        self.pairs = Kept(lambda pair: self._fits(*pair), KEPT_PAIRS)
+        self.pairs = Kept(lambda pair: self._fits((pair >> 32) - 1, pair & 0xFFFFFFFF), KEPT_PAIRS)
         self.weight = Kept(lambda pair: self._matters(pair >> 8, pair & 255), KEPT_PAIRS)
         self._reset()
 
     def _reset(self) -> None:
         #: a state's row: by byte, the row of the next state and the tokens that are settled, packed; under END, what is left, packed
-        self.rows: dict[tuple, dict] = {}
-        self.start = self._row((b"", ((0, -1, 0),)))
+        self.rows: dict[tuple[bytes, bytes], dict] = {}
+        self.start = self._row((b"", array("i", (0, -1, 0)).tobytes()))
 
-    def _row(self, state: tuple[bytes, tuple]) -> dict:
+    def _row(self, state: tuple[bytes, bytes]) -> dict:
         row = self.rows.get(state)
         if row is None:
             row = self.rows[state] = {STATE: state}
@@ -169,53 +168,54 @@ class Transducer:
 
     def _step(self, row: dict, byte: int) -> tuple[dict, bytes]:
         """Make the step of a state."""
-        pending, nodes = row[STATE]
+        pending, packed = row[STATE]
+        nodes = array("i", packed)
         pending += bytes((byte,))
-        size, prefixes, tree, heads = len(pending), self.prefixes, {}, [len(pending)]
-        for node in nodes:
-            at = node[0]
-            tree[at] = node
+        size, prefixes, tokens, starts, heads = len(pending), self.prefixes, {}, {}, [len(pending)]
+        for at, token, start in zip(nodes[::3], nodes[1::3], nodes[2::3], strict=True):
+            tokens[at], starts[at] = token, start
             after = pending[at:]
-            if size not in tree:
+            if size not in tokens:
                 here = self.ranks.get(after)
-                if here is not None and self.pairs[node[1], here]:
-                    tree[size] = size, here, at
+                if here is not None and self.pairs[token + 1 << 32 | here]:
+                    tokens[size], starts[size] = here, at
             if after in prefixes:
                 heads.append(at)
-        if size not in tree:
+        if size not in tokens:
             raise ValueError("the vocabulary lacks a byte or a merge")
         # from the live positions back to the last one that all their paths share: what is before that is settled
         opened, used = heads[1:], []
         while len(heads) > 1:
             last = max(heads)
-            used.append(tree[last])
-            heads = [at for at in heads if at != last]
-            start = tree[last][2]
-            if start not in heads:
-                heads.append(start)
+            used.append(last)
+            heads.remove(last)
+            if starts[last] not in heads:
+                heads.append(starts[last])
         root = at = heads[0]
-        settled = []
+        settled = array("i")
         while at:
-            _, token, at = tree[at]
-            settled.append(token)
-        pending = pending[root:]
-        top = tree[root][1]
+            settled.append(tokens[at])
+            at = starts[at]
+        settled.reverse()
+        pending, top = pending[root:], tokens[root]
         if top >= 0 and pending and not (root in opened and self.weight[top << 8 | pending[0]]):
             top = -1
-        used.reverse()
-        if root:
-            used = [(at - root, token, start - root) for at, token, start in used]
-        found = row[byte] = self._row((pending, ((0, top, 0), *used))), array("i", reversed(settled)).tobytes()
+        nodes = array("i", (0, top, 0))
+        for at in reversed(used):
+            nodes.extend((at - root, tokens[at], starts[at] - root))
+        found = row[byte] = self._row((pending, nodes.tobytes())), settled.tobytes()
         return found
 
     def _end(self, row: dict) -> bytes:
         """The tokens of the bytes that are left."""
-        pending, nodes = row[STATE]
-        tree, at, out = {n[0]: n[1:] for n in nodes}, len(pending), []
+        pending, packed = row[STATE]
+        nodes = array("i", packed)
+        tree, at, out = {nodes[i]: nodes[i + 1 : i + 3] for i in range(0, len(nodes), 3)}, len(pending), array("i")
         while at:
             token, at = tree[at]
             out.append(token)
-        found = row[END] = array("i", reversed(out)).tobytes()
+        out.reverse()
+        found = row[END] = out.tobytes()
         return found
 
     def encode(self, piece: bytes) -> bytes:
@@ -241,23 +241,24 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to ids. Keeps, packed, the ids of pieces and of what stands between single spaces."""
+    """Texts to ids. Keeps the ids of pieces, packed."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         # a space between two characters that are not white space always begins a piece, and what follows does not depend on what is before
-        self.cuts = re.compile(f" (?=[^{SPACE}])(?<=[^{SPACE}] )")
+        self.cut = re.compile(f" (?=[^{SPACE}])(?<=[^{SPACE}] )")
         self.pieces = Kept(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
-        self.words = Kept(lambda word: self._packed(" " + word), KEPT_WORDS)
-
-    def _packed(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """The ids, four bytes each."""
-        first, *rest = self.cuts.split(text)
-        return self._packed(first) + b"".join(map(self.words.__getitem__, rest))
+        out, at = [], 0
+        while at < len(text):
+            end = self.cut.search(text, at + SLICE) if len(text) - at > SLICE else None
+            end = end.start() if end else len(text)
+            out.append(b"".join(map(self.pieces.__getitem__, self.pattern.findall(text, at, end))))
+            at = end
+        return b"".join(out)
 
 
 # decoding
@@ -313,8 +314,9 @@ class Utf8Stream:
         return out
 
 
-def decode_ids(ids: Iterable[int], tokens: dict[int, bytes]) -> str:
-    stream, ids = Utf8Stream(), list(ids)
+def decode_ids(ids: Sequence[int], tokens: dict[int, bytes]) -> str:
+    """The text of ids, a limited number of them at a time."""
+    stream = Utf8Stream()
     return "".join(
         stream.feed(b"".join(map(tokens.__getitem__, ids[at : at + DECODE_IDS]))) for at in range(0, len(ids), DECODE_IDS)
     ) + stream.end()
@@ -338,14 +340,18 @@ def _once(key: tuple, make):
     return _made[key]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with a column of ids (array of int) of the whole text, without special tokens, each match of ``pattern`` merged by itself.
 
-    A null text counts as empty, and has no ids. ``into`` must not be a column of ``docs``; the others are passed on as they are. The ranks are
-    broadcast: they have the size of a vocabulary file.
+    With ``decoded``, also a column of that name with the text that the ids decode to, as :func:`decode` gives it, in the same pass. A null text
+    counts as empty, and has no ids. New names must not be columns of ``docs``; the others are passed on as they are. The ranks are broadcast:
+    they have the size of a vocabulary file.
     """
-    if into in docs.columns:
-        raise ValueError(f"there is a column {into}")
+    names = [into] if decoded is None else [into, decoded]
+    if set(names) & set(docs.columns):
+        raise ValueError(f"there is a column of one of the names {names}")
     ship(docs.sparkSession)
     shared, key = docs.sparkSession.sparkContext.broadcast((ranks, pattern)), ("encode", pattern, _mark(ranks))
     at = docs.columns.index(text_col)
@@ -356,10 +362,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
             for part in sliced(batch, at):
                 packed = [encoder.encode(t.as_py() or "") for t in part.column(at)]
                 offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-                yield pa.record_batch([*part.columns, ids], [*part.schema.names, into])
+                columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))]
+                if decoded is not None:
+                    columns.append(pa.array([decode_ids(array("i", p), encoder.transducer.tokens) for p in packed], pa.string()))
+                yield pa.record_batch([*part.columns, *columns], [*part.schema.names, *names])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(into, T.ArrayType(T.IntegerType()))]))
+    made = [T.StructField(into, T.ArrayType(T.IntegerType())), T.StructField(decoded or "", T.StringType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema, *made[: len(names)]]))
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", into: str = "decoded") -> DataFrame:

@@ -75,5 +75,5 @@ def op9_html_main_text(spark, d):
 @query
 def op10_byte_bpe(spark, d):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = bpe.encode(_table(spark, d, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids.select("doc_id", "ids"), ranks))
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded"))

@@ -47,7 +47,7 @@ def test_bytes_as_the_library_would(ranks, reference):
 def test_small_tables_do_not_change_ids(ranks, monkeypatch):
     text = " ".join(f"word{i % 37} thing{i}" for i in range(600))
     want = ids_of(bpe.Encoder(ranks, P.PATTERN), text)
-    for name in ("KEPT_WORDS", "KEPT_PIECES", "KEPT_PAIRS"):
+    for name in ("KEPT_PIECES", "KEPT_PAIRS", "SLICE"):
         monkeypatch.setattr(bpe, name, 5)
     assert ids_of(bpe.Encoder(ranks, P.PATTERN), text) == want
 
@@ -70,6 +70,8 @@ def test_operator(odd_docs, ranks, reference):
     assert got.columns == [*odd_docs.columns, "ids", "decoded"]
     rows = got.collect()
     assert len(rows) == odd_docs.count()
+    at_once = bpe.encode(odd_docs, ranks, P.PATTERN, decoded="decoded")
+    assert at_once.columns == got.columns and sorted(map(str, at_once.collect())) == sorted(map(str, rows))
     for r in rows:
         assert r.ids == reference.encode_ordinary(r.text or "") and r.decoded == (r.text or "")
     for r in bpe.digests(got.filter("doc_id = 7")).collect():
