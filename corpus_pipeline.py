@@ -39,8 +39,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and digests of the ids and of the text that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids.select("doc_id", "ids"), ranks), "ids")
+    ids = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return bpe.digests(ids, "ids")
 
 
 STAGES = [
