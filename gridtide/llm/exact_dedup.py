@@ -45,11 +45,14 @@ def _name_blocks(blocks: DataFrame) -> DataFrame:
     parts = partitions(blocks.sparkSession)
     most = max(blocks.count() // (4 * parts), 64)
     # at most four for each partition
-    hot = F.broadcast(blocks.groupBy("h").count().filter(F.col("count") > most).select("h"))
-    cold = blocks.join(hot, "h", "left_anti").withColumn("bucket", F.pmod("h", F.lit(64 * parts)))
+    hot = [row.h for row in blocks.groupBy("h").count().filter(F.col("count") > most).select("h").collect()]
+    is_hot = F.col("h").isin(hot) if hot else F.lit(False)
+    cold = blocks.filter(~is_hot).withColumn("bucket", F.pmod("h", F.lit(64 * parts)))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("block"))
     cold = cold.select("row", "pos", "n", (F.col("bucket") * F.lit(1 << 32) + rank).alias("name"))
-    shared = stage(blocks.join(hot, "h", "left_semi").select("row", "pos", "n", "block"), "shared-blocks")
+    if not hot:
+        return cold
+    shared = stage(blocks.filter(is_hot).select("row", "pos", "n", "block"), "shared-blocks")
     named = stage(numbered(shared.select("block").distinct(), "block", into="name"), "block-names")
     return cold.union(shared.join(named, "block").select("row", "pos", "n", (-1 - F.col("name")).alias("name")))
 

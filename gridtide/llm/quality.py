@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import ship
+from gridtide.operators.layout import small_copy
 
 PER_CLASS = 1500
 CHUNKS = 16
@@ -173,7 +174,7 @@ def train(
         picked = part if picked is None else picked.union(part)
     # at most two times per_class rows of an id and a label
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t")).join(
-        F.broadcast(picked), F.col("id") == F.col("_id")
+        small_copy(picked, 2 * per_class), F.col("id") == F.col("_id")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
