@@ -31,7 +31,7 @@ steps AS (
   SELECT *, datediff('month', lag(month) OVER (PARTITION BY l_suppkey ORDER BY month), month) AS step FROM monthly)"""
 _OBSERVED = """observed AS (
   SELECT *, CASE WHEN q >= 40 THEN q END AS target,
-    ((year(period) - 1970) * 12 + month(period) - 1) * 100000000 + supplier * 2 + is_returned AS row_id
+    ((year(period) - 1970) * 12 + month(period) - 1) * 1000000000000 + supplier * 2 + is_returned AS row_id
   FROM (SELECT l_suppkey AS supplier, CAST(l_returnflag = 'R' AS INTEGER) AS is_returned,
           CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS period, sum(l_quantity) AS q
         FROM lineitem GROUP BY ALL) AS t),
@@ -85,6 +85,7 @@ ORACLES["flagship_features"] = f"WITH {_FILLED} " + _rounded(
     f"CAST(hour(ts) AS INTEGER) AS hour FROM ({_made}) AS m",
     "value", *_HOURLY_MADE,
 )
+ORACLES["flagship_features_chunked"] = ORACLES["flagship_features"]
 ORACLES["densify"] = f"WITH {_DENSE} " + _rounded("SELECT * FROM dense", "value")
 ORACLES["missing_times"] = f"""WITH {_DENSE}
 SELECT event_type, ts FROM calendar c WHERE NOT EXISTS (
@@ -144,6 +145,15 @@ ORACLES["preprocess_stage"] = f"WITH {_prepared(_BY_SERIES)} SELECT * FROM prepa
 ORACLES["preprocess_stage_frame_fill"] = (
     f"WITH {_prepared('PARTITION BY is_returned ORDER BY row_id')} SELECT * FROM prepared"
 )
+_BY_FRAME = """contiguous AS (
+  SELECT * FROM observed WHERE supplier NOT IN (
+    SELECT supplier FROM (
+      SELECT supplier, is_returned,
+        datediff('month', lag(period) OVER (ORDER BY supplier, is_returned, period), period) AS step FROM observed) AS s
+    GROUP BY supplier, is_returned HAVING max(step) IS DISTINCT FROM 1))"""
+ORACLES["preprocess_stage_frame_steps"] = "WITH {} SELECT * FROM prepared".format(
+    _prepared(_BY_SERIES).replace(_OBSERVED[_OBSERVED.index("contiguous AS") :], _BY_FRAME)
+)
 _STAGE_MADE = ["lag1", "lag3", "expanding_mean_lag1", "rolling_mean_lag1_window_size2"]
 _stage = _features(
     "(SELECT * FROM prepared WHERE target IS NOT NULL) AS p", "supplier, is_returned, split", "period", "target", (1, 3), 1, (2,)
@@ -168,10 +178,11 @@ _LINEITEM = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+_LINEITEM_TYPES = ["bigint"] * 3 + ["int"] + ["double"] * 4 + ["string"] * 2 + ["timestamp_ntz"]
 ORACLES["shape_and_schema"] = " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS \"column\", count({c}) AS non_null, count(*) AS n_rows, {len(_LINEITEM)} AS n_columns "
+    f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, count(*) AS n_rows, {len(_LINEITEM)} AS n_columns "
     "FROM lineitem"
-    for i, c in enumerate(_LINEITEM)
+    for i, (c, t) in enumerate(zip(_LINEITEM, _LINEITEM_TYPES, strict=True))
 )
 ORACLES["null_profile"] = f"WITH {_DENSE} " + _rounded(
     " UNION ALL ".join(
@@ -188,7 +199,7 @@ ORACLES["distinct_counts"] = " UNION ALL ".join(
 )
 ORACLES["distinct_values"] = "SELECT DISTINCT p_brand FROM part"
 ORACLES["time_extent"] = """SELECT min(ts) AS start, max(ts) AS "end",
-  CAST(floor(date_diff('second', min(ts), max(ts)) / 86400) AS BIGINT) AS duration FROM events"""
+  date_diff('microsecond', min(ts), max(ts)) AS duration FROM events"""
 ORACLES["series_extents"] = 'SELECT user_id, min(ts) AS start, max(ts) AS "end" FROM events GROUP BY user_id'
 ORACLES["unique_date_ranges"] = f"""WITH {_MONTHLY}
 SELECT DISTINCT start, "end" FROM (
@@ -210,6 +221,7 @@ ORACLES["describe_columns"] = _rounded(
     *_STATS, digits=4,
 )
 ORACLES["describe_by_group"] = _rounded(_describe("events", "value", "event_type"), *_STATS, digits=4)
+ORACLES["describe_by_user"] = _rounded(_describe("events", "value", "user_id"), *_STATS, digits=4)
 ORACLES["describe_daylight"] = _rounded(
     _describe("events", "value", where="WHERE hour(ts) >= 8 AND hour(ts) < 20"), *_STATS, digits=4
 )
@@ -345,10 +357,10 @@ ORACLES["expanding_folds_by_time"] = f"""SELECT o_orderkey, o_orderdate, CAST((
 
 # --- rows and columns -----------------------------------------------------------------------------------------------
 
-_EVENTS = "event_id, ts, user_id, event_type, value"
+_EVENTS = "event_id, ts, user_id, event_type, value, props"
 ORACLES["target_first"] = "SELECT o_totalprice, * EXCLUDE (o_totalprice) FROM orders"
 ORACLES["drop_columns"] = "SELECT * EXCLUDE (l_tax, l_discount, l_linestatus) FROM lineitem"
-ORACLES["rename_columns"] = "SELECT event_id, ts, user_id AS segment_id, event_type, value AS consumption FROM events"
+ORACLES["rename_columns"] = "SELECT event_id, ts, user_id AS segment_id, event_type, value AS consumption, props FROM events"
 ORACLES["select_columns"] = "SELECT l_orderkey, l_shipdate, l_quantity FROM lineitem"
 ORACLES["split_measure"] = "SELECT * EXCLUDE (quality) FROM labels WHERE quality = 1"
 ORACLES["with_measure"] = "SELECT *, CASE toxic WHEN 0 THEN 'clean' WHEN 1 THEN 'toxic' END AS measure FROM labels"
@@ -367,11 +379,17 @@ ORACLES["features_and_label"] = (
     "SELECT l_orderkey, l_extendedprice AS label, l_quantity AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem"
 )
 ORACLES["parse_time"] = "SELECT o_orderkey, o_orderdate FROM orders"
-ORACLES["downcast_ints"] = "SELECT p_partkey, p_size FROM part"
+_NARROW = "CASE WHEN max({c}) <= 255 THEN 'smallint' WHEN max({c}) <= 65535 THEN 'int' ELSE '{t}' END"
+ORACLES["downcast_ints"] = f"""SELECT p_partkey, p_size, CAST(p_size AS SMALLINT) AS small,
+  (SELECT {_NARROW.format(c='p_partkey', t='bigint')} || ' ' || {_NARROW.format(c='p_size', t='int')} || ' smallint' FROM part) AS types FROM part"""
 ORACLES["downcast_floats"] = """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity, l_extendedprice,
   CAST(l_discount AS FLOAT) AS l_discount FROM lineitem"""
 ORACLES["as_category"] = """SELECT event_id, event_type,
   CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS event_type_code FROM events"""
+ORACLES["as_category_of_dates"] = """SELECT o_orderkey, o_orderdate,
+  CAST(CASE WHEN o_orderdate IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY o_orderdate) - 1 END AS INTEGER) AS code FROM orders"""
+ORACLES["as_category_of_names"] = """SELECT c_custkey, c_name,
+  CAST(CASE WHEN c_name IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY c_name) - 1 END AS INTEGER) AS code FROM customer"""
 ORACLES["categories"] = "SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL"
 ORACLES["as_bool"] = "SELECT doc_id, CAST(quality AS BOOLEAN) AS quality FROM labels"
 ORACLES["sort_by"] = "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey"
@@ -390,7 +408,7 @@ ORACLES["align_columns"] = """SELECT user_id, min(ts) AS first, max(ts) AS last,
 ORACLES["sample_series"] = """SELECT user_id FROM (SELECT DISTINCT user_id FROM events) AS u
 ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id LIMIT 5"""
 ORACLES["distinct_rows"] = "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem"
-ORACLES["same_rows"] = "SELECT TRUE AS same"
+ORACLES["same_rows"] = "SELECT 'parts' AS \"case\", TRUE AS same UNION ALL SELECT 'short', FALSE"
 ORACLES["different_rows"] = """SELECT l_suppkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT l_suppkey, l_linenumber, 1 AS n FROM lineitem WHERE l_quantity > 25 UNION ALL
   SELECT l_suppkey, l_linenumber, -1 AS n FROM lineitem WHERE l_discount > 0.05) AS t
@@ -401,6 +419,10 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_or
 # --- sources and sinks ----------------------------------------------------------------------------------------------
 
 ORACLES["read_observations"] = f"SELECT {_EVENTS} FROM events"
+ORACLES["read_documents"] = "SELECT doc_id, text FROM documents"
+ORACLES["read_rejects"] = "SELECT event_id || ',n/a' AS _corrupt FROM events WHERE event_type = 'error'"
+ORACLES["read_lookup_json"] = "SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation"
+ORACLES["list_stage"] = "SELECT TRUE AS found, TRUE AS filled"
 ORACLES["land_raw"] = "SELECT * FROM orders"
 ORACLES["write_splits"] = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus AS measure,
   'test' AS split FROM orders WHERE o_orderstatus = 'F' AND o_orderdate > TIMESTAMP '2000-01-01'"""
@@ -419,7 +441,21 @@ ORACLES["from_split_json"] = """SELECT event_id // 100 AS request,
 # --- models: what does not depend on the fitted trees ---------------------------------------------------------------
 
 _SCORED = f"""WITH {_MONTHLY}
-SELECT l_suppkey AS request, CAST(count(*) AS {{kind}}) AS n_predictions, CAST(NULL AS VARCHAR) AS error
+SELECT l_suppkey AS request, CAST(count(*) AS {{kind}}) AS n_predictions, TRUE AS same, CAST(NULL AS VARCHAR) AS error
 FROM ({_MONTHLY_FEATURES}) AS f GROUP BY l_suppkey"""
 ORACLES["score_batch"] = _SCORED.format(kind="INTEGER")
 ORACLES["score_stream"] = _SCORED.format(kind="BIGINT")
+
+# --- models: facts that hold whatever trees are fitted ----------------------------------------------------------------
+
+ORACLES["predict"] = f"""WITH {_MONTHLY}
+SELECT l_suppkey, month, quantity, TRUE AS predicted, TRUE AS beats_mean FROM ({_MONTHLY_FEATURES}) AS f"""
+ORACLES["backtest"] = f"""WITH {_MONTHLY}, n AS (SELECT count(*) AS n FROM ({_MONTHLY_FEATURES}) AS f)
+SELECT CAST(fold AS INTEGER) AS fold, n // 6 AS n_rows, TRUE AS in_range, TRUE AS adds_up FROM n, range(1, 6) AS r(fold)"""
+ORACLES["sample_params"] = "SELECT CAST(i AS INTEGER) AS number, TRUE AS in_space, TRUE AS goes_on FROM range(20) AS r(i)"
+ORACLES["sweep"] = """SELECT 'monthly' AS study, CAST(i AS INTEGER) AS number, 5 AS n_folds, TRUE AS in_space, TRUE AS is_mean,
+  TRUE AS is_best FROM range(3) AS r(i)"""
+ORACLES["best_trial"] = "SELECT 'monthly' AS study, TRUE AS is_least"
+ORACLES["search_runs"] = """SELECT 'FINISHED' AS status, num_trees, TRUE AS measured FROM (VALUES ('8'), ('2')) AS t(num_trees)"""
+ORACLES["validate_model"] = "SELECT TRUE AS valid"
+ORACLES["promote_best"] = "SELECT 'monthly' AS experiment_id, TRUE AS is_least"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +25,7 @@ from gridtide.plans.stages import feature_table, preprocess
 from gridtide.session import scratch
 from gridtide.sources import readers, writers
 from gridtide.sources import payload
-from gridtide.spec import FeatureSpec, SeriesSpec
+from gridtide.spec import BacktestSpec, FeatureSpec, SeriesSpec
 from gridtide.streaming import scoring as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,9 +36,10 @@ MONTHLY = SeriesSpec(("l_suppkey",), time="month", target="quantity", step="1 mo
 ORDERS = SeriesSpec(("o_orderkey",), time="o_orderdate", target="o_totalprice", step="1 day")
 HOURLY_FEATURES = FeatureSpec(lags=(24, 48), transform_lags=(24,), rolling_windows=(6, 12))
 MONTHLY_FEATURES = FeatureSpec(lags=(1, 2, 12), transform_lags=(1,), rolling_windows=(3, 6), date_parts=())
+BACKTEST = BacktestSpec()
 MODEL_COLUMNS = [*features.feature_names(MONTHLY_FEATURES), "month_of_year"]
-#: small trees: the queries check the path, not the model
-TREES = {"num_trees": 3, "max_depth": 3}
+# fixed values: parameters of the logged training run
+TREES = {"num_trees": 8, "max_depth": 6, "learning_rate": 0.09906308908786306, "feature_fraction": 0.3962723889353149}
 
 
 def query(fn):
@@ -103,6 +105,15 @@ def flagship_features(spark, d):
     return _rounded(features.make_features(rows, spec, HOURLY_FEATURES))
 
 
+@query
+def flagship_features_chunked(spark, d):
+    """The same chain with series cut into pieces."""
+    rows, spec = _dense(spark, d)
+    spec = spec.with_(layout="chunked", chunk_rows=64)
+    rows = calendar.densify(_hourly(spark, d), spec)
+    return _rounded(features.make_features(fill.forward_fill(rows, spec, ["value"]), spec, HOURLY_FEATURES))
+
+
 @query
 def densify(spark, d):
     return _rounded(_dense(spark, d)[0])
@@ -221,6 +232,12 @@ def preprocess_stage_frame_fill(spark, d):
     return preprocess(_observations(spark, d), _OBS, "2000-01-01 00:00:00", flag="is_returned", fill="frame", order="row_id")
 
 
+@query
+def preprocess_stage_frame_steps(spark, d):
+    """Steps over the whole sorted table; a supplier with a gap goes with both measures."""
+    return preprocess(_observations(spark, d), _OBS, "2000-01-01 00:00:00", flag="is_returned", boundary="frame")
+
+
 @query
 def feature_stage(spark, d):
     raw = _observations(spark, d)
@@ -241,7 +258,7 @@ def _observations(spark, d):
         month.index("l_shipdate").alias("k"),
     ).agg(F.sum("l_quantity").alias("q"))
     # position in a file sorted by month, supplier and measure
-    row_id = (F.col("k") * 100_000_000 + F.col("supplier") * 2 + F.col("is_returned")).alias("row_id")
+    row_id = (F.col("k") * 1_000_000_000_000 + F.col("supplier") * 2 + F.col("is_returned")).alias("row_id")
     return rows.select(
         "supplier", "is_returned", month.start(F.col("k")).alias("period"), row_id,
         F.when(F.col("q") >= 40, F.col("q")).alias("target"),
@@ -274,7 +291,7 @@ def time_difference_and_stamp(spark, d):
 
 @query
 def shape_and_schema(spark, d):
-    return profile.shape_and_schema(_table(spark, d, "lineitem")).drop("type")
+    return profile.shape_and_schema(_table(spark, d, "lineitem"))
 
 
 @query
@@ -300,8 +317,11 @@ def distinct_values(spark, d):
 
 @query
 def time_extent(spark, d):
+    """The duration in microseconds."""
     out = profile.time_extent(_table(spark, d, "events"), EVENTS)
-    return out.withColumn("duration", F.extract(F.lit("DAY"), "duration").cast("bigint"))
+    part = {unit: F.extract(F.lit(unit), "duration") for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    minutes = (part["DAY"] * 24 + part["HOUR"]) * 60 + part["MINUTE"]
+    return out.withColumn("duration", minutes.cast("bigint") * 60_000_000 + (part["SECOND"] * 1_000_000).cast("bigint"))
 
 
 @query
@@ -325,6 +345,11 @@ def describe_by_group(spark, d):
     return _rounded(profile.describe_columns(_table(spark, d, "events"), ["value"], by=["event_type"]), 4)
 
 
+@query
+def describe_by_user(spark, d):
+    return _rounded(profile.describe_columns(_table(spark, d, "events"), ["value"], by=["user_id"]), 4)
+
+
 @query
 def describe_daylight(spark, d):
     """Values between 8 and 20 o'clock only."""
@@ -493,7 +518,7 @@ def drop_columns(spark, d):
 
 @query
 def rename_columns(spark, d):
-    return columns.rename_columns(_table(spark, d, "events").drop("props"), {"user_id": "segment_id", "value": "consumption"})
+    return columns.rename_columns(_table(spark, d, "events"), {"user_id": "segment_id", "value": "consumption"})
 
 
 @query
@@ -519,18 +544,18 @@ def keep_series(spark, d):
 
 @query
 def drop_series(spark, d):
-    return columns.drop_series(_table(spark, d, "events").drop("props"), ["error", "view"], "event_type")
+    return columns.drop_series(_table(spark, d, "events"), ["error", "view"], "event_type")
 
 
 @query
 def time_between(spark, d):
-    rows = _table(spark, d, "events").drop("props")
+    rows = _table(spark, d, "events")
     return columns.time_between(rows, "ts", "2024-01-05 00:00:00", "2024-01-12 12:00:00", event_type="click")
 
 
 @query
 def hour_of_day_between(spark, d):
-    return columns.hour_of_day_between(_table(spark, d, "events").drop("props"), "ts", 8, 20)
+    return columns.hour_of_day_between(_table(spark, d, "events"), "ts", 8, 20)
 
 
 @query
@@ -572,7 +597,9 @@ def parse_time(spark, d):
 
 @query
 def downcast_ints(spark, d):
-    return columns.downcast_ints(_table(spark, d, "part").select("p_partkey", "p_size"))
+    """With the types that the columns got."""
+    out = columns.downcast_ints(_table(spark, d, "part").select("p_partkey", "p_size", F.col("p_size").cast("smallint").alias("small")))
+    return out.withColumn("types", F.lit(" ".join(t for _, t in out.dtypes)))
 
 
 @query
@@ -586,6 +613,17 @@ def as_category(spark, d):
     return columns.as_category(_table(spark, d, "events").select("event_id", "event_type"), "event_type")
 
 
+@query
+def as_category_of_dates(spark, d):
+    return columns.as_category(_table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "code")
+
+
+@query
+def as_category_of_names(spark, d):
+    """Values that begin alike."""
+    return columns.as_category(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_name", "code")
+
+
 @query
 def categories(spark, d):
     return columns.categories(_table(spark, d, "part"), "p_type")
@@ -657,8 +695,12 @@ def distinct_rows(spark, d):
 
 @query
 def same_rows(spark, d):
+    """The same rows in another order; and, one row short, not the same."""
     a = _table(spark, d, "orders")
-    return ordering.same_rows(a, ordering.stack_rows([a.filter("o_totalprice < 200000"), a.filter("o_totalprice >= 200000")]))
+    parts = [a.filter("o_totalprice < 200000"), a.filter("o_totalprice >= 200000")]
+    short = a.join(ordering.best_row(a, "o_totalprice", ties=["o_orderkey"]).select("o_orderkey"), "o_orderkey", "left_anti")
+    cases = {"parts": ordering.stack_rows(parts), "short": short.select(*a.columns)}
+    return ordering.stack_rows([ordering.same_rows(a, b).select(F.lit(name).alias("case"), "same") for name, b in cases.items()])
 
 
 @query
@@ -680,12 +722,40 @@ def dedupe_runs(spark, d):
 @query
 def read_observations(spark, d):
     at = scratch(spark, "observations")
-    rows = _table(spark, d, "events").drop("props")
-    rows.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(at)
-    ddl = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+    rows = _table(spark, d, "events")
+    rows.write.options(**readers.CSV, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(at)
+    ddl = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
     return readers.read_observations(spark, at, ddl)
 
 
+@query
+def read_documents(spark, d):
+    """Texts with quotes and line breaks, through a CSV file."""
+    at = scratch(spark, "texts")
+    rows = _table(spark, d, "documents").select("doc_id", "text")
+    rows.write.options(**readers.CSV, quoteAll=True).csv(at)
+    return readers.read_observations(spark, at, "doc_id BIGINT, text STRING", multi_line=True)
+
+
+@query
+def read_rejects(spark, d):
+    """Lines whose value is no number."""
+    at = scratch(spark, "mixed")
+    value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("event_id").cast("string"))
+    _table(spark, d, "events").select("event_id", value.alias("value")).write.options(**readers.CSV).csv(at)
+    return readers.read_observations(spark, at, "event_id BIGINT, value BIGINT", rejects=True)
+
+
+@query
+def read_lookup_json(spark, d):
+    """Nations, written as one flat object."""
+    at = scratch(spark, "lookup")
+    pair = F.struct(F.col("n_nationkey").cast("string"), "n_name")
+    one = _table(spark, d, "nation").agg(F.to_json(F.map_from_entries(F.collect_list(pair))).alias("value"))
+    one.write.text(at)
+    return readers.read_lookup_json(spark, at)
+
+
 @query
 def land_raw(spark, d):
     src, dst = scratch(spark, "drop"), scratch(spark, "raw")
@@ -720,7 +790,8 @@ def write_stage(spark, d):
 def list_stage(spark, d):
     at = scratch(spark, "listed")
     writers.write_table(_table(spark, d, "events"), at)
-    return readers.list_stage(spark, at).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    files = readers.list_stage(spark, at).filter("path LIKE '%.parquet'")
+    return files.agg((F.count(F.lit(1)) > 0).alias("found"), (F.min("length") > 0).alias("filled"))
 
 
 @query
@@ -752,34 +823,76 @@ def from_split_json(spark, d):
 def predict(spark, d):
     rows = _monthly_stage(spark, d)
     model = md.fit_regressor(rows, MODEL_COLUMNS, "quantity", TREES)
-    return _rounded(md.predict(model, rows).select("l_suppkey", "month", "quantity", "prediction"))
+    out = md.predict(model, rows).select("l_suppkey", "month", "quantity", "prediction")
+    return _judged(out, rows.agg(F.avg("quantity")).first()[0])
 
 
-@query
-def backtest(spark, d):
-    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, 3)
-    return _rounded(bt.backtest(folds, md.regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", 3, MODEL_COLUMNS))
+def _judged(out, mean):
+    """Rows with whether they have a prediction, and whether all together err less than the mean would."""
+    errors = out.agg(F.avg(F.abs(F.col("quantity") - F.col("prediction"))), F.avg(F.abs(F.col("quantity") - F.lit(mean)))).first()
+    known = (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted")
+    return out.select("l_suppkey", "month", "quantity", known, F.lit(errors[0] < errors[1]).alias("beats_mean"))
 
 
-def _sweep(spark, d, n=2):
+@query
+def backtest(spark, d):
+    """Validation rows of each fold, whether its error is within the range of the label, and whether mean and deviation are those of the folds."""
+    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, BACKTEST.n_folds)
+    errors = bt.backtest(folds, md.regressor(MODEL_COLUMNS, "quantity", TREES), "quantity", BACKTEST.n_folds, MODEL_COLUMNS)
+    span = folds.agg(F.max("quantity") - F.min("quantity")).first()[0]
+    rows = folds.filter("block > 0").groupBy(F.col("block").alias("fold")).agg(F.count(F.lit(1)).alias("n_rows"))
+    every = Window.partitionBy(F.lit(1))
+    same = [F.abs(F.avg("mae").over(every) - F.col("cv_mean")) < 1e-9, F.abs(F.stddev_pop("mae").over(every) - F.col("cv_std")) < 1e-9]
+    out = errors.join(rows, "fold")
+    return out.select("fold", "n_rows", F.col("mae").between(0.0, span).alias("in_range"), (same[0] & same[1]).alias("adds_up"))
+
+
+def _sweep(spark, d):
     at = scratch(spark, "trials")
-    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, 2)
-    space = [{**p, "high": 4} if p["kind"] == "int" and p["name"] != "num_leaves" else p for p in bt.SPACE]
-    bt.sweep(folds, MODEL_COLUMNS, "quantity", space, n_trials=n, k=2, study="monthly", path=at)
+    folds = splits.expanding_folds(_monthly_stage(spark, d), MONTHLY, BACKTEST.n_folds)
+    settings = {"n_trials": BACKTEST.n_trials, "k": BACKTEST.n_folds, "seed": BACKTEST.seed}
+    bt.sweep(folds, MODEL_COLUMNS, "quantity", bt.SPACE, study="monthly", path=at, **settings)
     return at
 
 
+def _in_space(params):
+    """Whether a draw has each parameter of the space, within its range, whole where it should be."""
+    parts = []
+    for p in bt.SPACE:
+        v = params[p["name"]]
+        parts.append(F.coalesce(v.between(p["low"], p["high"]), F.lit(False)))
+        parts += [v == F.round(v)] if p["kind"] == "int" else []
+    return reduce(lambda a, b: a & b, parts)
+
+
+@query
+def sample_params(spark, d):
+    """Draws are within the space, and a study that goes on does not repeat itself."""
+    draws = bt.sample_params(bt.SPACE, 20, seed=1)
+    same = draws[12:] == bt.sample_params(bt.SPACE, 8, seed=1, first=12)
+    rows = [(i, {k: float(v) for k, v in draw.items()}) for i, draw in enumerate(draws)]
+    out = spark.createDataFrame(rows, "number INT, params MAP<STRING, DOUBLE>")
+    return out.select("number", _in_space(F.col("params")).alias("in_space"), F.lit(same).alias("goes_on"))
+
+
 @query
 def sweep(spark, d):
-    """Trials with the best value so far."""
-    return bt.trials_table(spark, _sweep(spark, d), "monthly").select(
-        "study", "number", F.round("value", 6).alias("value"), F.round("best_value", 6).alias("best_value")
+    """Trials: whether the draw is in the space, the value the mean of the folds, and the best value the least so far."""
+    trials = bt.trials_table(spark, _sweep(spark, d), "monthly")
+    so_far = F.array_min(F.collect_list("value").over(Window.partitionBy("study").orderBy("number")))
+    mean = F.aggregate("fold_errors", F.lit(0.0), lambda a, x: a + x) / F.size("fold_errors")
+    return trials.select(
+        "study", "number", F.size("fold_errors").alias("n_folds"), _in_space(F.col("params")).alias("in_space"),
+        (F.abs(mean - F.col("value")) < 1e-9).alias("is_mean"), (so_far == F.col("best_value")).alias("is_best"),
     )
 
 
 @query
 def best_trial(spark, d):
-    return bt.best_trial(bt.trials_table(spark, _sweep(spark, d), "monthly")).select("study", "number")
+    """The trial with the least value."""
+    trials = bt.trials_table(spark, _sweep(spark, d), "monthly")
+    least = trials.agg(F.min("value").alias("least"))
+    return bt.best_trial(trials).join(least).select("study", (F.col("value") == F.col("least")).alias("is_least"))
 
 
 def _store(spark, d):
@@ -797,7 +910,7 @@ def search_runs(spark, d):
     store = _store(spark, d)
     rn.delete_duplicate_runs(spark, store, "monthly")
     return rn.search_runs(spark, store, "monthly").select(
-        "status", F.col("params")["num_trees"].alias("num_trees"), F.round(rn.metric("test_mae"), 6).alias("test_mae")
+        "status", F.col("params")["num_trees"].alias("num_trees"), (rn.metric("test_mae") > 0).alias("measured")
     )
 
 
@@ -809,7 +922,19 @@ def validate_model(spark, d):
     best = ordering.best_row(
         rn.search_runs(spark, store, "monthly").withColumn("m", rn.metric("test_mae")), "m", ties=["run_id"]
     ).first()
-    return rn.validate_model(f"{store}/champion/model", readers.read_table(spark, f"{best['artifact_uri']}/example"))
+    out = rn.validate_model(f"{store}/champion/model", readers.read_table(spark, f"{best['artifact_uri']}/example"))
+    return out.select("valid")
+
+
+@query
+def promote_best(spark, d):
+    """The promoted run is the one with the least test error, and its model scores as the run's own does."""
+    store = _store(spark, d)
+    row = rn.promote_best(spark, store, "monthly")
+    runs = rn.search_runs(spark, store, "monthly").withColumn("m", rn.metric("test_mae"))
+    least = runs.agg(F.min("m").alias("least"))
+    chosen = row.join(runs.select("run_id", "m"), "run_id").join(least)
+    return chosen.select("experiment_id", (F.col("m") == F.col("least")).alias("is_least"))
 
 
 def _model_and_requests(spark, d):
@@ -822,10 +947,24 @@ def _model_and_requests(spark, d):
 
 @query
 def score_batch(spark, d):
-    """One answer per supplier."""
+    """One answer per supplier, and whether its predictions are those of the model."""
     model, sent = _model_and_requests(spark, d)
     out = scoring.score_batch(model, sent)
-    return out.select("request", F.size("predictions").alias("n_predictions"), "error")
+    return out.join(_own_predictions(spark, d, model), "request", "left").select(
+        "request", F.size("predictions").alias("n_predictions"), _agree(F.col("predictions"), F.col("own")).alias("same"), "error"
+    )
+
+
+def _own_predictions(spark, d, model):
+    made = md.predict(model, _monthly_stage(spark, d))
+    rows = made.groupBy(F.col("l_suppkey").alias("request")).agg(F.sort_array(F.collect_list(F.struct("month", "prediction"))).alias("p"))
+    return rows.select("request", F.col("p.prediction").alias("own"))
+
+
+def _agree(a, b):
+    """Equal lists up to rounding: requests hold numbers as text."""
+    near = F.zip_with(a, b, lambda x, y: F.abs(x - y) <= F.lit(1e-6) * F.greatest(F.abs(y), F.lit(1.0)))
+    return (F.size(a) == F.size(b)) & F.forall(near, lambda ok: F.coalesce(ok, F.lit(False)))
 
 
 @query
@@ -836,4 +975,9 @@ def score_stream(spark, d):
     stream = streams.request_stream(spark, inbox)
     streams.score_stream(model, stream, sink, state, available_now=True).awaitTermination()
     out = readers.read_table(spark, sink)
-    return out.groupBy("request").agg(F.count("prediction").alias("n_predictions"), F.max("error").alias("error"))
+    out = out.groupBy("request").agg(
+        F.sort_array(F.collect_list(F.struct("row", "prediction")))["prediction"].alias("predictions"), F.max("error").alias("error")
+    )
+    return out.join(_own_predictions(spark, d, model), "request", "left").select(
+        "request", F.size("predictions").cast("bigint").alias("n_predictions"), _agree(F.col("predictions"), F.col("own")).alias("same"), "error"
+    )

@@ -29,23 +29,20 @@ def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -
     # a series with a null has no autocorrelation
     rows = rows.withColumn(_X, F.when(F.col(_N) == F.col("_gt_all"), F.col(spec.target) - F.col(_SUM) / F.col(_N)))
     rows = rows.drop(spec.target, _ROWS, _SUM, _N, "_gt_all")
-    # each row meets itself and its predecessors; the products are summed per lag before anything is shuffled
-    near = over_series(
-        rows, spec, nlags, lambda w, _: {_NEAR: F.collect_list(_X).over(w.rowsBetween(-nlags, Window.currentRow))}
+    # each row meets its predecessors, one column for each lag; the products are summed before anything is shuffled
+    near = over_series(rows, spec, nlags, lambda w, _: {f"{_NEAR}{k}": F.lag(_X, k).over(w) for k in range(1, nlags + 1)})
+    past = [F.col(_X), *[F.col(f"{_NEAR}{k}") for k in range(1, nlags + 1)]]
+    per_series = near.groupBy(*spec.keys).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col(_X) * x) for x in past]).alias("s")
     )
-    pairs = near.select(*spec.keys, _X, F.posexplode_outer(F.reverse(_NEAR)).alias("lag", "past"))
-    sums = pairs.groupBy(*spec.keys, "lag").agg(F.sum(F.col(_X) * F.col("past")).alias("s"), F.count(F.lit(1)).alias("n"))
-    # a series with nulls has no pairs, hence no lag
-    by_lag = F.map_from_entries(F.collect_list(F.when(F.col("lag").isNotNull(), F.struct("lag", "s"))))
-    per_series = sums.groupBy(*spec.keys).agg(F.max("n").alias("n"), by_lag.alias("s"))
     n = F.col("n")
-    variance = F.nullif(F.element_at("s", F.lit(0)), F.lit(0.0)) / n
+    variance = F.nullif(F.get("s", F.lit(0)), F.lit(0.0)) / n
 
     def correlation(k):
         terms = F.nullif(F.greatest(n - k, F.lit(0)), F.lit(0)) if adjusted else n
         # a lag as long as the series has no product to sum: zero
         return F.when(k == 0, F.when(variance.isNotNull(), F.lit(1.0))).otherwise(
-            F.coalesce(F.element_at("s", k), F.lit(0.0)) / terms / variance
+            F.coalesce(F.get("s", k), F.lit(0.0)) / terms / variance
         )
 
     lags = F.sequence(F.lit(0), F.lit(nlags))

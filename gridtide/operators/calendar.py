@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import Step
-from gridtide.operators.layout import bucket_of, cut, depth_of, in_order, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_of, cut, depth_of, in_order, known_keys, once, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _LO, _K, _PREV_K, _AT = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at"
@@ -33,7 +33,7 @@ def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         w = Window.partitionBy(*spec.keys).orderBy(*in_order(spec.time))
         rows = rows.withColumn(_LO, F.min(spec.time).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     else:
-        rows = series_stats(cut(rows, spec), spec, {_LO: ("min", spec.time)})
+        rows = series_stats(cut(once(rows, spec), spec), spec, {_LO: ("min", spec.time)})
     rows = rows.withColumn(_K, grid.between(F.col(_LO), F.col(spec.time)))
     rows = rows.filter(grid.plus(F.col(_LO), F.col(_K)) == F.col(spec.time))
     rows = running(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.operators.layout import bucket_by_value, local_table, running, small_copy
+from gridtide.operators.layout import by_range, local_table, range_of, running, small_copy
 
 
 def target_first(df: DataFrame, target: str) -> DataFrame:
@@ -129,20 +129,23 @@ def parse_time(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
 def downcast_ints(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Narrow whole-number columns to the smallest type that holds the unsigned 8/16/32-bit range they fit.
 
-    Spark has no unsigned types: 8 bits → SMALLINT, 16 → INT, 32 → BIGINT. A column with negative values, or
-    without values, stays as it is.
+    Spark has no unsigned types: 8 bits → SMALLINT, 16 → INT, 32 → BIGINT. A column with negative values, one
+    without values, and one whose type is as narrow already stay as they are.
     """
     cols = list(cols) if cols is not None else [f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)]
     if not cols:
         return df
     row = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     limits = ((2**8 - 1, "smallint"), (2**16 - 1, "int"))
+    width = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}
     casts = {}
     for c in cols:
         lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
         if lo is None or lo < 0:
             continue
-        casts[c] = F.col(c).cast(next((t for top, t in limits if hi <= top), "bigint"))
+        kind = next((t for top, t in limits if hi <= top), "bigint")
+        if width[kind] < width[df.schema[c].dataType.simpleString()]:
+            casts[c] = F.col(c).cast(kind)
     return df.withColumns(casts)
 
 
@@ -163,7 +166,8 @@ def downcast_floats(df: DataFrame, cols: Sequence[str] | None = None, tolerance:
 def as_category(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Add the position of each value among the sorted distinct values (``-1`` for null)."""
     values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    codes = running(values.withColumn("_gt_one", F.lit(1)), (), [col], {"_gt_code": ("sum", "_gt_one")}, bucket_by_value(df, col))
+    values = by_range(values.withColumn("_gt_one", F.lit(1)), [col])
+    codes = running(values, (), [col], {"_gt_code": ("sum", "_gt_one")}, range_of(), depth=1)
     codes = small_copy(codes.select(col, (F.col("_gt_code") - 1).cast("int").alias("_gt_code")))
     return (
         df.join(codes, col, "left")

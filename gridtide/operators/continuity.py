@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import micros
-from gridtide.operators.layout import bucket_by_value, bucket_of, cut, depth_of, known_keys, running, series_stats, settle
+from gridtide.operators.layout import bucket_of, by_range, cut, depth_of, known_keys, once, range_of, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
 _STEPS = "_gt_steps"
@@ -17,7 +17,7 @@ def time_steps(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
     previous = {"prev_time": ("last", spec.time)}
-    out = running(rows, spec.keys, [spec.time], previous, bucket_of(spec), inclusive=False, depth=depth_of(spec))
+    out = running(once(rows, spec), spec.keys, [spec.time], previous, bucket_of(spec), inclusive=False, depth=depth_of(spec))
     return out.withColumn("step", F.col(spec.time) - F.col("prev_time"))
 
 
@@ -46,7 +46,7 @@ def discontinuous_series(df: DataFrame, spec: SeriesSpec, boundary: str = "serie
     )
     if boundary == "frame":
         # over one row per series
-        out = running(out, (), spec.keys, {"before": ("last", "hi")}, bucket_by_value(out, spec.keys[0]), inclusive=False)
+        out = running(by_range(out, spec.keys), (), spec.keys, {"before": ("last", "hi")}, range_of(), inclusive=False, depth=1)
         out = out.withColumn("max_steps", F.greatest("max_steps", _in_steps(spec, F.col("before"), F.col("lo"))))
     return out.filter(~F.col("max_steps").eqNullSafe(F.lit(1.0))).select(*spec.keys, "max_steps")
 
@@ -56,7 +56,7 @@ def drop_discontinuous(df: DataFrame, spec: SeriesSpec, boundary: str = "series"
     if boundary == "frame":
         return known_keys(df, spec.keys).join(discontinuous_series(df, spec, boundary), list(spec.keys), "left_anti")
     spec = settle(known_keys(df, spec.keys), spec)
-    steps = time_steps(cut(df, spec), spec)
+    steps = time_steps(cut(once(df, spec), spec), spec)
     steps = steps.withColumn(_STEPS, _in_steps(spec, F.col("prev_time"), F.col(spec.time)))
     flagged = series_stats(steps, spec, {"_gt_max": ("max", _STEPS)})
     return flagged.filter(F.col("_gt_max") == 1.0).select(*df.columns)

@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.dates import add_date_features
-from gridtide.operators.layout import known_keys, over_series, settle
+from gridtide.operators.layout import chunk_of, known_keys, over_series, settle
 from gridtide.spec import FeatureSpec, SeriesSpec
 
 _CHECKED, _IS_HISTORY = "_gt_checked", "_gt_is_history"
 _TOTALS = ("sum", "n")
+#: the default of Spark's group-limit threshold
+GROUP_LIMIT = 1000
 
 
 def _lag_columns(w: Window, target: str, lags: Sequence[int], naming: str) -> dict[str, Column]:
@@ -84,10 +86,16 @@ def feature_names(features: FeatureSpec) -> list[str]:
 def series_tail(df: DataFrame, spec: SeriesSpec, n: int) -> DataFrame:
     """The last ``n`` rows of every series.
 
-    Spark keeps at most ``n`` rows per series in each map task before the shuffle (up to the session's group-limit threshold).
+    Spark keeps at most ``n`` rows per series in each map task before the shuffle, up to the session's group-limit threshold; a longer tail
+    is cut in the pieces of a series first.
     """
+    df = known_keys(df, spec.keys)
+    if n > GROUP_LIMIT:
+        inner = Window.partitionBy(*spec.keys, "_gt_piece").orderBy(F.col(spec.time).desc_nulls_last())
+        pieces = df.withColumn("_gt_piece", chunk_of(spec)).withColumn("_gt_rn", F.row_number().over(inner))
+        df = pieces.filter(F.col("_gt_rn") <= n).drop("_gt_rn", "_gt_piece")
     w = Window.partitionBy(*spec.keys).orderBy(F.col(spec.time).desc_nulls_last())
-    last = known_keys(df, spec.keys).withColumn("_gt_rn", F.row_number().over(w))
+    last = df.withColumn("_gt_rn", F.row_number().over(w))
     return last.filter(F.col("_gt_rn") <= n).drop("_gt_rn")
 
 

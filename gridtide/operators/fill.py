@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.operators.layout import bucket_of, depth_of, known_keys, running, settle
+from gridtide.operators.layout import bucket_of, by_range, depth_of, known_keys, once, range_of, running, settle
 from gridtide.spec import SeriesSpec
 
 
@@ -23,20 +23,19 @@ def forward_fill(
 
     ``scope="series"``: within the series, in time order.
     ``scope="frame"``: in the order of a whole-number column (``order``, e.g. the row number of a file) within ``partition``
-    (e.g. the measure), across series. Rows are cut into ranges of ``order``; only the last known value of each range
-    travels between them, so no single task sees the whole table.
+    (e.g. the measure), across series. Rows are cut into even ranges of ``order``; only the last known value of each range
+    travels between them, so no single task sees the whole table, however sparse the order is. Null orders come last.
     """
     if scope == "series":
         part, by = spec.keys, [spec.time]
         rows = known_keys(df, part)
         spec = settle(rows, spec)
-        bucket, depth = bucket_of(spec), depth_of(spec)
+        rows, bucket, depth = once(rows, spec), bucket_of(spec), depth_of(spec)
     elif scope == "frame":
         if order is None:
             raise ValueError("scope='frame' needs the order column")
         part, by = tuple(partition), [order]
-        rows = known_keys(df, part)
-        bucket, depth = F.floor(F.col(order) / spec.chunk_rows), 2
+        rows, bucket, depth = by_range(known_keys(df, part), by), range_of(), 1
     else:
         raise ValueError(f"unknown scope: {scope!r}")
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (*part, *by, *spec.keys, spec.time)]

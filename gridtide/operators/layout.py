@@ -7,6 +7,7 @@ Both give the same rows whether a series is one task or thousands.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.functions.steps import micros
+from gridtide.session import stage
 from gridtide.spec import SeriesSpec
 
 _BUCKET = "_gt_bucket"
@@ -26,6 +28,8 @@ _START, _PREV = Window.unboundedPreceding, -1
 
 #: buckets summarised together at each level of a running computation
 FAN = 1024
+#: the piece of rows without a time, after all others
+_LAST = 1 << 52
 
 
 def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,11 +66,13 @@ def settle(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
 
 
 def chunk_of(spec: SeriesSpec) -> Column:
-    """Piece of the time axis a row falls in: about ``chunk_rows`` rows of a series at most."""
+    """Piece of the time axis a row falls in: about ``chunk_rows`` rows of a series at most. A null time is in the last piece."""
     if spec.chunk_micros is not None:
         m = micros(spec.time)
-        return F.call_function("div", m - F.pmod(m, F.lit(spec.chunk_micros)), F.lit(spec.chunk_micros))
-    return F.floor(spec.grid.index(spec.time) / spec.chunk_rows)
+        piece = F.call_function("div", m - F.pmod(m, F.lit(spec.chunk_micros)), F.lit(spec.chunk_micros))
+    else:
+        piece = F.floor(spec.grid.index(spec.time) / spec.chunk_rows)
+    return F.coalesce(piece, F.lit(_LAST))
 
 
 def cut(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -84,15 +90,31 @@ def depth_of(spec: SeriesSpec) -> int:
     return 1 if spec.chunk_micros is None else 2
 
 
-def bucket_by_value(df: DataFrame, col: str) -> Column | None:
-    """A whole number that does not decrease with ``col``, to cut an order over values; None if there is none."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(col) / (1 << 16))
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 3)), 6, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    return None
+def once(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Rows as the chunked layout wants them: it reads its input twice, so rows that took a shuffle to make are written first.
+
+    A chain of operators then grows by a constant for each of them. Tables that are merely read and filtered stay as they are.
+    """
+    if spec.layout != "chunked":
+        return df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = set(re.findall(r"^[\s:+-]*([A-Z]\w+)", plan, re.MULTILINE))
+    return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "Union", "Range"} else stage(df, "rows")
+
+
+def by_range(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows in even ranges of ``order`` (sampled, so whatever the values look like), with the range as the piece of :func:`running`.
+
+    Written first: sampling again must not give other ranges. Use ``depth=1``: there is one range for each shuffle partition.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(parts, *in_order(*order)).withColumn(_BUCKET, F.spark_partition_id().cast("bigint"))
+    return stage(ranges, "ranges")
+
+
+def range_of() -> Column:
+    """The piece that :func:`by_range` added."""
+    return F.col(_BUCKET)
 
 
 def in_order(*cols: str) -> list[Column]:
@@ -129,7 +151,8 @@ def running(
 
     Without ``bucket`` each part is one window partition. With it (a non-decreasing whole number along the order; the
     column of :func:`cut` if it is there), rows are spread over (part, bucket); what earlier buckets contribute is found on the table of buckets,
-    itself bucketed again ``depth - 1`` times, so neither a huge part nor an empty ``part`` ends in one task.
+    itself bucketed again ``depth - 1`` times, so neither a huge part nor an empty ``part`` ends in one task. That table is written, so
+    the plan holds the rows once.
     """
     end = 0 if inclusive else _PREV
     if bucket is None:
@@ -142,7 +165,7 @@ def running(
         *[_COMBINE[how][0](F.col(c), rank).alias(_CARRY + new) for new, (how, c) in values.items()]
     )
     level = f"{_BUCKET}_{depth}"
-    table = table.withColumnRenamed(_BUCKET, level)
+    table = stage(table.withColumnRenamed(_BUCKET, level), "pieces")
     before = running(
         table,
         part,
@@ -177,7 +200,7 @@ def series_stats(df: DataFrame, spec: SeriesSpec, stats: Mapping[str, tuple[str,
     merge = {**fn, "count": F.sum}
     pieces = cut(df, spec)
     table = pieces.groupBy(*spec.keys, _BUCKET).agg(*[fn[how](c).alias(new) for new, (how, c) in stats.items()])
-    table = table.withColumns({new: merge[how](F.col(new)).over(w) for new, (how, _) in stats.items()})
+    table = stage(table, "pieces").withColumns({new: merge[how](F.col(new)).over(w) for new, (how, _) in stats.items()})
     return pieces.join(table, [*spec.keys, _BUCKET]).select(*[F.col(f"`{c}`") for c in df.columns], *stats)
 
 
@@ -201,7 +224,7 @@ def over_series(
     if spec.layout == "whole":
         return df.withColumns(dict(build(Window.partitionBy(*spec.keys).orderBy(*order), None)))
 
-    totals = dict(totals or {})
+    df, totals = once(df, spec), dict(totals or {})
     names = {new: f"_gt_total_{new}" for new in totals}
     one = "_gt_one"
     numbered = running(

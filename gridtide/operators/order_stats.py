@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.operators.layout import as_local, collect_small
+from gridtide.session import stage
 
 #: buckets per unit of ln|x| in the first pass (0.1 % wide), and places per bucket in the passes after it
 _PER_E, _PER_BUCKET = 1024, 1 << 16
@@ -78,8 +79,9 @@ def values_at(
     picked = _pick(counts1.withColumn(_WANTED, wanted).drop(_ALL), group, _B1)
     found = []
     for depth in range(_PLACES + 1):
+        # either way the next pass reads it, and does not plan this one again
         local = collect_small(picked)
-        picked = picked if local is None else as_local(picked, local)
+        picked = stage(picked, "places") if local is None else as_local(picked, local)
         found.append(_answers(picked.filter(F.col(_LO) == F.col(_HI)), group))
         if local is not None and local.column(_LO).equals(local.column(_HI)):
             break

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.operators.layout import in_order, known_keys
+from gridtide.operators.split import key_text
 from gridtide.spec import SeriesSpec
 
 
@@ -32,7 +33,7 @@ def best_row(df: DataFrame, metric: str, ties: Sequence[str] = ()) -> DataFrame:
 def sample_series(df: DataFrame, spec: SeriesSpec, k: int, seed: int = 42) -> DataFrame:
     """``k`` different series, the same ones for the same seed however the table is partitioned."""
     keys = known_keys(df, spec.keys).select(*spec.keys).distinct()
-    return keys.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in spec.keys])), *spec.keys).limit(k)
+    return keys.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), key_text(spec.keys))), *spec.keys).limit(k)
 
 
 def stack_rows(frames: Sequence[DataFrame]) -> DataFrame:

@@ -17,6 +17,7 @@ from gridtide.operators.metrics import mae
 from gridtide.operators.ordering import best_row, sort_by, top_k
 from gridtide.plans.model import regressor
 from gridtide.sources.readers import exists
+from gridtide.spec import BacktestSpec
 
 TRIALS = "number INT, value DOUBLE, params MAP<STRING, DOUBLE>, fold_errors ARRAY<DOUBLE>, cv_errors_std DOUBLE, study STRING"
 
@@ -69,7 +70,7 @@ def backtest(
     df: DataFrame,
     estimator: Estimator,
     label: str,
-    k: int = 5,
+    k: int = BacktestSpec().n_folds,
     features: Sequence[str] | None = None,
     parallel: int = 4,
 ) -> DataFrame:
@@ -108,9 +109,9 @@ def sweep(
     features: Sequence[str],
     label: str,
     space: Sequence[Mapping] = SPACE,
-    n_trials: int = 3,
-    k: int = 5,
-    seed: int = 0,
+    n_trials: int = BacktestSpec().n_trials,
+    k: int = BacktestSpec().n_folds,
+    seed: int = BacktestSpec().seed,
     study: str = "study",
     path: str | None = None,
     estimator_fn: Callable[[Mapping[str, float]], Estimator] | None = None,

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from gridtide.operators.columns import drop_columns, target_first, with_measure
-from gridtide.operators.continuity import drop_discontinuous
+from gridtide.operators.continuity import discontinuous_series, drop_discontinuous
 from gridtide.operators.features import make_features
 from gridtide.operators.fill import forward_fill
-from gridtide.operators.layout import settle
+from gridtide.operators.layout import known_keys, settle
 from gridtide.operators.split import time_split
 from gridtide.sources.readers import read_observations, read_table
 from gridtide.sources.writers import write_splits
@@ -28,13 +28,23 @@ def preprocess(
     flag: str = FLAG,
     fill: str = "series",
     order: str | None = ROW_ID,
+    boundary: str = "series",
 ) -> DataFrame:
     """Contiguous series with filled targets, target first, tagged with ``measure`` and ``split``.
 
+    ``boundary="series"`` drops the series that miss a step; ``"frame"`` measures steps over the whole sorted table and drops a unit (the
+    keys without the flag) with all its measures.
+
     ``fill="series"`` fills within a series; ``"frame"`` in file order within a measure, across series.
     """
     spec = settle(df, spec)
-    rows = drop_discontinuous(target_first(df, spec.target), spec)
+    rows = target_first(df, spec.target)
+    if boundary == "frame":
+        unit = [k for k in spec.keys if k != flag]
+        broken = discontinuous_series(rows, spec, "frame").select(*unit).distinct()
+        rows = known_keys(rows, spec.keys).join(broken, unit, "left_anti").select(*rows.columns)
+    else:
+        rows = drop_discontinuous(rows, spec)
     rows = with_measure(rows, flag)
     if fill == "frame":
         rows = forward_fill(rows, spec, [spec.target], scope="frame", order=order, partition=["measure"])

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, name: str = "gridtide", **conf) -> SparkSession:
@@ -29,7 +29,16 @@ def local_session(cores: int | str = 8, name: str = "gridtide", **conf) -> Spark
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder of ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """A new path under the shared folder of ``spark.checkpoint.dir``; a local one only where all runs on one machine (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not (spark.sparkContext.master or "").split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: intermediate tables go there")
     base = shared or tempfile.mkdtemp(prefix="gridtide-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch space and read again: it is computed once, and what follows has a short plan."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

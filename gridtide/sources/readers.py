@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
+#: files as most programs write them: a header, and doubled quotes
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
 # fixed values: columns of the raw observation file, in file order
 OBSERVATIONS = (
@@ -19,12 +21,17 @@ def _as_schema(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def parse_observations(spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS) -> DataFrame:
-    """All lines of headed CSV files: the declared columns, and the text of a line that does not fit them in ``_corrupt``."""
+def parse_observations(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS, multi_line: bool = False
+) -> DataFrame:
+    """All lines of headed CSV files: the declared columns, and the text of a line that does not fit them in ``_corrupt``.
+
+    A quote inside a quoted field is doubled. With ``multi_line`` quoted fields may hold line breaks; a file is then read by one task.
+    """
     declared = _as_schema(schema)
     return (
         spark.read.schema(T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", True)
+        .options(**CSV, multiLine=multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
@@ -35,8 +42,8 @@ def parse_observations(spark: SparkSession, path: str | list[str], schema: str |
 
 
 def _reads_data(parsed: DataFrame) -> Column:
-    """Always true. Spark wants a data column used beside the one for bad records."""
-    return F.coalesce(F.col(parsed.columns[0]).cast("string"), F.lit("")) >= ""
+    """Always true, but uses every declared column: Spark tells a bad line by the columns that it reads only."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in parsed.columns if c != CORRUPT]) >= F.lit(-(1 << 63))
 
 
 def good_lines(parsed: DataFrame) -> DataFrame:
@@ -51,13 +58,18 @@ def bad_lines(parsed: DataFrame) -> DataFrame:
 
 
 def read_observations(
-    spark: SparkSession, path: str | list[str], schema: str | T.StructType = OBSERVATIONS, rejects: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | T.StructType = OBSERVATIONS,
+    rejects: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed rows of headed CSV files, checked against the declared schema. NaN is read as null.
 
-    A line that does not fit is left out here and returned, as text in ``_corrupt``, by ``rejects=True``.
+    A line that does not fit is left out here and returned, as text in ``_corrupt``, by ``rejects=True``. ``multi_line`` as in
+    :func:`parse_observations`.
     """
-    parsed = parse_observations(spark, path, schema)
+    parsed = parse_observations(spark, path, schema, multi_line)
     return bad_lines(parsed) if rejects else good_lines(parsed)
 
 

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.sources.readers import CORRUPT, bad_lines, exists, good_lines, parse_observations, read_lookup_json
+from gridtide.sources.readers import CORRUPT, CSV, bad_lines, exists, good_lines, parse_observations, read_lookup_json
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -51,11 +51,13 @@ def land_raw(
     schemas: Mapping[str, str],
     lookup: str | None = None,
     force: bool = False,
+    multi_line: bool = False,
 ) -> list[str]:
     """Land a drop directory: every CSV file becomes a typed parquet table of the same name, and so does the lookup file.
 
     ``schemas`` gives the columns per file name (without ``.csv``); a file without an entry is landed with all its columns as text.
-    Lines that do not fit their schema go to ``<name>_rejects``, if there are any. Returns the names of the tables written now.
+    Lines that do not fit their schema go to ``<name>_rejects``, if there are any. ``multi_line``: quoted fields may hold line breaks. Returns
+    the names of the tables written now.
     """
     src, dst = src_dir.rstrip("/"), dst.rstrip("/")
     written = []
@@ -63,10 +65,10 @@ def land_raw(
         source, target = f"{src}/{name}.csv", f"{dst}/{name}"
         ddl = schemas.get(name)
         if ddl is None:
-            build = partial(lambda at: spark.read.option("header", True).csv(at), source)
+            build = partial(lambda at: spark.read.options(**CSV, multiLine=multi_line).csv(at), source)
             done = write_stage(build, target, force, spark=spark)
         else:
-            done = _land_typed(spark, source, target, ddl, force)
+            done = _land_typed(spark, source, target, ddl, force, multi_line)
         written += [name] if done else []
     if lookup is not None:
         name = lookup.rsplit("/", 1)[-1].removesuffix(".json")
@@ -76,10 +78,10 @@ def land_raw(
     return written
 
 
-def _land_typed(spark: SparkSession, source: str, target: str, ddl: str, force: bool) -> bool:
+def _land_typed(spark: SparkSession, source: str, target: str, ddl: str, force: bool, multi_line: bool) -> bool:
     """Bad lines are counted while the good ones are written; the file is read again only if there are some."""
     seen = Observation()
-    parsed = parse_observations(spark, source, ddl)
+    parsed = parse_observations(spark, source, ddl, multi_line)
 
     def build() -> DataFrame:
         return good_lines(parsed.observe(seen, F.count(CORRUPT).alias("bad")))
