@@ -94,14 +94,16 @@ def _nanp(number: int) -> bool:
 
 
 def phone(keyed: Keyed, text: str) -> str | None:
+    """With a country code, any number of its length; without, a North American one. Those with code 1 are the same numbers."""
     digits = _digits(text)
-    if not text.startswith("+") or digits[0] == "1":
-        if len(digits) == 11 and digits[0] == "1":
-            digits = digits[1:]
-        if len(digits) != 10 or not _nanp(int(digits)):
+    abroad = text.startswith("+")
+    if not abroad or digits[0] == "1":
+        national = digits[1:] if abroad and len(digits) == 11 else digits
+        if len(national) != 10 or not (abroad or _nanp(int(national))):
             return None
-        new = f"{keyed.permute('phone', 10**10, int(digits), _nanp):010d}"
-        return _refill(text, new if len(_digits(text)) == 10 else "1" + new)
+        kind = _nanp(int(national))
+        new = f"{keyed.permute('phone', 10**10, int(national), lambda v: _nanp(v) == kind):010d}"
+        return _refill(text, digits[: len(digits) - 10] + new)
     if not 8 <= len(digits) <= 15 or digits[0] == "0":
         return None
     # the country code, of unknown length, is kept with two digits

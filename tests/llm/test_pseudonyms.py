@@ -47,6 +47,7 @@ def test_validated_numbers_stay_valid_and_linked():
 def test_phones():
     new = put("call +1 (456) 555-2186 or 456-555-2186, not 123-456-7890")
     m = re.fullmatch(r"call \+1 \(([2-9]\d\d)\) ([2-9]\d\d)-(\d{4}) or (\d{3})-(\d{3})-(\d{4}), not 123-456-7890", new)
+    assert put("+1 (139) 555-2766") != "+1 (139) 555-2766" and put("(139) 555-2766") == "(139) 555-2766"
     assert m and m.groups()[:3] == m.groups()[3:] and m.groups()[:3] != ("456", "555", "2186")
     assert re.fullmatch(r"\+49 \d\d \d{7}", put("+49 30 1234567")) and put("+49 30 1234567") != "+49 30 1234567"
 
