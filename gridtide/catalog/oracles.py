@@ -333,6 +333,28 @@ def _pacf_two_lags() -> str:
 
 ORACLES["pacf_two_lags"] = _pacf_two_lags()
 
+
+def _pacf(nlags: int, adjusted: bool, z: float) -> str:
+    """Levinson and Durbin's recursion over lists: ``r`` is a series' autocorrelations from lag 0 on, ``phi`` the coefficients so far."""
+    text = _acf(nlags, adjusted).replace("+ 1e-10, 6) AS acf", "+ 0, 15) AS acf")
+    shared, correlations = text.split("\nSELECT a.event_type", 1)
+    rows = f"""SELECT event_type, CAST(k AS INTEGER) AS lag, pacf, pacf - h AS lower, pacf + h AS upper FROM (
+  SELECT event_type, k, pacf, CASE WHEN k = 0 THEN 0 ELSE {z} / sqrt(n) END AS h
+  FROM steps JOIN (SELECT event_type, count(*) AS n FROM filled GROUP BY event_type) AS c USING (event_type)) AS p"""
+    return f"""{shared.replace("WITH ", "WITH RECURSIVE ", 1)},
+given AS (SELECT event_type, list(acf ORDER BY lag) AS r FROM (SELECT a.event_type{correlations}) AS c GROUP BY event_type),
+steps AS (
+  SELECT event_type, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS err, CAST(1 AS DOUBLE) AS pacf, r FROM given
+  UNION ALL
+  SELECT event_type, k + 1, list_append([phi[j] - p * phi[k + 1 - j] for j in range(1, k + 1)], p), err * (1 - p * p), p, r FROM (
+    SELECT *, (r[k + 2] - coalesce(list_sum([phi[j] * r[k + 2 - j] for j in range(1, k + 1)]), 0)) / err AS p
+    FROM steps WHERE k < {nlags}) AS s)
+""" + _rounded(rows, "pacf", "lower", "upper")
+
+
+ORACLES["pacf"] = _pacf(24, False, 2.5758293035489004)
+ORACLES["pacf_week"] = _pacf(24 * 7, True, 1.959963984540054)
+
 # --- splits ---------------------------------------------------------------------------------------------------------
 
 _SPLIT = """(SELECT o_orderkey, o_orderdate,
