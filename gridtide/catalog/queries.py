@@ -891,8 +891,8 @@ def sweep(spark, d):
 def best_trial(spark, d):
     """The trial with the least value."""
     trials = bt.trials_table(spark, _sweep(spark, d), "monthly")
-    least = trials.agg(F.min("value").alias("least"))
-    return bt.best_trial(trials).join(least).select("study", (F.col("value") == F.col("least")).alias("is_least"))
+    least = trials.agg(F.min("value")).first()[0]
+    return bt.best_trial(trials).select("study", (F.col("value") == F.lit(least)).alias("is_least"))
 
 
 def _store(spark, d):
@@ -932,9 +932,8 @@ def promote_best(spark, d):
     store = _store(spark, d)
     row = rn.promote_best(spark, store, "monthly")
     runs = rn.search_runs(spark, store, "monthly").withColumn("m", rn.metric("test_mae"))
-    least = runs.agg(F.min("m").alias("least"))
-    chosen = row.join(runs.select("run_id", "m"), "run_id").join(least)
-    return chosen.select("experiment_id", (F.col("m") == F.col("least")).alias("is_least"))
+    least = runs.agg(F.min("m")).first()[0]
+    return row.join(runs.select("run_id", "m"), "run_id").select("experiment_id", (F.col("m") == F.lit(least)).alias("is_least"))
 
 
 def _model_and_requests(spark, d):
