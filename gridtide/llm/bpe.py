@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.llm.common import ship
+from gridtide.llm.common import kept, ship
 
 #: entries of the tables, at most (of pairs and pieces, in each of two generations)
-KEPT_STATES = 180_000
+KEPT_STATES = 250_000
 KEPT_PAIRS = 25_000
-KEPT_PIECES = 140_000
+KEPT_PIECES = 220_000
 #: bytes between looks at the number of states; characters that are cut into pieces at a time, or more up to a place to cut
 STRIDE, SLICE = 1 << 12, 1 << 16
 #: bytes of text in a batch of results; ids that are decoded at a time
@@ -324,22 +324,11 @@ def decode_ids(ids: Sequence[int], tokens: dict[int, bytes]) -> str:
 
 # operators
 
-_made: dict[tuple, object] = {}
-
 
 def _mark(ranks: dict[bytes, int]) -> str:
     return hashlib.sha256(b"".join(b"%d %d %b" % (i, len(t), t) for t, i in ranks.items())).hexdigest()
 
 
-def _once(key: tuple, make):
-    """An object that the tasks of a worker process share; the last two are kept."""
-    if key not in _made:
-        while len(_made) > 1:
-            del _made[next(iter(_made))]
-        _made[key] = make()
-    return _made[key]
-
-
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids", decoded: str | None = None
 ) -> DataFrame:
@@ -357,7 +346,7 @@ def encode(
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _once(key, lambda: Encoder(*shared.value))
+        encoder = kept(key, lambda: Encoder(*shared.value))
         for batch in batches:
             for part in sliced(batch, at):
                 packed = [encoder.encode(t.as_py() or "") for t in part.column(at)]
@@ -380,7 +369,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", into: s
     at = df.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _once(key, lambda: {i: t for t, i in shared.value.items()})
+        tokens = kept(key, lambda: {i: t for t, i in shared.value.items()})
         for batch in batches:
             for part in sliced(batch, at):
                 rows = (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else [] for x in part.column(at))

@@ -43,6 +43,22 @@ def ship(spark: SparkSession) -> None:
         _shipped.add((spark.sparkContext.applicationId, mark))
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make):
+    """In a task: the object of a key, which later tasks of the same worker process find again. One is kept at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """In a task that needs no kept object: free what another operator has left in this worker process."""
+    _kept.clear()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import ship
+from gridtide.llm.common import release, ship
 from gridtide.operators.layout import small_copy
 
 PER_CLASS = 1500
@@ -178,6 +178,7 @@ def train(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             parts = [chunks(t.as_py()) for t in batch.column(1)]
             parts = [[p[i] for i in sorted({len(p) * j // CHUNKS for j in range(CHUNKS)})] for p in parts]
@@ -205,6 +206,7 @@ def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         net = shared.value
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array([net.score(t.as_py()) for t in batch.column(1)], pa.float64())], ["id", "score"])
@@ -223,6 +225,7 @@ def keep_good(docs: DataFrame, network: Network, id_col: str = "doc_id", text_co
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         net = shared.value
         for batch in batches:
             yield batch.filter(pa.array([net.score((t.as_py() or "").encode()) >= threshold for t in batch.column(at)], pa.bool_()))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import components, ship, stage
+from gridtide.llm.common import components, release, ship, stage
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc", "fp"])
@@ -184,6 +185,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     ship(distinct.sparkSession)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             for at in range(0, len(fps), 4096):
@@ -192,6 +194,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 yield pa.record_batch([pa.array(keys.astype(np.int32)), pa.array(part[rows])], ["key", "fp"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         keys, fps = np.empty(0, np.int32), np.empty(0, np.uint64)
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
