@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.operators.layout import cut, known_keys, over_series, series_stats, settle
+from gridtide.operators.order_stats import known
 from gridtide.spec import SeriesSpec
 
 _SUM, _N, _ROWS, _X, _NEAR = "_gt_sum", "_gt_n", "_gt_rows", "_gt_x", "_gt_near"
@@ -19,7 +20,7 @@ _SUM, _N, _ROWS, _X, _NEAR = "_gt_sum", "_gt_n", "_gt_rows", "_gt_x", "_gt_near"
 
 def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -> DataFrame:
     """One row per series: keys, ``n`` and the array ``acf`` of lags 0 … nlags."""
-    rows = known_keys(df, spec.keys).select(*spec.keys, spec.time, spec.target)
+    rows = known_keys(df, spec.keys).select(*spec.keys, spec.time, known(df, spec.target).alias(spec.target))
     spec = settle(rows, spec)
     rows = series_stats(
         cut(rows.withColumn(_ROWS, F.lit(1)), spec),

@@ -11,7 +11,9 @@ from gridtide.functions.steps import Step
 from gridtide.operators.layout import bucket_of, cut, depth_of, in_order, known_keys, once, running, series_stats, settle
 from gridtide.spec import SeriesSpec
 
-_LO, _K, _PREV_K, _AT = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at"
+_LO, _K, _PREV_K, _AT, _FROM = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at", "_gt_from"
+#: grid points that are listed in one array, at most
+_STRETCH = 1 << 14
 
 
 def duplicate_times(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -42,13 +44,16 @@ def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     first = F.when(
         F.col(_PREV_K) == F.col(_K), F.raise_error(F.lit("densify: a series has two rows for one time"))
     ).otherwise(F.coalesce(F.col(_PREV_K) + 1, F.col(_K)))
-    return rows.withColumn(_AT, F.explode(F.sequence(first, F.col(_K))))
+    # a long gap in two steps, so that no row holds it whole
+    rows = rows.withColumn(_FROM, F.explode(F.sequence(first, F.col(_K), F.lit(_STRETCH).cast("bigint"))))
+    upto = F.least(F.col(_FROM) + (_STRETCH - 1), F.col(_K))
+    return rows.withColumn(_AT, F.explode(F.sequence(F.col(_FROM), upto))).drop(_FROM)
 
 
 def densify(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """One row per series and grid point, first to last time; columns of added points are null but for the key.
 
-    The grid of a series starts at its first row; rows between grid points are not part of it.
+    The grid of a series starts at its first row; rows between grid points are not part of it (see :func:`off_grid_rows`).
     """
     points = _grid_points(df, spec)
     time = spec.grid.plus(F.col(_LO), F.col(_AT))
@@ -62,6 +67,15 @@ def densify(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return points.select(*cols)
 
 
+def off_grid_rows(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Rows that :func:`densify` leaves out: those without a time, and those between the grid points that start at a series' first time."""
+    rows = known_keys(df, spec.keys)
+    first = rows.groupBy(*spec.keys).agg(F.min(spec.time).alias(_LO))
+    joined = rows.join(first, list(spec.keys))
+    on_grid = spec.grid.plus(F.col(_LO), spec.grid.between(F.col(_LO), F.col(spec.time))) == F.col(spec.time)
+    return joined.filter(~F.coalesce(on_grid, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def missing_times(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Grid points without a row."""
     points = _grid_points(df.select(*spec.keys, spec.time), spec).filter(F.col(_AT) != F.col(_K))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.operators.layout import by_range, local_table, range_of, running, small_copy
+from gridtide.operators.order_stats import known
 
 
 def target_first(df: DataFrame, target: str) -> DataFrame:
@@ -97,7 +98,8 @@ def hour_of_day_between(df: DataFrame, time: str, lo: int, hi: int) -> DataFrame
 
 
 def null_rows(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col).isNull())
+    """Rows whose value is null or NaN."""
+    return df.filter(known(df, col).isNull())
 
 
 def offset_column(df: DataFrame, col: str, eps: float, out: str | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridtide.functions.dates import add_date_features
 from gridtide.operators.layout import chunk_of, known_keys, over_series, settle
+from gridtide.operators.order_stats import known
 from gridtide.spec import FeatureSpec, SeriesSpec
 
 _CHECKED, _IS_HISTORY = "_gt_checked", "_gt_is_history"
@@ -110,14 +111,14 @@ def make_features(
 
     Rows that lack a lag or a rolling value (the head of each series) are dropped unless ``dropna=False``. With
     ``history`` the last rows of that earlier table go on top of each series first, so no row of ``df`` is
-    lost; the expanding mean then starts at the first of those rows. A null target is an error.
+    lost; the expanding mean then starts at the first of those rows. A null target, or NaN, is an error.
     """
     rows = known_keys(df, spec.keys)
     if history is not None:
         tail = series_tail(history, spec, features.reach).withColumn(_IS_HISTORY, F.lit(True))
         rows = rows.withColumn(_IS_HISTORY, F.lit(False)).unionByName(tail, allowMissingColumns=True)
     spec = settle(rows, spec)
-    target = F.col(spec.target)
+    target = known(rows, spec.target)
     rows = rows.withColumn(
         _CHECKED, F.when(target.isNull(), F.raise_error(F.lit("make_features: null target"))).otherwise(target)
     ).withColumn("_gt_known", F.lit(1).cast("bigint"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.operators.layout import bucket_of, by_range, depth_of, known_keys, once, range_of, running, settle
+from gridtide.operators.order_stats import is_float, known
 from gridtide.spec import SeriesSpec
 
 
@@ -19,7 +20,7 @@ def forward_fill(
     order: str | None = None,
     partition: Sequence[str] = (),
 ) -> DataFrame:
-    """Replace nulls by the last known value before them. Leading nulls stay.
+    """Replace nulls, and NaN, by the last known value before them. Leading nulls stay.
 
     ``scope="series"``: within the series, in time order.
     ``scope="frame"``: in the order of a whole-number column (``order``, e.g. the row number of a file) within ``partition``
@@ -39,6 +40,7 @@ def forward_fill(
     else:
         raise ValueError(f"unknown scope: {scope!r}")
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (*part, *by, *spec.keys, spec.time)]
+    rows = rows.withColumns({c: known(rows, c) for c in cols if is_float(rows, c)})
     filled = {c: f"_gt_fill_{c}" for c in cols}
     out = running(rows, part, by, {new: ("last", c) for c, new in filled.items()}, bucket, depth=depth)
     return out.select(*[F.col(filled[c]).alias(c) if c in filled else F.col(f"`{c}`") for c in df.columns])

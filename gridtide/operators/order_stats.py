@@ -14,6 +14,7 @@ from functools import reduce
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.operators.layout import as_local, collect_small
 from gridtide.session import stage
@@ -106,6 +107,16 @@ def _answers(picked: DataFrame, group: Sequence[str]) -> DataFrame:
     return rows.select(*group, "t.target", "value", F.col("t.position").alias("offset"), "t.n")
 
 
+def is_float(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType))
+
+
+def known(df: DataFrame, col: str) -> Column:
+    """A column with NaN read as null."""
+    x = F.col(f"`{col}`")
+    return F.when(~F.isnan(x), x) if is_float(df, col) else x
+
+
 def known_number(c: Column | str) -> Column:
     """A number as DOUBLE, with NaN read as null."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtide.operators.columns import numeric_columns
 from gridtide.operators.layout import known_keys
-from gridtide.operators.order_stats import known_number, quantiles_wide
+from gridtide.operators.order_stats import known, known_number, quantiles_wide
 from gridtide.spec import SeriesSpec
 
 
@@ -42,10 +42,10 @@ def shape_and_schema(df: DataFrame) -> DataFrame:
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Null count and ratio per column, in one pass."""
+    """Null count and ratio per column, in one pass. NaN counts as null."""
     cols = list(cols or df.columns)
     total = F.count(F.lit(1))
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()) for c in cols]
+    nulls = [F.count_if(known(df, c).isNull()) for c in cols]
     one = df.agg(
         *[n.alias(f"nulls_{i}") for i, n in enumerate(nulls)],
         *[(n / F.nullif(total, F.lit(0))).alias(f"ratio_{i}") for i, n in enumerate(nulls)],
@@ -55,7 +55,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def nulls_per_series(df: DataFrame, spec: SeriesSpec, min_count: int = 0) -> DataFrame:
     """Null targets per series, most first; series with more than ``min_count`` only."""
-    out = known_keys(df, spec.keys).groupBy(*spec.keys).agg(F.count_if(F.col(spec.target).isNull()).alias("nulls"))
+    out = known_keys(df, spec.keys).groupBy(*spec.keys).agg(F.count_if(known(df, spec.target).isNull()).alias("nulls"))
     return out.filter(F.col("nulls") > min_count).orderBy(F.desc("nulls"), *spec.keys)
 
 

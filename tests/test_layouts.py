@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide import FeatureSpec, SeriesSpec
-from gridtide.operators import autocorr, calendar, columns, continuity, features, fill, order_stats, profile
+from gridtide.operators import autocorr, calendar, columns, continuity, features, fill, metrics, order_stats, profile
 from gridtide.operators import split as splits
 
 SPEC = SeriesSpec(("id",), time="t", target="y", step="1 hour")
@@ -135,3 +135,26 @@ def test_scratch_needs_a_shared_folder(monkeypatch, spark):
 
     with pytest.raises(ValueError):
         session.scratch(Session(), "x")
+
+
+def test_nan_is_null_everywhere(spark):
+    nan, start = float("nan"), datetime(2024, 1, 1)
+    rows = [("a", start + timedelta(hours=i), v) for i, v in enumerate([1.0, nan, 3.0, None])]
+    df = spark.createDataFrame(rows, "id string, t timestamp_ntz, y double")
+    assert [r.y for r in fill.forward_fill(df, SPEC).orderBy("t").collect()] == [1.0, 1.0, 3.0, 3.0]
+    assert profile.null_profile(df, ["y"]).first().nulls == 2 and columns.null_rows(df, "y").count() == 2
+    assert metrics.mae(df.withColumn("z", F.lit(2.0)), "y", "z").first().mae == 1.0
+    assert all(r.acf is None for r in autocorr.acf(df.limit(3), SPEC, 2).collect())
+    with pytest.raises(Exception, match="null target"):
+        features.make_features(df.limit(3), SPEC, FeatureSpec((1,), (), (), False, ()), dropna=False).collect()
+
+
+def test_long_gaps_and_rows_off_the_grid(spark, monkeypatch):
+    start = datetime(2024, 1, 1)
+    rows = [("a", start, 1.0), ("a", start + timedelta(minutes=90), 2.0), ("a", start + timedelta(hours=50), 3.0), ("a", None, 4.0)]
+    df = spark.createDataFrame(rows, "id string, t timestamp_ntz, y double")
+    want = sorted(map(str, calendar.densify(df, SPEC).collect()))
+    assert len(want) == 51
+    monkeypatch.setattr(calendar, "_STRETCH", 7)
+    assert sorted(map(str, calendar.densify(df, SPEC).collect())) == want
+    assert sorted(r.y for r in calendar.off_grid_rows(df, SPEC).collect()) == [2.0, 4.0]
