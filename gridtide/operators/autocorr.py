@@ -7,6 +7,8 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +32,12 @@ def _correlations(df: DataFrame, spec: SeriesSpec, nlags: int, adjusted: bool) -
     # a series with a null has no autocorrelation
     rows = rows.withColumn(_X, F.when(F.col(_N) == F.col("_gt_all"), F.col(spec.target) - F.col(_SUM) / F.col(_N)))
     rows = rows.drop(spec.target, _ROWS, _SUM, _N, "_gt_all")
-    # each row meets its predecessors, one column for each lag; the products are summed before anything is shuffled
-    near = over_series(rows, spec, nlags, lambda w, _: {f"{_NEAR}{k}": F.lag(_X, k).over(w) for k in range(1, nlags + 1)})
-    past = [F.col(_X), *[F.col(f"{_NEAR}{k}") for k in range(1, nlags + 1)]]
+    # each row meets itself and its predecessors; the products are summed place by place, in map tasks first, without a row for each lag.
+    # A series with nulls has products of zero, and so no variance
+    near = over_series(rows, spec, nlags, lambda w, _: {_NEAR: F.collect_list(_X).over(w.rowsBetween(-nlags, Window.currentRow))})
+    products = F.transform(F.sequence(F.lit(0), F.lit(nlags)), lambda k: F.coalesce(F.get(_NEAR, F.size(_NEAR) - 1 - k) * F.col(_X), F.lit(0.0)))
     per_series = near.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col(_X) * x) for x in past]).alias("s")
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(array_to_vector(products))).alias("s")
     )
     n = F.col("n")
     variance = F.nullif(F.get("s", F.lit(0)), F.lit(0.0)) / n
