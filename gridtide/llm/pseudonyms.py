@@ -210,10 +210,45 @@ KINDS: tuple[tuple[str, str, Callable[[Keyed, str], str | None]], ...] = (
     ("date", r"\d\d?([-/.])\d\d?\1\d{4}(?!\d)", date),
     ("address", r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)", address),
     ("ssn", r"\d{3}-\d\d-\d{4}(?![-\d])", ssn),
-    ("card", r"\d(?:[ -]?\d){12,18}(?![ -]?\d)", card),
+    ("card", r"\d(?:[ -]?\d){12,18}(?!\d)", card),
     ("phone", r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", phone),
+    ("phone", r"\+1(?:[ .()-]{0,2}\d){10}(?!\d)", phone),
     ("phone", r"\+[1-9](?:[ .()-]{0,2}\d){7,14}(?!\d)", phone),
 )
+#: fixed values: characters of an account number by country
+IBAN_LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18"
+        " GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15"
+        " PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TN24 TR26 UA29 VA22 VG24 XK20"
+    ).split()
+}
+
+
+def _iban_form(length: int) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return rf"[A-Z]{{2}}\d\d(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
+
+
+#: the forms of one length each: what follows a number may look like more of it
+_CARD_ENDS = [re.compile(rf"\d(?:[ -]?\d){{{n - 1}}}(?!\d)") for n in range(19, 12, -1)]
+_IBAN_ENDS = {n: re.compile(_iban_form(n)) for n in range(34, 14, -1)}
+
+
+def _ends(kind: str, m: re.Match) -> Iterator[str]:
+    """What may be meant where a form matches: all ends of a group, the longest first; of account numbers the country's length before."""
+    if kind not in ("card", "iban"):
+        yield m[0]
+        return
+    forms = _CARD_ENDS if kind == "card" else _IBAN_ENDS.values()
+    usual = _IBAN_ENDS.get(IBAN_LENGTHS.get(m[0][:2])) if kind == "iban" else None
+    for form in [usual, *forms] if usual else forms:
+        found = form.match(m.string, m.start())
+        if found:
+            yield found[0]
+
+
 _COMPILED = [(kind, re.compile(form), make) for kind, form, make in KINDS]
 _ANY = re.compile(r"[0-9@]|(?:password|passwd|pwd|token|secret|api_?key)\s?[=:]")
 #: a name before an at sign has this many characters at most; what is longer is no address
@@ -229,10 +264,10 @@ def pseudonymise(text: str, keyed: Keyed) -> tuple[str, list[tuple[str, int, int
                 continue
             for kind, form, make in _COMPILED:
                 m = form.match(text, start)
-                new = make(keyed, m[0]) if m else None
+                old, new = next(((t, n) for t in _ends(kind, m) if (n := make(keyed, t)) is not None), ("", None)) if m else ("", None)
                 if new is not None:
                     out += [text[done:start], new]
-                    done = m.end()
+                    done = start + len(old)
                     spans.append((kind, start, done))
                     break
     return ("".join([*out, text[done:]]), spans) if spans else (text, spans)
