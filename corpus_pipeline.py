@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, token ids out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's docs. All but the last
-return the columns of documents. Ids are distinct up to the mixing, which emits a document as often as it is taken.
+return the columns of documents. Ids may be null or repeat: rows are told apart by a number of their own, never by id.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: a value of its own for each row, the same each time it is read; ids may be null or repeat.
+
+    Of a table read as it is in files this is the place in its file; anything else is written as a stage table with numbers.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    # nothing but the relation: after a join or a union, a place would no longer be of one row
+    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return docs.withColumn(name, F.struct("_metadata.file_path", "_metadata.row_index")), name
+        except AnalysisException:  # a source without places
+            pass
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 _shipped: set[tuple[str, str]] = set()
 
 

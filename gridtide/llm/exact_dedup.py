@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import numbered, partitions, stage
+from gridtide.llm.common import keyed, numbered, partitions, stage
 
 BLOCK_BYTES = 4096
 #: stands for the missing partner of a last, odd name
@@ -105,9 +105,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops. Ids must be distinct."""
-    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(kept, id_col, "left_semi")
+    """``docs`` without the rows that ``exact_duplicates`` drops.
+
+    Ids may be null or repeat. Of rows with equal text and equal id any one stays, whatever their other columns say.
+    """
+    rows, row = keyed(docs)
+    named = rows.select(F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")).alias("doc"), F.col(text_col).alias("text"))
+    kept = exact_duplicates(named, "doc", "text").filter("kept").select(F.col("doc_id.row").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 SQL = """

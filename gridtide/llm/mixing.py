@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import partitions, stage
+from gridtide.llm.common import keyed, partitions, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -97,10 +97,12 @@ def copies(
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` with each row as often as it is taken. Ids must be distinct."""
-    times = copies(docs, id_col, **settings).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").cast("int").alias("_n"))
-    rows = docs.join(times, F.col(id_col) == F.col("_id")).withColumn("_n", F.explode(F.sequence(F.lit(1), "_n")))
-    return rows.drop("_id", "_n")
+    """``docs`` with each row as often as it is taken. Ids may be null or repeat: each row is taken for itself."""
+    rows, row = keyed(docs)
+    # in the same order as by id, and rows with the same id by their number
+    named = rows.withColumn(id_col, F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")))
+    times = copies(named, id_col, **settings).filter("copies > 0").select(F.col("doc_id.row").alias(row), F.col("copies").cast("int").alias("_n"))
+    return rows.join(times, row).withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).drop(row, "_n")
 
 
 SQL = f"""

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import components, release, ship, stage
+from gridtide.llm.common import components, keyed, release, ship, stage
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -244,6 +244,12 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one whose id names it. Ids must be distinct."""
-    kept = near_duplicates(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(kept, id_col, "left_semi")
+    """``docs`` with one row of each component: the one with the smallest id.
+
+    Ids may be null, which is above all others, or repeat; of rows of a component with the same id any one stays.
+    """
+    rows, row = keyed(docs)
+    name = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    named = rows.select(name.alias("doc"), F.col(text_col).alias("text"))
+    kept = near_duplicates(named, "doc", "text").filter("doc_id.row = component_id.row").select(F.col("doc_id.row").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)

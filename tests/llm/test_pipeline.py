@@ -77,6 +77,35 @@ def test_run(spark, stages):
     assert sorted(r.ids_sha256 for r in cp.run(spark, DATA).collect()) == sorted(r.ids_sha256 for r in stages[5].collect())
 
 
+@pytest.mark.parametrize("written", [False, True])
+def test_rows_without_id_and_repeated_rows(spark, odd_docs, written):
+    """The odd rows as they are: nobody's text is lost with a null id, repeated rows leave one, and copies stay within the bound."""
+    docs = odd_docs.select(*cp.COLUMNS).union(spark.createDataFrame([(None, "text of its own " * 9, "en", "src0", None)], odd_docs.select(*cp.COLUMNS).schema))
+    docs = stage(docs, "odd") if written else docs
+    rows = [tuple(r) for r in docs.collect()]
+    once = stage(cp.distinct(spark, docs, DATA), "odd-distinct")
+    got = [tuple(r) for r in once.collect()]
+    assert sorted(r[1] or "" for r in got) == sorted({r[1] or "" for r in rows})
+    for r in got:
+        ids = [x[0] for x in rows if (x[1] or "") == (r[1] or "")]
+        assert r[0] == max((i for i in ids if i is not None), default=None) and r in rows
+    apart = stage(cp.dissimilar(spark, once, DATA), "odd-dissimilar")
+    table = sorted(((r[0] is None, r[0] or 0, r[1] or "") for r in got))
+    roots = brute_components([slow_fingerprint(t) for _, _, t in table])
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in apart.collect()) == [table[r] for r in sorted(set(roots))]
+    for stage_in in (apart, docs):
+        taken = Counter(tuple(r) for r in cp.mixed(spark, stage_in, DATA).collect())
+        have = Counter(tuple(r) for r in stage_in.collect())
+        sizes = Counter((r.doc_id, r.size) for r in mixing.copies(stage_in).collect() for _ in range(r.copies))
+        assert sum(taken.values()) == sum(sizes.values()) and all(n <= mixing.MOST * have[r] for r, n in taken.items())
+        assert Counter(r[0] for r in taken.elements()) == Counter(i for i, _ in sizes.elements())
+
+
+def test_a_row_without_id_is_mixed_in(spark):
+    docs = spark.createDataFrame([(None, "a b c", "s"), (1, "d e f", "s"), (1, "d e f", "s")], "doc_id long, text string, source string")
+    assert Counter(r.doc_id for r in mixing.mixed(docs).collect()) == {None: 1, 1: 2}
+
+
 @pytest.mark.parametrize("case", ["empty", "odd"])
 def test_odd_input(spark, case, odd_docs, no_docs, tmp_path):
     """Empty tables, and documents with nulls, empty and long texts, ties and more columns, pass through all stages."""
