@@ -1,8 +1,8 @@
 """Licence scan: TF-IDF cosine of passages to templates, then inheritance from the nearest directory above.
 
 Weights come from the whole corpus: one pass counts in how many files each word of the templates occurs; all other words weigh as words that
-occur in none. A passage of a template's length around each occurrence of the template's rarest word is compared as a sparse vector. A file whose words cannot
-reach the bound (by Cauchy and Schwarz, the part of the template's norm that its words make up) is passed over with one set operation.
+occur in none. Every passage of a template's length is compared as a sparse vector, but for those whose words cannot reach the bound: by Cauchy and
+Schwarz, their part of the template's norm is below it. A file is passed over by that with one set operation, a passage with one difference of sums.
 
 A file that states no licence takes that of the nearest directory above it that has a licence file: directories, not files, are expanded to
 their ancestors and joined.
@@ -14,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -45,6 +46,9 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicense|notice)([._-].*)?$"
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
+_SPDX = "spdx-license-identifier:"
+#: for rounding, the share of the bound that a sum may lack
+_SLACK = 1e-6
 
 
 def tokens(text: str) -> list[str]:
@@ -61,23 +65,29 @@ class Matcher:
         for name, text in templates:
             words = tokens(text)
             vector = {w: n * self.idf[w] for w, n in Counter(words).items()}
-            rarest = max(words, key=lambda w: (self.idf[w], w))
-            self.templates.append(
-                (name, vector, math.sqrt(sum(v * v for v in vector.values())), len(words), rarest, [i for i, w in enumerate(words) if w == rarest])
-            )
+            # an SPDX line is of no licence but the one that it names
+            needed = frozenset(tokens(text[len(_SPDX) :])) if text.lower().startswith(_SPDX) else frozenset()
+            self.templates.append((name, vector, math.sqrt(sum(v * v for v in vector.values())), len(words), needed))
             self.vocabulary |= vector.keys()
 
     def best(self, text: str) -> tuple[str | None, float, int, int]:
         """(licence, cosine, start and end in code points) of the best passage; of equals the template listed first, then the first place."""
         found = self.vocabulary.intersection(tokens(text))
         out, place = (None, 0.0, 0, 0), None
-        for name, vector, norm, length, rarest, offsets in self.templates:
-            if rarest not in found or sum(vector[w] ** 2 for w in found & vector.keys()) < (self.threshold * norm) ** 2:
+        for name, vector, norm, length, needed in self.templates:
+            bound = (self.threshold * norm) ** 2 * (1 - _SLACK)
+            if not needed <= found or sum(vector[w] ** 2 for w in found & vector.keys()) < bound:
                 continue
             place = place or [(m[0], *m.span()) for m in _WORD.finditer(text.lower())]
-            for start in sorted({max(i - o, 0) for i, p in enumerate(place) if p[0] == rarest for o in offsets}):
+            # words that come again count again: never less than the part of the norm
+            sums = [0.0, *accumulate(vector.get(w, 0.0) ** 2 for w, _, _ in place)]
+            for start in range(len(place)):
+                if sums[min(start + length, len(place))] - sums[start] < bound:
+                    continue
                 part = place[start : start + length]
                 counts = Counter(w for w, _, _ in part)
+                if not needed <= counts.keys():
+                    continue
                 dot = sum(n * self.idf[w] * vector[w] for w, n in counts.items() if w in vector)
                 size = math.sqrt(sum((n * self.idf.get(w, self.other)) ** 2 for w, n in counts.items()))
                 cosine = min(dot / (size * norm), 1.0)

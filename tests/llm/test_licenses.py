@@ -24,6 +24,56 @@ def test_small_changes_and_plain_text():
     assert matcher().best("")[0] is None
 
 
+LONG = [(n, t) for n, t in li.TEMPLATES if len(li.tokens(t)) >= 12]
+
+
+@pytest.mark.parametrize("name,text", LONG)
+def test_any_one_word_may_lack_or_differ(name, text):
+    """Whichever word is the rarest: a notice is found without it if its cosine reaches the bound."""
+    words, filler = text.split(), "words of prose that have no licence to give here. " * 5
+    for rare in range(len(words)):
+        m = matcher(100_000, {w: 900 for _, t in li.TEMPLATES for w in li.tokens(t)} | {w: 40 for w in li.tokens(words[rare])})
+        for changed in (words[:rare] + words[rare + 1 :], [*words[:rare], "changed", *words[rare + 1 :]]):
+            whole = f"{filler}{' '.join(changed)}. {filler}"
+            found, want = m.best(whole), plain_scan(m, whole)
+            assert (found[0], round(found[1], 9)) == want and (want[0] or want[1] == 0)
+            if len(words) > 15:
+                assert found[0] == name
+
+
+def plain_scan(m, text):
+    """All windows of all templates, without any bound."""
+    place, out = li.tokens(text), (None, 0.0)
+    for (name, t), (_, vector, norm, length, _) in zip(li.TEMPLATES, m.templates, strict=True):
+        named = set(li.tokens(t.partition(":")[2])) if t.startswith("SPDX") else set()
+        for start in range(len(place)):
+            part = li.Counter(place[start : start + length])
+            dot = sum(n * m.idf[w] * vector[w] for w, n in part.items() if w in vector)
+            cosine = min(dot / li.math.sqrt(sum((n * m.idf.get(w, m.other)) ** 2 for w, n in part.items())) / norm, 1.0)
+            if named <= part.keys() and cosine >= li.THRESHOLD and cosine > out[1] + 1e-9:
+                out = (name, cosine)
+    return out[0], round(out[1], 9)
+
+
+def test_equals_a_scan_of_all_windows():
+    rng, vocabulary = random.Random(5), sorted({w for _, t in li.TEMPLATES for w in li.tokens(t)})
+    hits = 0
+    for _ in range(300):
+        words = rng.choice(li.TEMPLATES)[1].split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice([*vocabulary, "other", ""])
+        text = " ".join([*rng.choices(vocabulary, k=8), *words, *rng.choices(vocabulary, k=rng.randrange(8))])
+        m = matcher(5000, {w: rng.choice([3, 60, 900]) for w in vocabulary})
+        found = m.best(text)
+        assert (found[0], round(found[1], 9)) == plain_scan(m, text)
+        hits += found[0] is not None
+    assert 100 < hits
+
+
+def test_an_spdx_line_names_its_licence():
+    assert matcher().best("SPDX-License-Identifier: Zlib")[0] is None and matcher().best("// SPDX-License-Identifier: MIT")[0] == "MIT"
+
+
 def brute(rows):
     """rows: (id, path, text)."""
     words = [set(li.tokens(t or "")) for _, _, t in rows]
