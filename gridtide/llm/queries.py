@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridtide.llm import bpe, exact_dedup, html_text, licenses, mixing, piecewise, pseudonyms, quality, simhash, substrings
+from gridtide.llm import bpe, exact_dedup, html_text, licenses, lines, mixing, periodic, phrases, piecewise, pseudonyms, quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op4_exact_dedup": exact_dedup.SQL, "op7_source_mixing": mixing.SQL, "op11_phrase_mining": phrases.SQL, "op12_line_dedup": lines.SQL}
 
 
 def query(fn):
@@ -77,3 +78,19 @@ def op10_byte_bpe(spark, d):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = _table(spark, d, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded"))
+
+
+@query
+def op11_phrase_mining(spark, d):
+    return phrases.collocations(_table(spark, d, "documents"))
+
+
+@query
+def op12_line_dedup(spark, d):
+    left = lines.without_repeated(_table(spark, d, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_periodic_runs(spark, d):
+    return periodic.digests(periodic.with_runs(periodic.with_planted(_table(spark, d, "documents"))))

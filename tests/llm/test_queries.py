@@ -19,6 +19,7 @@ for _place in (Path(__file__).resolve().parent, Path(__file__).resolve().parents
     sys.path.insert(0, str(_place))
 
 from oracle_check import compare, connect  # noqa: E402
+from test_periodic import collapsed, slow_planted, slow_runs  # noqa: E402
 from test_simhash import brute_components, slow_fingerprint  # noqa: E402
 
 DATA = os.environ.get("GRIDTIDE_TESTDATA", "/root/testdata/sf0.001")
@@ -143,3 +144,16 @@ def test_tokens(spark, documents):
         ids = library.encode_ordinary(t)
         want = len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()
         assert (got[d].n_tokens, got[d].ids_sha256, got[d].decoded_sha256) == want
+
+
+def test_periodic_runs(spark, documents):
+    got = {r.doc_id: r for r in rows(spark, "op13_periodic_runs")}
+    assert len(got) == len(documents)
+    for d, t, _, _ in documents:
+        words = slow_planted(d, t)
+        runs, r = slow_runs(words), got[d]
+        best = min(((-n, s, q, n) for s, n, q in runs), default=None)
+        want = (len(runs), *((best[1], best[3], best[2], 1000 * best[3] // best[2]) if best else (None,) * 4))
+        assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli) == want
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(collapsed(words, runs).encode()).hexdigest()
