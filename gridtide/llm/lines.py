@@ -135,8 +135,8 @@ def without_repeated(
     while {drop_col, text} & set(rows.columns):
         drop_col, text = drop_col + "_", text + "_"
     drops = stage(drops.withColumnRenamed("_drops", drop_col), "drops")
-    # the text travels as bytes: Arrow takes no string that is not UTF-8
-    whole = rows.join(drops, row, "left").select(
+    # the same join at every size: one shuffle of the texts. They travel as bytes, as Arrow takes no string that is not UTF-8
+    whole = rows.join(drops.hint("merge"), row, "left").select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", text_col)],
         F.col(text_col).cast("string").cast("binary").alias(text),
         drop_col,
