@@ -31,10 +31,10 @@ LONGEST = 3
 COVERED = 50
 TOP = 2000
 #: one document in so many is in the sample
-SAMPLE = 4
+SAMPLE = 8
 UNKNOWN = "und"
 #: words counted together in a task, and bytes of a text taken at once
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SEGMENT = 8 << 20
 #: distinct words of a chunk have 21 bits, so three make a whole number
 _WORD_BITS = 21
@@ -75,78 +75,87 @@ def _word_hash(lang: bytes, word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(lang + b"\0" + word)
 
 
+class _Known:
+    """Words of a chunk by number, with the number of their language, hash and length; number 0 ends pieces."""
+
+    def __init__(self):
+        self.words, self.of, self.hashes, self.lengths = [b""], array("i", [0]), array("Q", [0]), array("q", [0])
+        self.bytes = 0
+
+
 class _Words(dict):
     """Numbers of the words of one language within a chunk."""
 
-    def __init__(self, chunk: Chunk, lang: bytes):
+    def __init__(self, known: _Known, lang: bytes, number: int):
         super().__init__({_END: 0})
-        self.chunk, self.lang, self.number = chunk, lang, len(chunk.langs)
-        chunk.langs.append(lang)
+        self.known, self.lang, self.number = known, lang, number
 
     def __missing__(self, word: bytes) -> int:
-        chunk = self.chunk
-        self[word] = at = len(chunk.words)
-        chunk.words.append(word)
-        chunk.of.append(self.number)
-        chunk.hashes.append(_word_hash(self.lang, word))
-        chunk.lengths.append(len(word))
-        chunk.size += len(word)
+        known = self.known
+        self[word] = at = len(known.words)
+        known.words.append(word)
+        known.of.append(self.number)
+        known.hashes.append(_word_hash(self.lang, word))
+        known.lengths.append(len(word))
+        known.bytes += len(word)
         return at
 
 
 class Chunk:
-    """Words of some documents, to be counted together. Number 0 ends pieces."""
+    """Words of some documents, to be counted together."""
 
     def __init__(self):
-        self.langs: list[bytes] = []
-        self.by_lang: dict[bytes, _Words] = {}
-        self.words, self.of, self.hashes, self.lengths = [b""], array("i", [0]), array("Q", [0]), array("q", [0])
-        self.ids, self.size = array("i", [0]), 0
+        self.known, self.langs, self.by_lang, self.ids = _Known(), [], {}, array("i", [0])
 
     def add(self, lang: bytes, words: list[bytes]) -> None:
         numbers = self.by_lang.get(lang)
         if numbers is None:
-            numbers = self.by_lang[lang] = _Words(self, lang)
+            numbers = self.by_lang[lang] = _Words(self.known, lang, len(self.langs))
+            self.langs.append(lang)
         self.ids.extend(map(numbers.__getitem__, words))
         self.ids.append(0)
 
     def full(self) -> bool:
-        return len(self.ids) >= CHUNK or self.size >= SEGMENT * 8
+        return len(self.ids) >= CHUNK or self.known.bytes >= SEGMENT * 8
 
     def counts(self, filters: list[np.ndarray], sample: bool, longest: int) -> Iterator[pa.RecordBatch]:
         """(lang, size, phrase, n): what the last of the filters asks for and none before it has; the number of words as a phrase of size 0."""
-        ids, word_hashes = np.array(self.ids, np.int64), np.array(self.hashes, np.uint64)
+        known = self.known
+        ids, word_hashes = np.array(self.ids, np.int32), np.array(known.hashes, np.uint64)
         spoken = ids > 0
-        hashes = word_hashes[ids]
-        named = pa.array(self.words, pa.binary()), pa.array(self.langs, pa.binary()), np.array(self.of, np.int64), np.array(self.lengths, np.int64)
+        hashes = word_hashes[ids] if filters else word_hashes[:0]
+        named = pa.array(known.words, pa.binary()), pa.array(self.langs, pa.binary()), np.array(known.of, np.int64), np.array(known.lengths, np.int64)
         if sample or len(filters) == 1:
-            n = np.bincount(ids, minlength=len(self.words))[1:]
+            n = np.bincount(ids, minlength=len(known.words))[1:]
             yield from _rows(named, [np.flatnonzero(n) + 1], n[n > 0])
             if not sample:
                 totals = np.bincount(named[2][1:], weights=n, minlength=len(self.langs)).astype(np.int64)
                 yield _batch(named[1], 0, pa.array([b""] * len(self.langs), pa.binary()), totals)
         # by filter: which phrases of the size before are in it, at their first word
-        known = [bloom.has(f, word_hashes)[ids] & spoken for f in filters]
+        passed = [bloom.has(f, word_hashes)[ids] & spoken for f in filters]
         for size in range(2, longest + 1):
             asked = np.logical_and.reduce([spoken[i : len(ids) - size + 1 + i] for i in range(size)])
-            for i, k in enumerate(known):
-                both = k[:-1] & k[1:]
-                asked &= both if i == len(known) - 1 else ~both
+            for i, p in enumerate(passed):
+                both = p[:-1] & p[1:]
+                asked &= both if i == len(passed) - 1 else ~both
             at = np.flatnonzero(asked)
             code = np.zeros(len(at), np.int64)
             for i in range(size):
-                code = code << _WORD_BITS | ids[at + i]
-            code, n = np.unique(code, return_counts=True)
+                code <<= _WORD_BITS
+                code |= ids[at + i]
+            code.sort()
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else at
+            n, code = np.diff(np.append(first, len(code))), code[first]
             parts = [code >> (_WORD_BITS * (size - 1 - i)) & ((1 << _WORD_BITS) - 1) for i in range(size)]
             yield from _rows(named, parts, n)
-            if size < longest:
+            if filters and size < longest:
                 hashes = _join(hashes[:-1], word_hashes[ids[size - 1 :]])
                 follows = []
-                for f, k in zip(filters, known, strict=True):
-                    both = k[:-1] & k[1:]
+                for f, p in zip(filters, passed, strict=True):
+                    both = p[:-1] & p[1:]
                     both[both] = bloom.has(f, hashes[both])
                     follows.append(both)
-                known = follows
+                passed = follows
 
 
 def _rows(named: tuple, parts: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -248,9 +257,8 @@ def frequent(
     # half of what a phrase at the threshold has in the sample on average, but no single occurrences
     lowered = min(min_count, max(2, min_count // (2 * sample)))
     chosen = F.pmod(F.xxhash64("id"), F.lit(sample)) == 0
-    proposed = stage(
-        _counted(rows.filter(chosen), [], True, longest).filter((F.col("n") >= lowered) & (F.col("size") < longest)), "proposed"
-    )
+    # the longest phrases are not proposed: they are counted if both of their parts are
+    proposed = stage(_counted(rows.filter(chosen), [], True, longest - 1).filter(F.col("n") >= lowered), "proposed")
     filters = [_filter(proposed)]
     enough = (F.col("n") >= min_count) | (F.col("size") == 0)
     known = stage(_counted(rows, filters, False, longest).filter(enough), "phrases-0")
