@@ -36,7 +36,8 @@ UNKNOWN = "und"
 #: words counted together in a task, and bytes of a text taken at once
 CHUNK = 1 << 20
 SEGMENT = 8 << 20
-#: distinct words of a chunk have 21 bits, so three make a whole number
+#: distinct words known at a time; their numbers have 21 bits, so three make a whole number
+WORDS = 1 << 18
 _WORD_BITS = 21
 #: ends a piece; no byte of a text
 _END = b"\xff"
@@ -105,7 +106,7 @@ class Chunk:
     """Words of some documents, to be counted together."""
 
     def __init__(self):
-        self.known, self.langs, self.by_lang, self.ids = _Known(), [], {}, array("i", [0])
+        self.known, self.langs, self.by_lang, self.ids, self.n = _Known(), [], {}, array("i", [0]), np.zeros(0, np.int64)
 
     def add(self, lang: bytes, words: list[bytes]) -> None:
         numbers = self.by_lang.get(lang)
@@ -116,21 +117,32 @@ class Chunk:
         self.ids.append(0)
 
     def full(self) -> bool:
-        return len(self.ids) >= CHUNK or self.known.bytes >= SEGMENT * 8
-
-    def counts(self, filters: list[np.ndarray], sample: bool, longest: int) -> Iterator[pa.RecordBatch]:
-        """(lang, size, phrase, n): what the last of the filters asks for and none before it has; the number of words as a phrase of size 0."""
-        known = self.known
-        ids, word_hashes = np.array(self.ids, np.int32), np.array(known.hashes, np.uint64)
+        return len(self.ids) >= CHUNK or self.many()
+
+    def many(self) -> bool:
+        """Whether it knows so many words that it should be replaced."""
+        return len(self.known.words) >= WORDS or self.known.bytes >= 4 * SEGMENT
+
+    def words(self) -> Iterator[pa.RecordBatch]:
+        """(key, n) of all words so far, and of the number of words of each language as a phrase without words."""
+        named, n = self._named(), self.n
+        yield from _rows(named, [np.flatnonzero(n[1:]) + 1], n[1:][n[1:] > 0])
+        totals = np.bincount(named[2][1:], weights=n[1:], minlength=len(self.langs)).astype(np.int64)
+        yield _batch(named[1], totals)
+
+    def _named(self) -> tuple:
+        known, ends = self.known, [b"\t" + lang for lang in self.langs]
+        return pa.array(known.words, pa.binary()), pa.array(ends, pa.binary()), np.array(known.of, np.int64), np.array(known.lengths, np.int64)
+
+    def counts(self, filters: list[np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
+        """(key, n) of the phrases of two words and more that the last of the filters asks for and none before it has; all without filters."""
+        ids, word_hashes, named = np.array(self.ids, np.int32), np.array(self.known.hashes, np.uint64), self._named()
+        self.ids = array("i", [0])
+        n = np.bincount(ids, minlength=len(word_hashes))
+        n[: len(self.n)] += self.n
+        self.n = n
         spoken = ids > 0
         hashes = word_hashes[ids] if filters else word_hashes[:0]
-        named = pa.array(known.words, pa.binary()), pa.array(self.langs, pa.binary()), np.array(known.of, np.int64), np.array(known.lengths, np.int64)
-        if sample or len(filters) == 1:
-            n = np.bincount(ids, minlength=len(known.words))[1:]
-            yield from _rows(named, [np.flatnonzero(n) + 1], n[n > 0])
-            if not sample:
-                totals = np.bincount(named[2][1:], weights=n, minlength=len(self.langs)).astype(np.int64)
-                yield _batch(named[1], 0, pa.array([b""] * len(self.langs), pa.binary()), totals)
         # by filter: which phrases of the size before are in it, at their first word
         passed = [bloom.has(f, word_hashes)[ids] & spoken for f in filters]
         for size in range(2, longest + 1):
@@ -167,15 +179,12 @@ def _rows(named: tuple, parts: list[np.ndarray], n: np.ndarray) -> Iterator[pa.R
         end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SEGMENT, "right")))
         texts = [words.take(pa.array(p[at:end])) for p in parts]
         phrase = pc.binary_join_element_wise(*texts, b" ") if len(texts) > 1 else texts[0]
-        yield _batch(langs.take(pa.array(of[parts[0][at:end]])), len(parts), phrase, n[at:end])
+        yield _batch(pc.binary_join_element_wise(phrase, langs.take(pa.array(of[parts[0][at:end]])), b""), n[at:end])
         at = end
 
 
-def _batch(langs: pa.Array, size: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [langs.cast(pa.string()), pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n.astype(np.int64))],
-        ["lang", "size", "phrase", "n"],
-    )
+def _batch(keys: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _valid(column: pa.Array) -> pa.Array:
@@ -187,11 +196,12 @@ def _valid(column: pa.Array) -> pa.Array:
     return column
 
 
-def _counted(rows: DataFrame, filters: list, sample: bool, longest: int) -> DataFrame:
-    """(lang, size, phrase, n) over all ``rows``, by one pass; ``filters`` are broadcast."""
+def _counted(rows: DataFrame, filters: list, longest: int, least: int) -> DataFrame:
+    """(lang, size, phrase, n) with ``n >= least`` or size 0, over all ``rows``, by one pass. ``filters`` are broadcast; words are counted as long as
+    there is at most one. In a task a phrase and its language are one text, with a tab, which is in no phrase, between them."""
 
     def run(batches):
-        known, chunk = [np.frombuffer(f.value, np.uint8) for f in filters], Chunk()
+        passed, chunk = [np.frombuffer(f.value, np.uint8) for f in filters], Chunk()
         for whole in batches:
             for batch in sliced(whole, "text", SEGMENT):
                 langs = _valid(batch.column("lang")).to_pylist()
@@ -200,12 +210,20 @@ def _counted(rows: DataFrame, filters: list, sample: bool, longest: int) -> Data
                     for words in _segments(text.as_py() or b""):
                         chunk.add(lang, words)
                         if chunk.full():
-                            yield from chunk.counts(known, sample, longest)
-                            chunk = Chunk()
-        yield from chunk.counts(known, sample, longest)
-
-    found = rows.select("text", "lang").mapInArrow(run, "lang string, size int, phrase string, n long")
-    return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+                            yield from chunk.counts(passed, longest)
+                            if chunk.many():
+                                if len(passed) < 2:
+                                    yield from chunk.words()
+                                chunk = Chunk()
+        yield from chunk.counts(passed, longest)
+        if len(passed) < 2:
+            yield from chunk.words()
+
+    found = rows.select("text", "lang").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", 1)
+    size = F.when(phrase == "", F.lit(0)).otherwise(F.size(F.split(phrase, " ")))
+    named = found.select(F.expr("substring(key, instr(key, '\t') + 1)").alias("lang"), size.alias("size"), phrase.alias("phrase"), "n")
+    return named.filter((F.col("n") >= least) | (F.col("size") == 0))
 
 
 def _filter(phrases: DataFrame):
@@ -258,15 +276,15 @@ def frequent(
     lowered = min(min_count, max(2, min_count // (2 * sample)))
     chosen = F.pmod(F.xxhash64("id"), F.lit(sample)) == 0
     # the longest phrases are not proposed: they are counted if both of their parts are
-    proposed = stage(_counted(rows.filter(chosen), [], True, longest - 1).filter(F.col("n") >= lowered), "proposed")
+    proposed = stage(_counted(rows.filter(chosen), [], longest - 1, lowered).filter("size > 0"), "proposed")
     filters = [_filter(proposed)]
-    enough = (F.col("n") >= min_count) | (F.col("size") == 0)
-    known = stage(_counted(rows, filters, False, longest).filter(enough), "phrases-0")
-    new = known.filter((F.col("size") > 0) & (F.col("size") < longest)).join(proposed, ["lang", "phrase"], "left_anti")
+    part = F.col("size").between(1, longest - 1)
+    known = stage(_counted(rows, filters, longest, min_count), "phrases-0")
+    new = known.filter(part).join(proposed, ["lang", "phrase"], "left_anti")
     while not new.isEmpty():
-        filters.append(_filter(known.filter((F.col("size") > 0) & (F.col("size") < longest))))
-        more = stage(_counted(rows, filters, False, longest).filter(enough), f"phrases-{len(filters) - 1}")
-        known, new = known.unionByName(more), more.filter((F.col("size") > 0) & (F.col("size") < longest))
+        filters.append(_filter(known.filter(part)))
+        more = stage(_counted(rows, filters, longest, min_count), f"phrases-{len(filters) - 1}")
+        known, new = known.unionByName(more), more.filter(part)
     return known
 
 

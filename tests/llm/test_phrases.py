@@ -61,9 +61,9 @@ def test_what_the_sample_missed_is_found(spoken, monkeypatch):
     rows, df = spoken
     passes, counted = [], phrases._counted
 
-    def counting(docs, filters, sample, longest):
+    def counting(docs, filters, *settings):
         passes.append(len(filters))
-        return counted(docs.limit(0) if sample else docs, filters, sample, longest)
+        return counted(docs if filters else docs.limit(0), filters, *settings)
 
     monkeypatch.setattr(phrases, "_counted", counting)
     known = {(r.lang, r.phrase): r.n for r in phrases.frequent(df, min_count=5).filter("size > 0").collect()}
@@ -75,19 +75,26 @@ def test_small_chunks_and_segments_count_alike(spoken, monkeypatch):
     rows, _ = spoken
     want = counts([(t, "en") for _, t, _ in rows])["en"]
     monkeypatch.setattr(phrases, "CHUNK", 50)
+    monkeypatch.setattr(phrases, "WORDS", 40)
     found, chunk = Counter(), phrases.Chunk()
+
+    def take(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                found[r["key"]] += r["n"]
+
     for _, text, _ in rows:
         for words in phrases._segments((text or "").encode(), 40):
             chunk.add(b"en", words)
             if chunk.full():
-                for b in chunk.counts([], True, 3):
-                    for r in b.to_pylist():
-                        found[r["phrase"]] += r["n"]
-                chunk = phrases.Chunk()
-    for b in chunk.counts([], True, 3):
-        for r in b.to_pylist():
-            found[r["phrase"]] += r["n"]
-    assert found == Counter({" ".join(p): n for p, n in want.items()})
+                take(chunk.counts([], 3))
+                if chunk.many():
+                    take(chunk.words())
+                    chunk = phrases.Chunk()
+    take(chunk.counts([], 3))
+    take(chunk.words())
+    assert found.pop("\ten") == sum(n for p, n in want.items() if len(p) == 1)
+    assert found == Counter({" ".join(p) + "\ten": n for p, n in want.items()})
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
