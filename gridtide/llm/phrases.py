@@ -2,9 +2,9 @@
 
 A sample of the documents proposes phrases at a lowered threshold. One pass over all documents then counts exactly: all words, and every longer
 phrase whose two shorter parts (without its last and without its first word) were proposed. These are the proposed phrases and their negative
-border, the smallest phrases that were not proposed. If one of the border is frequent, a longer phrase may have been missed: another pass counts
-the phrases whose parts are known to be frequent by now and that no pass has counted, until a pass finds nothing that could be extended. Every
-number is a count over all documents; the sample decides only how many passes there are.
+border, the smallest phrases that were not proposed. If one of the border is frequent, a longer phrase may have been missed: the border is expanded by
+all phrases that may be frequent by what is known of their parts, each part being found frequent or not counted yet. That set holds the extensions
+of its own members too, so one more pass over all documents closes it, whatever the sample was. Every number is a count over all documents.
 
 Tasks know the proposed phrases as a Bloom filter of bounded size. What passes it without reason is counted without need, and exactly.
 """
@@ -135,7 +135,11 @@ class Chunk:
         return pa.array(known.words, pa.binary()), pa.array(ends, pa.binary()), np.array(known.of, np.int64), np.array(known.lengths, np.int64)
 
     def counts(self, filters: list[np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
-        """(key, n) of the phrases of two words and more that the last of the filters asks for and none before it has; all without filters."""
+        """(key, n) of the phrases of two words and more that a pass counts.
+
+        Without filters: all. With a filter of proposed phrases: those whose two shorter parts are in it. With a second one, of phrases found to
+        be frequent since: those that were not counted with the first, and may be frequent by all that is known of their parts.
+        """
         ids, word_hashes, named = np.array(self.ids, np.int32), np.array(self.known.hashes, np.uint64), self._named()
         self.ids = array("i", [0])
         n = np.bincount(ids, minlength=len(word_hashes))
@@ -143,13 +147,15 @@ class Chunk:
         self.n = n
         spoken = ids > 0
         hashes = word_hashes[ids] if filters else word_hashes[:0]
-        # by filter: which phrases of the size before are in it, at their first word
+        # which phrases of the size before are in each filter, at their first word
         passed = [bloom.has(f, word_hashes)[ids] & spoken for f in filters]
         for size in range(2, longest + 1):
             asked = np.logical_and.reduce([spoken[i : len(ids) - size + 1 + i] for i in range(size)])
-            for i, p in enumerate(passed):
-                both = p[:-1] & p[1:]
-                asked &= both if i == len(passed) - 1 else ~both
+            parts = [p[:-1] & p[1:] for p in passed]
+            if len(parts) == 1:
+                asked &= parts[0]
+            elif parts:
+                asked &= parts[1] & ~parts[0]
             at = np.flatnonzero(asked)
             code = np.zeros(len(at), np.int64)
             for i in range(size):
@@ -158,16 +164,15 @@ class Chunk:
             code.sort()
             first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else at
             n, code = np.diff(np.append(first, len(code))), code[first]
-            parts = [code >> (_WORD_BITS * (size - 1 - i)) & ((1 << _WORD_BITS) - 1) for i in range(size)]
-            yield from _rows(named, parts, n)
+            yield from _rows(named, [code >> (_WORD_BITS * (size - 1 - i)) & ((1 << _WORD_BITS) - 1) for i in range(size)], n)
             if filters and size < longest:
                 hashes = _join(hashes[:-1], word_hashes[ids[size - 1 :]])
-                follows = []
-                for f, p in zip(filters, passed, strict=True):
-                    both = p[:-1] & p[1:]
-                    both[both] = bloom.has(f, hashes[both])
-                    follows.append(both)
-                passed = follows
+                if len(parts) == 2:
+                    # what has been counted must be frequent to go on; what is counted only now may be
+                    counted = parts[0] & parts[1]
+                    parts[1][counted] = bloom.has(filters[1], hashes[counted])
+                parts[0][parts[0]] = bloom.has(filters[0], hashes[parts[0]])
+                passed = parts
 
 
 def _rows(named: tuple, parts: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -279,12 +284,12 @@ def frequent(
     proposed = stage(_counted(rows.filter(chosen), [], longest - 1, lowered).filter("size > 0"), "proposed")
     filters = [_filter(proposed)]
     part = F.col("size").between(1, longest - 1)
-    known = stage(_counted(rows, filters, longest, min_count), "phrases-0")
-    new = known.filter(part).join(proposed, ["lang", "phrase"], "left_anti")
-    while not new.isEmpty():
+    filters = [_filter(proposed)]
+    known = stage(_counted(rows, filters, longest, min_count), "phrases")
+    missed = known.filter(part).join(proposed, ["lang", "phrase"], "left_anti")
+    if not missed.isEmpty():
         filters.append(_filter(known.filter(part)))
-        more = stage(_counted(rows, filters, longest, min_count), f"phrases-{len(filters) - 1}")
-        known, new = known.unionByName(more), more.filter(part)
+        known = known.unionByName(stage(_counted(rows, filters, longest, min_count), "more-phrases"))
     return known
 
 
