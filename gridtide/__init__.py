@@ -1,5 +1,5 @@
 """Panel time-series analytics on Spark DataFrames."""
 
-from gridtide.spec import BacktestSpec, FeatureSpec, SeriesSpec
+from gridtide.spec import BacktestSpec, FeatureSpec, LagTransform, SeriesSpec
 
-__all__ = ["BacktestSpec", "FeatureSpec", "SeriesSpec"]
+__all__ = ["BacktestSpec", "FeatureSpec", "LagTransform", "SeriesSpec"]

@@ -131,6 +131,44 @@ _MONTHLY_FEATURES = _known(
 )
 ORACLES["make_features"] = f"WITH {_MONTHLY} " + _rounded(_MONTHLY_FEATURES, *_MONTHLY_MADE)
 ORACLES["make_features_chunked"] = ORACLES["make_features"]
+
+
+def _transform(value: str, part: str, order: str, kind: str, lag: int, window: int | None = None, alpha: float | None = None) -> tuple[str, str]:
+    """(name, SQL) of a lag transform."""
+    start = f"{lag + window - 1} PRECEDING" if window else "UNBOUNDED PRECEDING"
+    frame = f"OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN {start} AND {lag} PRECEDING)"
+    name = f"{kind}_lag{lag}" + (f"_window_size{window}" if window else f"_alpha{alpha}".replace(".", "_") if alpha else "")
+    if alpha:
+        return name, f"list_reduce(list({value}) {frame}, lambda y, x: (1 - {alpha}) * y + {alpha} * x)"
+    made = f"{ {'mean': 'avg', 'std': 'stddev_samp', 'min': 'min', 'max': 'max'}[kind.rsplit('_')[1]] }({value}) {frame}"
+    return name, f"CASE WHEN count({value}) {frame} = {window} THEN {made} END" if window else made
+
+
+_MONTH = ("quantity", "l_suppkey", "month")
+_TRANSFORMS = [
+    _transform(*_MONTH, "exponentially_weighted_mean", 1, alpha=0.3), _transform(*_MONTH, "rolling_std", 1, 6),
+    _transform(*_MONTH, "rolling_min", 2, 3), _transform(*_MONTH, "rolling_max", 1, 12), _transform(*_MONTH, "expanding_std", 1),
+    _transform(*_MONTH, "expanding_min", 2), _transform(*_MONTH, "expanding_max", 1),
+]
+ORACLES["lag_transforms"] = f"WITH {_MONTHLY} " + _rounded(
+    f"SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in _TRANSFORMS)} FROM monthly", *[name for name, _ in _TRANSFORMS]
+)
+ORACLES["lag_transforms_chunked"] = ORACLES["lag_transforms"]
+_WEIGHTED = [name for name, _ in _TRANSFORMS[:2]]
+ORACLES["make_features_weighted"] = f"WITH {_MONTHLY} " + _rounded(
+    _known(
+        f"SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in _TRANSFORMS[:2])} FROM "
+        f"({_features('monthly', 'l_suppkey', 'month', 'quantity', (1, 2, 12), 1, (3, 6))}) AS m",
+        *_MONTHLY_MADE, *_WEIGHTED,
+    ),
+    *_MONTHLY_MADE, *_WEIGHTED,
+)
+_HOUR = ("value", "event_type", "ts")
+_WEEK = [_transform(*_HOUR, "rolling_mean", 24, 168), _transform(*_HOUR, "rolling_std", 24, 168), _transform(*_HOUR, "rolling_max", 1, 168)]
+ORACLES["rolling_week"] = f"WITH {_FILLED} " + _rounded(
+    f"SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in _WEEK)} FROM filled", "value", *[name for name, _ in _WEEK]
+)
+ORACLES["rolling_week_chunked"] = ORACLES["rolling_week"]
 ORACLES["features_with_history"] = f"WITH {_MONTHLY} " + _rounded(
     "SELECT * FROM ("
     + _known(_features("monthly", "l_suppkey", "month", "quantity", (1, 2, 12), 1, (3, 6), False), *_LAGS, *_ROLLED)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -25,7 +26,7 @@ from gridtide.plans.stages import feature_table, preprocess
 from gridtide.session import scratch
 from gridtide.sources import readers, writers
 from gridtide.sources import payload
-from gridtide.spec import BacktestSpec, FeatureSpec, SeriesSpec
+from gridtide.spec import BacktestSpec, FeatureSpec, LagTransform, SeriesSpec
 from gridtide.streaming import scoring as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,6 +198,44 @@ def add_rolling_mean(spark, d):
     return _rounded(features.add_rolling_mean(_monthly(spark, d), MONTHLY, 2, 6))
 
 
+TRANSFORMS = (
+    LagTransform("exponentially_weighted_mean", 1, alpha=0.3), LagTransform("rolling_std", 1, 6), LagTransform("rolling_min", 2, 3),
+    LagTransform("rolling_max", 1, 12), LagTransform("expanding_std", 1), LagTransform("expanding_min", 2), LagTransform("expanding_max", 1),
+)
+
+
+@query
+def lag_transforms(spark, d):
+    return _rounded(features.add_transforms(_monthly(spark, d), MONTHLY, TRANSFORMS))
+
+
+@query
+def lag_transforms_chunked(spark, d):
+    spec = MONTHLY.with_(layout="chunked", chunk_rows=16)
+    return _rounded(features.add_transforms(_monthly(spark, d), spec, TRANSFORMS))
+
+
+@query
+def make_features_weighted(spark, d):
+    """The monthly features with a weighted mean and a spread among the lag transforms."""
+    return _rounded(features.make_features(_monthly(spark, d), MONTHLY, replace(MONTHLY_FEATURES, transforms=TRANSFORMS[:2])))
+
+
+WEEK = (LagTransform("rolling_mean", 24, 168), LagTransform("rolling_std", 24, 168), LagTransform("rolling_max", 1, 168))
+
+
+@query
+def rolling_week(spark, d):
+    rows, spec = _filled(spark, d)
+    return _rounded(features.add_transforms(rows, spec, WEEK))
+
+
+@query
+def rolling_week_chunked(spark, d):
+    rows, spec = _filled(spark, d)
+    return _rounded(features.add_transforms(rows, spec.with_(layout="chunked", chunk_rows=256), WEEK))
+
+
 @query
 def make_features(spark, d):
     return _rounded(features.make_features(_monthly(spark, d), MONTHLY, MONTHLY_FEATURES))

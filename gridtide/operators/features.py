@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.dates import add_date_features
-from gridtide.operators.layout import chunk_of, known_keys, over_series, settle
+from gridtide.operators.layout import POS, chunk_of, known_keys, over_series, settle
 from gridtide.operators.order_stats import known
-from gridtide.spec import FeatureSpec, SeriesSpec
+from gridtide.operators.scans import MONOIDS, SMALL_WINDOW, Monoid, ewm_mean, framed, rolled
+from gridtide.spec import FeatureSpec, LagTransform, SeriesSpec
 
 _CHECKED, _IS_HISTORY = "_gt_checked", "_gt_is_history"
 _TOTALS = ("sum", "n")
@@ -32,9 +33,26 @@ def _expanding(w: Window, totals, target: str, lag: int) -> Column:
     return F.lag(F.col(totals["sum"]) / F.nullif(F.col(totals["n"]), F.lit(0)), lag).over(w)
 
 
-def _rolling(w: Window, target: str, lag: int, size: int) -> Column:
-    frame = w.rowsBetween(-(lag + size - 1), -lag)
-    return F.when(F.count(target).over(frame) == size, F.avg(target).over(frame))
+def _scans(transforms: Sequence[LagTransform], target: str) -> dict[str, tuple[Monoid, str]]:
+    """Running values that the expanding and weighted transforms are lags of."""
+    kinds = {t.kind: MONOIDS[t.statistic] for t in transforms if t.kind.startswith("expanding")}
+    kinds |= {f"ewm_{t.alpha}": ewm_mean(t.alpha) for t in transforms if t.alpha is not None}
+    return {f"_gt_{k.replace('.', '_')}": (m, target) for k, m in kinds.items()}
+
+
+def _windows(transforms: Sequence[LagTransform], target: str) -> dict[str, tuple[Monoid, str, int]]:
+    """What rolling transforms over long windows are merged from."""
+    return {f"_gt_{t.statistic}_{t.window}": (MONOIDS[t.statistic], target, t.window) for t in transforms if (t.window or 0) > SMALL_WINDOW}
+
+
+def _transform(w: Window, t: LagTransform, target: str) -> Column:
+    if t.alpha is not None:
+        return F.lag(f"_gt_ewm_{t.alpha}".replace(".", "_"), t.lag).over(w)
+    if t.window is None:
+        return F.lag(f"_gt_{t.kind}", t.lag).over(w)
+    if t.window > SMALL_WINDOW:
+        return rolled(w, POS, f"_gt_{t.statistic}_{t.window}", MONOIDS[t.statistic], t.lag, t.window)
+    return framed(w, target, MONOIDS[t.statistic], t.lag, t.window)
 
 
 def _running_totals(target: str) -> dict[str, tuple[str, str]]:
@@ -44,7 +62,7 @@ def _running_totals(target: str) -> dict[str, tuple[str, str]]:
 def add_lags(
     df: DataFrame, spec: SeriesSpec, lags: Sequence[int], naming: str = "lag{k}", dropna: bool = False
 ) -> DataFrame:
-    """Add the target ``k`` rows earlier in its series. ``naming`` may use ``{k}`` and ``{col}``."""
+    """Add the target ``k`` rows earlier in its series, as it is. ``naming`` may use ``{k}`` and ``{col}``."""
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
     out = over_series(rows, spec, max(lags), lambda w, _: _lag_columns(w, spec.target, lags, naming))
@@ -52,26 +70,46 @@ def add_lags(
 
 
 def add_expanding_mean(df: DataFrame, spec: SeriesSpec, lag: int) -> DataFrame:
-    """Add ``expanding_mean_lag{lag}``: mean of everything up to ``lag`` rows back."""
+    """Add ``expanding_mean_lag{lag}``: mean of everything up to ``lag`` rows back. NaN counts as null."""
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
-    known = rows.withColumn("_gt_known", F.col(spec.target).isNotNull().cast("bigint"))
+    value = known(rows, spec.target)
+    rows = rows.withColumn(_CHECKED, value).withColumn("_gt_known", value.isNotNull().cast("bigint"))
     out = over_series(
-        known,
+        rows,
         spec,
         lag,
-        lambda w, totals: {f"expanding_mean_lag{lag}": _expanding(w, totals, spec.target, lag)},
-        totals=_running_totals(spec.target),
+        lambda w, totals: {f"expanding_mean_lag{lag}": _expanding(w, totals, _CHECKED, lag)},
+        totals=_running_totals(_CHECKED),
     )
-    return out.drop("_gt_known")
+    return out.drop("_gt_known", _CHECKED)
 
 
-def add_rolling_mean(df: DataFrame, spec: SeriesSpec, lag: int, window: int) -> DataFrame:
-    """Add ``rolling_mean_lag{lag}_window_size{window}``: mean of lags ``lag`` … ``lag+window-1``, null until all exist."""
+def add_transforms(df: DataFrame, spec: SeriesSpec, transforms: Sequence[LagTransform]) -> DataFrame:
+    """Add each transform under its name; NaN counts as null, which expanding transforms skip and which empties every rolling window that holds it.
+
+    Expanding and weighted values are scans of mergeable states, carried from piece to piece of a series. A rolling value costs the same for
+    each row however long its window is. An exponentially weighted mean needs a value in every row.
+    """
     rows = known_keys(df, spec.keys)
     spec = settle(rows, spec)
-    name = f"rolling_mean_lag{lag}_window_size{window}"
-    return over_series(rows, spec, lag + window - 1, lambda w, _: {name: _rolling(w, spec.target, lag, window)})
+    value = known(rows, spec.target)
+    if any(t.alpha is not None for t in transforms):
+        value = F.when(value.isNull(), F.raise_error(F.lit("exponentially weighted mean: null target"))).otherwise(value)
+    out = over_series(
+        rows.withColumn(_CHECKED, value),
+        spec,
+        max(t.reach for t in transforms),
+        lambda w, _: {t.name: _transform(w, t, _CHECKED) for t in transforms},
+        scans=_scans(transforms, _CHECKED),
+        windows=_windows(transforms, _CHECKED),
+    )
+    return out.drop(_CHECKED)
+
+
+def add_rolling_mean(df: DataFrame, spec: SeriesSpec, lag: int, window: int) -> DataFrame:
+    """Add ``rolling_mean_lag{lag}_window_size{window}``: mean of lags ``lag`` … ``lag+window-1``, null until all exist. NaN counts as null."""
+    return add_transforms(df, spec, [LagTransform("rolling_mean", lag, window)])
 
 
 def feature_names(features: FeatureSpec) -> list[str]:
@@ -81,7 +119,13 @@ def feature_names(features: FeatureSpec) -> list[str]:
         if features.expanding:
             names.append(f"expanding_mean_lag{lag}")
         names += [f"rolling_mean_lag{lag}_window_size{w}" for w in features.rolling_windows]
-    return names
+    return names + [t.name for t in features.transforms if t.name not in names]
+
+
+def _all_transforms(features: FeatureSpec) -> list[LagTransform]:
+    """The rolling means that lags share, and the transforms of their own, each once."""
+    shared = [LagTransform("rolling_mean", lag, w) for lag in features.transform_lags for w in features.rolling_windows]
+    return [*shared, *[t for t in features.transforms if t not in shared]]
 
 
 def series_tail(df: DataFrame, spec: SeriesSpec, n: int) -> DataFrame:
@@ -123,17 +167,18 @@ def make_features(
         _CHECKED, F.when(target.isNull(), F.raise_error(F.lit("make_features: null target"))).otherwise(target)
     ).withColumn("_gt_known", F.lit(1).cast("bigint"))
 
+    transforms = _all_transforms(features)
+
     def build(w, totals):
         made = {f"lag{k}": F.lag(_CHECKED, k).over(w) for k in features.lags}
         for lag in features.transform_lags:
             if features.expanding:
                 made[f"expanding_mean_lag{lag}"] = _expanding(w, totals, _CHECKED, lag)
-            for size in features.rolling_windows:
-                made[f"rolling_mean_lag{lag}_window_size{size}"] = _rolling(w, _CHECKED, lag, size)
-        return made
+            made |= {t.name: _transform(w, t, _CHECKED) for t in transforms if t.kind == "rolling_mean" and t.lag == lag}
+        return made | {t.name: _transform(w, t, _CHECKED) for t in transforms if t.name not in made}
 
     totals = _running_totals(_CHECKED) if features.expanding and features.transform_lags else None
-    out = over_series(rows, spec, features.reach, build, totals)
+    out = over_series(rows, spec, features.reach, build, totals, _scans(transforms, _CHECKED), _windows(transforms, _CHECKED))
     if history is not None:
         out = out.filter(~F.col(_IS_HISTORY)).drop(_IS_HISTORY)
     out = out.drop(_CHECKED, "_gt_known")

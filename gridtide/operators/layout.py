@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.functions.steps import micros
+from gridtide.operators.scans import Monoid, block_columns, blocked, scanned
 from gridtide.session import stage
 from gridtide.spec import SeriesSpec
 
 _BUCKET = "_gt_bucket"
 _CARRY = "_gt_carry_"
-_POS = "_gt_pos"
+#: the number of a row in its series, from 1, while :func:`over_series` works
+POS = "_gt_pos"
 _BLOCK = "_gt_block"
 _HOME = "_gt_home"
 _START, _PREV = Window.unboundedPreceding, -1
@@ -210,19 +212,31 @@ def over_series(
     reach: int,
     build: Callable[[Window, Mapping[str, str] | None], Mapping[str, Column]],
     totals: Mapping[str, tuple[str, str]] | None = None,
+    scans: Mapping[str, tuple[Monoid, str]] | None = None,
+    windows: Mapping[str, tuple[Monoid, str, int]] | None = None,
 ) -> DataFrame:
     """Add the columns of ``build(window, totals)``; the window shows each row the ``reach`` rows before it.
 
     ``spec.layout`` must be settled. ``totals`` are running columns (see :func:`running`) that ``build`` may read in a
     chunked layout, where the window does not reach back to the start of the series; in the whole layout
-    ``build`` gets ``None`` and uses an unbounded frame.
+    ``build`` gets ``None`` and uses an unbounded frame. ``scans`` are running values that ``build`` reads under their names in both layouts
+    (see :func:`~gridtide.operators.scans.scanned`), and ``windows`` states for :func:`~gridtide.operators.scans.rolled`, next to the number
+    :data:`POS` of each row.
 
     Chunked: rows are numbered along their series, cut into blocks by that number, and the last ``reach`` rows of a
     block are also sent to the next one. Every block is then complete on its own.
     """
-    order = in_order(spec.time)
+    order, scans, windows = in_order(spec.time), dict(scans or {}), dict(windows or {})
+    helpers = [*scans, *block_columns(windows)]
     if spec.layout == "whole":
-        return df.withColumns(dict(build(Window.partitionBy(*spec.keys).orderBy(*order), None)))
+        w = Window.partitionBy(*spec.keys).orderBy(*order)
+        if not helpers:
+            return df.withColumns(dict(build(w, None)))
+        rows = df.withColumn(POS, F.row_number().over(w).cast("bigint"))
+        if any(m.most for m, _ in scans.values()):
+            rows = stage(rows, "rows")
+        rows = blocked(scanned(rows, spec.keys, POS, scans, None) if scans else rows, spec.keys, POS, windows)
+        return rows.withColumns(dict(build(Window.partitionBy(*spec.keys).orderBy(POS), None))).drop(POS, *helpers)
 
     df, totals = once(df, spec), dict(totals or {})
     names = {new: f"_gt_total_{new}" for new in totals}
@@ -231,20 +245,23 @@ def over_series(
         df.withColumn(one, F.lit(1).cast("bigint")),
         spec.keys,
         [spec.time],
-        {_POS: ("sum", one), **{names[new]: how_col for new, how_col in totals.items()}},
+        {POS: ("sum", one), **{names[new]: how_col for new, how_col in totals.items()}},
         bucket=chunk_of(spec),
         depth=depth_of(spec),
     ).drop(one, _BUCKET)
+    if scans:
+        numbered = scanned(stage(numbered, "rows"), spec.keys, POS, scans, spec.chunk_rows)
     size = max(spec.chunk_rows, reach, 1)
-    pos = F.col(_POS) - 1
+    pos = F.col(POS) - 1
     home = F.floor(pos / size)
     tail = F.pmod(pos, F.lit(size)) >= size - reach
     spread = numbered.withColumn(_HOME, home).withColumn(
         _BLOCK, F.explode(F.when(tail, F.array(home, home + 1)).otherwise(F.array(home)))
     )
-    w = Window.partitionBy(*spec.keys, _BLOCK).orderBy(_POS)
+    spread = blocked(spread, [*spec.keys, _BLOCK], POS, windows)
+    w = Window.partitionBy(*spec.keys, _BLOCK).orderBy(POS)
     made = spread.withColumns(dict(build(w, names))).filter(F.col(_BLOCK) == F.col(_HOME))
-    return made.drop(_POS, _BLOCK, _HOME, *names.values())
+    return made.drop(POS, _BLOCK, _HOME, *names.values(), *helpers)
 
 
 def collect_small(df: DataFrame, limit: int = 100_000) -> pa.Table | None:
