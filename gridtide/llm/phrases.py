@@ -34,7 +34,7 @@ TOP = 2000
 SAMPLE = 8
 UNKNOWN = "und"
 #: words counted together in a task, and bytes of a text taken at once
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 SEGMENT = 8 << 20
 #: distinct words known at a time; their numbers have 21 bits, so three make a whole number
 WORDS = 1 << 18
