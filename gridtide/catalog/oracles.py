@@ -479,7 +479,7 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_or
 # --- sources and sinks ----------------------------------------------------------------------------------------------
 
 ORACLES["read_observations"] = f"SELECT {_EVENTS} FROM events"
-ORACLES["read_documents"] = "SELECT doc_id, text FROM documents"
+ORACLES["read_documents"] = "SELECT * FROM documents"
 ORACLES["read_rejects"] = "SELECT event_id || ',n/a' AS _corrupt FROM events WHERE event_type = 'error'"
 ORACLES["read_lookup_json"] = "SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation"
 ORACLES["list_stage"] = "SELECT TRUE AS found, TRUE AS filled"

@@ -769,11 +769,10 @@ def read_observations(spark, d):
 
 @query
 def read_documents(spark, d):
-    """Texts with quotes and line breaks, through a CSV file."""
+    """Texts with quotes and line breaks, through CSV files that are read in ranges."""
     at = scratch(spark, "texts")
-    rows = _table(spark, d, "documents").select("doc_id", "text")
-    rows.write.options(**readers.CSV, quoteAll=True).csv(at)
-    return readers.read_observations(spark, at, "doc_id BIGINT, text STRING", multi_line=True)
+    _table(spark, d, "documents").write.options(**readers.CSV, quoteAll=True).csv(at)
+    return readers.read_observations(spark, at, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT", multi_line=True)
 
 
 @query

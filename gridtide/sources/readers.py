@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.sources.records import records
+
 CORRUPT = "_corrupt"
 #: files as most programs write them: a header, and doubled quotes
 CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -26,9 +28,12 @@ def parse_observations(
 ) -> DataFrame:
     """All lines of headed CSV files: the declared columns, and the text of a line that does not fit them in ``_corrupt``.
 
-    A quote inside a quoted field is doubled. With ``multi_line`` quoted fields may hold line breaks; a file is then read by one task.
+    A quote inside a quoted field is doubled. With ``multi_line`` quoted fields may hold line breaks (see
+    :func:`~gridtide.sources.records.records`); a file is read by many tasks either way.
     """
     declared = _as_schema(schema)
+    if multi_line:
+        return _parse_records(records(spark, path), declared)
     return (
         spark.read.schema(T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())]))
         .options(**CSV, multiLine=multi_line)
@@ -41,6 +46,22 @@ def parse_observations(
     )
 
 
+def _parse_records(found: DataFrame, declared: T.StructType) -> DataFrame:
+    """Records as the declared columns; the first of each file must hold their names."""
+    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(declared) + 1)])
+    options = {k: str(v) for k, v in CSV.items() if k != "header"}
+    header = F.from_csv("record", names.simpleString()[len("struct<") : -1].replace(":", " "), options)
+    wanted = [f.name.lower() for f in declared]
+    same = F.lower(F.concat_ws("\n", *[header[f"c{i}"] for i in range(len(declared) + 1)])) == F.lit("\n".join(wanted))
+    other = F.raise_error(F.concat(F.lit("other columns than declared: "), "record"))
+    # within the text that is parsed: a condition beside it could be passed over
+    data = F.when(~F.col("first"), F.col("record")).when(F.coalesce(same, F.lit(False)), F.lit(None)).otherwise(other)
+    full = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+    parsed = F.from_csv(data, ddl, {**options, "columnNameOfCorruptRecord": CORRUPT})
+    return found.select(parsed.alias("p")).filter(F.col("p").isNotNull()).select("p.*")
+
+
 def _reads_data(parsed: DataFrame) -> Column:
     """Always true, but uses every declared column: Spark tells a bad line by the columns that it reads only."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in parsed.columns if c != CORRUPT]) >= F.lit(-(1 << 63))
