@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.steps import Step
 from gridtide.operators.layout import bucket_of, cut, depth_of, in_order, known_keys, once, running, series_stats, settle
+from gridtide.session import stage
 from gridtide.spec import SeriesSpec
 
-_LO, _K, _PREV_K, _AT, _FROM = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at", "_gt_from"
+_LO, _K, _PREV_K, _AT, _FROM, _UPTO = "_gt_lo", "_gt_k", "_gt_prev_k", "_gt_at", "_gt_from", "_gt_upto"
 #: grid points that are listed in one array, at most
 _STRETCH = 1 << 14
+#: stretches that one task makes of a part of a long gap
+_FAN = 1 << 10
 
 
 def duplicate_times(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -25,7 +28,8 @@ def duplicate_times(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Every grid point of every series from its first to its last row: the input row, or a gap before it.
 
-    Each row brings the empty points since its predecessor, so the calendar needs no table of its own and no join.
+    Each row brings the empty points since its predecessor, so the calendar needs no table of its own and no join. In the chunked layout, where a
+    gap may have any length, long ones are spread over tasks as ranges.
     """
     rows = known_keys(df, spec.keys).filter(F.col(spec.time).isNotNull())
     spec = settle(rows, spec)
@@ -44,9 +48,31 @@ def _grid_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     first = F.when(
         F.col(_PREV_K) == F.col(_K), F.raise_error(F.lit("densify: a series has two rows for one time"))
     ).otherwise(F.coalesce(F.col(_PREV_K) + 1, F.col(_K)))
-    # a long gap in two steps, so that no row holds it whole
-    rows = rows.withColumn(_FROM, F.explode(F.sequence(first, F.col(_K), F.lit(_STRETCH).cast("bigint"))))
-    upto = F.least(F.col(_FROM) + (_STRETCH - 1), F.col(_K))
+    rows = rows.withColumn(_FROM, first)
+    if spec.layout == "whole":
+        # a series has at most spec.whole_limit points; a long gap in two steps, so that no row holds it whole
+        return _points(_stretches(rows, F.col(_K), _STRETCH), F.col(_K), _STRETCH)
+    rows = stage(rows, "gaps")
+    long = F.col(_K) - F.col(_FROM) >= _STRETCH
+    here = _points(rows.withColumn(_FROM, F.when(long, F.col(_K)).otherwise(F.col(_FROM))), F.col(_K), _STRETCH)
+    # of a long gap only its range travels; it is cut and dealt out, twice, before there are points
+    kept = [*spec.keys, _LO, _K, _FROM]
+    gaps = rows.filter(long).select(*[F.col(c) if c in kept else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+    last, wide = F.col(_K) - 1, _STRETCH * _FAN
+    dealt = _stretches(gaps, last, wide).repartition(*spec.keys, _FROM)
+    dealt = dealt.withColumn(_UPTO, F.least(F.col(_FROM) + (wide - 1), last))
+    dealt = _stretches(dealt, F.col(_UPTO), _STRETCH).repartition(*spec.keys, _FROM)
+    return here.unionByName(_points(dealt, F.col(_UPTO), _STRETCH).drop(_UPTO))
+
+
+def _stretches(rows: DataFrame, last: Column, size: int) -> DataFrame:
+    """A row for each ``size`` points from ``_FROM`` to ``last``, which it starts at."""
+    return rows.withColumn(_FROM, F.explode(F.sequence(F.col(_FROM), last, F.lit(size).cast("bigint"))))
+
+
+def _points(rows: DataFrame, last: Column, size: int) -> DataFrame:
+    """A row for each of the at most ``size`` points from ``_FROM`` to ``last``."""
+    upto = F.least(F.col(_FROM) + (size - 1), last)
     return rows.withColumn(_AT, F.explode(F.sequence(F.col(_FROM), upto))).drop(_FROM)
 
 
