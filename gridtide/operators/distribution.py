@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,9 @@ from pyspark.sql import types as T
 from gridtide.operators.layout import small_copy
 from gridtide.operators.order_stats import quantiles
 
-_X, _W, _BIN = "_gt_x", "_gt_w", "bin"
+_X, _BIN = "_gt_x", "bin"
+#: bins of a density to a bandwidth, and the highest power that is summed in each
+_PER_BANDWIDTH, _POWERS = 64, 8
 #: beyond this many bandwidths the Gaussian kernel is zero in double precision: exp(-z²/2) underflows
 _KERNEL_REACH = 39.0
 
@@ -108,35 +111,40 @@ def histogram(
     )
 
 
+def _hermite_series(z: Column) -> Column:
+    """Sum over k of ``m{k} He_k(z) / k!``, as a polynomial of z."""
+    # coefficients of He_k by He_k+1 = z He_k - k He_k-1
+    he = [[1.0], [0.0, 1.0]]
+    for k in range(1, _POWERS):
+        he.append([(he[k][j - 1] if j else 0.0) - (k * he[k - 1][j] if j < k else 0.0) for j in range(k + 2)])
+    out = F.lit(0.0)
+    for j in range(_POWERS, -1, -1):
+        terms = [(k, he[k][j] / math.factorial(k)) for k in range(j, _POWERS + 1) if he[k][j]]
+        out = out * z + reduce(lambda a, b: a + b, [F.col(f"m{k}") * F.lit(c) for k, c in terms])
+    return out
+
+
 def kde(
     df: DataFrame, col: str, by: str | None = None, log: bool = False, grid: int = 200, cut: float = 3.0
 ) -> DataFrame:
     """Gaussian kernel density on ``grid`` points: (by), ``point``, ``x``, ``density``.
 
     Bandwidth is Scott's rule per group; a group's grid runs ``cut`` bandwidths past its values and its curve is scaled by its
-    share of the rows. Each value adds to the grid points its kernel reaches (beyond them it adds zero in double precision), and the
-    sums are combined before they are shuffled. Groups without spread have no density.
+    share of the rows. Groups without spread have no density.
+
+    Rows add to bins a 64th of a bandwidth wide: their number, and the sums of the powers up to the eighth of their distance from the bin's
+    middle, combined before the shuffle. Bins, not rows, meet the grid points that the kernel reaches (beyond them it is zero in double precision),
+    with the kernel as its Hermite series around the bin's middle. With a distance of t and z bandwidths from the point the series leaves out about
+    ``(z t) ** 9 / 9!`` of the kernel: with t up to 1/128 less than 1e-10 of it out to where it is zero, and less than 1e-20 next to the point.
     """
     group = [by] if by else []
     x = _measured(df, col, log).select(*group, _X)
     if by:
         x = x.filter(F.col(by).isNotNull())
     stats = small_copy(
-        x.groupBy(*group).agg(
-            F.count(_X).alias("n"),
-            F.stddev_samp(_X).alias("std"),
-            F.min(_X).alias("lo"),
-            F.max(_X).alias("hi"),
-            F.approx_count_distinct(_X).alias("values"),
-        )
+        x.groupBy(*group).agg(F.count(_X).alias("n"), F.stddev_samp(_X).alias("std"), F.min(_X).alias("lo"), F.max(_X).alias("hi"))
     )
-    sizes = stats.agg(F.sum("n").alias("n"), F.sum("values").alias("values")).first()
-    total = sizes["n"] or 0
-    # where values repeat, count them first; otherwise that would only shuffle the rows
-    if (sizes["values"] or 0) * 10 < total:
-        x = x.groupBy(*group, _X).agg(F.count(F.lit(1)).alias(_W))
-    else:
-        x = x.withColumn(_W, F.lit(1))
+    total = stats.agg(F.sum("n").alias("n")).first()["n"] or 0
     stats = stats.filter("std > 0")
     stats = stats.withColumn("h", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("g0", F.col("lo") - cut * F.col("h")).withColumn(
@@ -151,13 +159,22 @@ def kde(
             points = x.limit(0).withColumns({c: F.lit(0.0) for c in ("h", "g0", "dx")})
         else:
             points = x.withColumns({c: F.lit(row[c]) for c in ("h", "g0", "dx")})
-    place = (F.col(_X) - F.col("g0")) / F.col("dx")
-    reach = _KERNEL_REACH * F.col("h") / F.col("dx")
+    size = F.col("h") / _PER_BANDWIDTH
+    points = points.withColumn("b", F.floor((F.col(_X) - F.col("g0")) / size))
+    points = points.withColumn("t", (F.col(_X) - F.col("g0") - (F.col("b") + 0.5) * size) / F.col("h"))
+    powers, power = [F.count(F.lit(1)).cast("double").alias("m0")], F.lit(1.0)
+    for k in range(1, _POWERS + 1):
+        power = power * F.col("t")
+        powers.append(F.sum(power).alias(f"m{k}"))
+    bins = points.groupBy(*group, "b").agg(*powers, *[F.first(c).alias(c) for c in ("h", "g0", "dx")])
+    middle = (F.col("b") + 0.5) * F.col("h") / _PER_BANDWIDTH
+    place, reach = middle / F.col("dx"), _KERNEL_REACH * F.col("h") / F.col("dx")
     first = F.greatest(F.ceil(place - reach), F.lit(0).cast("bigint"))
     last = F.least(F.floor(place + reach), F.lit(grid - 1).cast("bigint"))
-    spread = points.filter(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
-    z = (F.col("g0") + F.col("point") * F.col("dx") - F.col(_X)) / F.col("h")
-    mass = spread.groupBy(*group, "point").agg(F.sum(F.col(_W) * F.exp(-0.5 * z * z)).alias("mass"))
+    spread = bins.filter(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
+    spread = spread.withColumn("z", (F.col("point") * F.col("dx") - middle) / F.col("h"))
+    z = F.col("z")
+    mass = spread.groupBy(*group, "point").agg(F.sum(_hermite_series(z) * F.exp(-0.5 * z * z)).alias("mass"))
     # grid points far from every value have density zero but are still part of the curve
     if by:
         curve = stats.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))
