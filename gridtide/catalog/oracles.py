@@ -512,7 +512,6 @@ ORACLES["predict"] = f"""WITH {_MONTHLY}
 SELECT l_suppkey, month, quantity, TRUE AS predicted, TRUE AS beats_mean FROM ({_MONTHLY_FEATURES}) AS f"""
 ORACLES["backtest"] = f"""WITH {_MONTHLY}, n AS (SELECT count(*) AS n FROM ({_MONTHLY_FEATURES}) AS f)
 SELECT CAST(fold AS INTEGER) AS fold, n // 6 AS n_rows, TRUE AS in_range, TRUE AS adds_up FROM n, range(1, 6) AS r(fold)"""
-ORACLES["sample_params"] = "SELECT CAST(i AS INTEGER) AS number, TRUE AS in_space, TRUE AS goes_on FROM range(20) AS r(i)"
 ORACLES["sweep"] = """SELECT 'monthly' AS study, CAST(i AS INTEGER) AS number, 5 AS n_folds, TRUE AS in_space, TRUE AS is_mean,
   TRUE AS is_best FROM range(3) AS r(i)"""
 ORACLES["best_trial"] = "SELECT 'monthly' AS study, TRUE AS is_least"

@@ -903,16 +903,6 @@ def _in_space(params):
     return reduce(lambda a, b: a & b, parts)
 
 
-@query
-def sample_params(spark, d):
-    """Draws are within the space, and a study that goes on does not repeat itself."""
-    draws = bt.sample_params(bt.SPACE, 20, seed=1)
-    same = draws[12:] == bt.sample_params(bt.SPACE, 8, seed=1, first=12)
-    rows = [(i, {k: float(v) for k, v in draw.items()}) for i, draw in enumerate(draws)]
-    out = spark.createDataFrame(rows, "number INT, params MAP<STRING, DOUBLE>")
-    return out.select("number", _in_space(F.col("params")).alias("in_space"), F.lit(same).alias("goes_on"))
-
-
 @query
 def sweep(spark, d):
     """Trials: whether the draw is in the space, the value the mean of the folds, and the best value the least so far."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -10,12 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.operators.layout import small_copy
+from gridtide.operators.layout import by_range, range_of, running, small_copy
 from gridtide.operators.order_stats import quantiles
 
 _X, _BIN = "_gt_x", "bin"
 #: bins of a density to a bandwidth, and the highest power that is summed in each
 _PER_BANDWIDTH, _POWERS = 64, 8
+#: bins that are listed one by one
+MOST_BINS = 1 << 16
 #: beyond this many bandwidths the Gaussian kernel is zero in double precision: exp(-z²/2) underflows
 _KERNEL_REACH = 39.0
 
@@ -71,7 +74,10 @@ def bin_edges(df: DataFrame, col: str, bins: int | str = "auto", log: bool = Fal
 def histogram(
     df: DataFrame, col: str, bins: int | str = "auto", log: bool = False, by: str | None = None
 ) -> DataFrame:
-    """Rows per equal-width bin: (by), ``bin``, ``left``, ``right``, ``count``. All bins appear; the last one is closed.
+    """Rows per equal-width bin: (by), ``bin``, ``left``, ``right``, ``count``. The last bin is closed.
+
+    All bins appear, if there are at most ``MOST_BINS``. Of more, as an outlier makes of a rule for their width, those with rows appear, and each run of
+    empty ones between as one row, from the first's left to the last's right edge.
 
     ``log`` bins log10 of the values and leaves out those ≤ 0 (see :func:`dropped_by_log`). With ``by`` every group uses the
     edges of the whole column.
@@ -96,6 +102,8 @@ def histogram(
     b = F.col(_BIN)
     fixed = F.when((b > 0) & (x < edge(b)), b - 1).when((b < n - 1) & (x >= edge(b + 1)), b + 1).otherwise(b)
     counts = placed.select(*group, fixed.alias(_BIN)).groupBy(*group, _BIN).agg(F.count(F.lit(1)).alias("count"))
+    if n > MOST_BINS:
+        return _with_empty_runs(counts, group, n, edge)
     if by:
         counts = small_copy(counts)
         # a group's empty bins: one row per group, spread over the bins
@@ -111,6 +119,23 @@ def histogram(
     )
 
 
+def _with_empty_runs(counts: DataFrame, group: list[str], n: int, edge: Callable[[Column], Column]) -> DataFrame:
+    """Bins with rows, and a row for each run of bins without, between, before and after them."""
+    b, prev = F.col(_BIN), F.coalesce("_gt_prev", F.lit(-1))
+    # bins are cut into ranges, so the one before is found without one task for all
+    ordered = by_range(counts.withColumn("_gt_before", b), [*group, _BIN])
+    ordered = running(ordered, group, [_BIN], {"_gt_prev": ("last", "_gt_before")}, range_of(), inclusive=False, depth=1)
+    cols = [*group, _BIN, edge(b).alias("left"), edge(b + 1).alias("right"), "count"]
+    none = F.lit(0).cast("bigint").alias("count")
+
+    def empty(first: Column, end: Column) -> list:
+        return [*group, first.alias(_BIN), edge(first).alias("left"), edge(end).alias("right"), none]
+
+    gaps = ordered.filter(b > prev + 1).select(*empty(prev + 1, b))
+    ends = counts.groupBy(*group).agg(F.max(b).alias(_BIN)).filter(b < n - 1).select(*empty(b + 1, F.lit(n).cast("bigint")))
+    return ordered.select(*cols).unionByName(gaps).unionByName(ends)
+
+
 def _hermite_series(z: Column) -> Column:
     """Sum over k of ``m{k} He_k(z) / k!``, as a polynomial of z."""
     # coefficients of He_k by He_k+1 = z He_k - k He_k-1

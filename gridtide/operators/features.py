@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.dates import add_date_features
-from gridtide.operators.layout import POS, chunk_of, known_keys, over_series, settle
+from gridtide.operators.layout import POS, chunk_of, known_keys, once, over_series, settle
 from gridtide.operators.order_stats import known
 from gridtide.operators.scans import MONOIDS, SMALL_WINDOW, Monoid, ewm_mean, framed, rolled
+from gridtide.session import stage
 from gridtide.spec import FeatureSpec, LagTransform, SeriesSpec
 
 _CHECKED, _IS_HISTORY = "_gt_checked", "_gt_is_history"
@@ -131,14 +132,16 @@ def _all_transforms(features: FeatureSpec) -> list[LagTransform]:
 def series_tail(df: DataFrame, spec: SeriesSpec, n: int) -> DataFrame:
     """The last ``n`` rows of every series.
 
-    Spark keeps at most ``n`` rows per series in each map task before the shuffle, up to the session's group-limit threshold; a longer tail
-    is cut in the pieces of a series first.
+    Spark keeps at most ``n`` rows per series in each map task before the shuffle, up to the session's group-limit threshold. For a longer tail
+    the pieces of a series are counted, and only those from the end on that are needed are read: n rows and those of one piece at most.
     """
     df = known_keys(df, spec.keys)
     if n > GROUP_LIMIT:
-        inner = Window.partitionBy(*spec.keys, "_gt_piece").orderBy(F.col(spec.time).desc_nulls_last())
-        pieces = df.withColumn("_gt_piece", chunk_of(spec)).withColumn("_gt_rn", F.row_number().over(inner))
-        df = pieces.filter(F.col("_gt_rn") <= n).drop("_gt_rn", "_gt_piece")
+        pieces = once(df, spec.with_(layout="chunked")).withColumn("_gt_piece", chunk_of(spec))
+        counts = stage(pieces.groupBy(*spec.keys, "_gt_piece").agg(F.count(F.lit(1)).alias("_gt_n")), "pieces")
+        after = Window.partitionBy(*spec.keys).orderBy(F.col("_gt_piece").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        needed = counts.withColumn("_gt_after", F.coalesce(F.sum("_gt_n").over(after), F.lit(0))).filter(F.col("_gt_after") < n)
+        df = pieces.join(needed.select(*spec.keys, "_gt_piece"), [*spec.keys, "_gt_piece"], "left_semi").drop("_gt_piece")
     w = Window.partitionBy(*spec.keys).orderBy(F.col(spec.time).desc_nulls_last())
     last = df.withColumn("_gt_rn", F.row_number().over(w))
     return last.filter(F.col("_gt_rn") <= n).drop("_gt_rn")

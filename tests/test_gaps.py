@@ -40,3 +40,33 @@ def test_a_gap_is_spread_evenly(spark, holes, monkeypatch):
     assert sum(tasks) == 200_001
     big = [n for n in tasks if n > 2]
     assert len(big) == parts and max(big) < 1.2 * 200_001 / parts
+
+
+def test_bins_of_an_outlier(spark):
+    """Far more bins than rows: empty ones come as runs, and together all bins are there."""
+    from gridtide.operators import distribution
+
+    rows = [(float(i % 97), "a" if i % 3 else "b") for i in range(20_000)] + [(1e12, "a"), (-5.0, None)]
+    df = spark.createDataFrame(rows, "x double, g string")
+    for by in (None, "g"):
+        got = distribution.histogram(df, "x", by=by).toPandas()
+        assert got["count"].sum() == len(rows) and len(got) < 1000
+        lo, hi, n = distribution.bin_edges(df, "x")
+        assert n > 1 << 30
+        for _, g in got.groupby(by, dropna=False) if by else [(None, got)]:
+            g = g.sort_values("bin")
+            assert g.left.iloc[0] == lo and g.right.iloc[-1] == hi and list(g.left[1:]) == list(g.right[:-1])
+            assert not ((g["count"] == 0) & (g["count"].shift() == 0)).any()
+
+
+def test_few_bins_listed_or_as_runs_hold_the_same(spark, monkeypatch):
+    from gridtide.operators import distribution
+
+    df = spark.createDataFrame([(float(x), g) for x, g in zip([1, 2, 2, 40, 41, 90, 100, 3], "aabbabab", strict=True)], "x double, g string")
+    for by in ([], ["g"]):
+        dense = distribution.histogram(df, "x", bins=50, by=by[0] if by else None)
+        with monkeypatch.context() as m:
+            m.setattr(distribution, "MOST_BINS", 10)
+            sparse = distribution.histogram(df, "x", bins=50, by=by[0] if by else None)
+        assert sparse.count() < dense.count()
+        assert sparse.filter("count > 0").exceptAll(dense).isEmpty() and dense.filter("count > 0").exceptAll(sparse).isEmpty()
