@@ -192,6 +192,9 @@ _BY_FRAME = """contiguous AS (
 ORACLES["preprocess_stage_frame_steps"] = "WITH {} SELECT * FROM prepared".format(
     _prepared(_BY_SERIES).replace(_OBSERVED[_OBSERVED.index("contiguous AS") :], _BY_FRAME)
 )
+ORACLES["preprocess_stage_frame_steps_groups"] = ORACLES["preprocess_stage_frame_steps"].replace(
+    "SELECT l_suppkey AS supplier", "SELECT CASE WHEN l_suppkey % 50 < 45 THEN l_suppkey % 10 ELSE l_suppkey + 100 END AS supplier"
+)
 _STAGE_MADE = ["lag1", "lag3", "expanding_mean_lag1", "rolling_mean_lag1_window_size2"]
 _stage = _features(
     "(SELECT * FROM prepared WHERE target IS NOT NULL) AS p", "supplier, is_returned, split", "period", "target", (1, 3), 1, (2,)

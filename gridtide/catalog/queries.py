@@ -277,6 +277,13 @@ def preprocess_stage_frame_steps(spark, d):
     return preprocess(_observations(spark, d), _OBS, "2000-01-01 00:00:00", flag="is_returned", boundary="frame")
 
 
+@query
+def preprocess_stage_frame_steps_groups(spark, d):
+    """The same for ten large groups of suppliers, which have every month and stay, and single ones, which mostly have gaps."""
+    rows = _observations(spark, d, F.when(F.col("l_suppkey") % 50 < 45, F.col("l_suppkey") % 10).otherwise(F.col("l_suppkey") + 100))
+    return preprocess(rows, _OBS, "2000-01-01 00:00:00", flag="is_returned", boundary="frame")
+
+
 @query
 def feature_stage(spark, d):
     raw = _observations(spark, d)
@@ -288,11 +295,11 @@ def feature_stage(spark, d):
 _OBS = SeriesSpec(("supplier", "is_returned"), time="period", target="target", step="1 month", unique=True)
 
 
-def _observations(spark, d):
+def _observations(spark, d, supplier="l_suppkey"):
     """Two measures per supplier: monthly quantity returned and not. Small quantities are taken as not measured."""
     month = Step.parse("1 month")
     rows = _table(spark, d, "lineitem").groupBy(
-        F.col("l_suppkey").alias("supplier"),
+        (F.col(supplier) if isinstance(supplier, str) else supplier).alias("supplier"),
         (F.col("l_returnflag") == "R").cast("int").alias("is_returned"),
         month.index("l_shipdate").alias("k"),
     ).agg(F.sum("l_quantity").alias("q"))
