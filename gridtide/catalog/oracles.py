@@ -203,6 +203,9 @@ ORACLES["feature_stage"] = f"WITH {_prepared(_BY_SERIES)} " + _rounded(
     f"SELECT * EXCLUDE (period, row_id), CAST(month(period) AS INTEGER) AS month FROM ({_known(_stage, *_STAGE_MADE)}) AS m",
     *_STAGE_MADE,
 )
+ORACLES["raw_to_features"] = ORACLES["feature_stage"].replace(
+    "CASE WHEN q >= 40 THEN q END", "CASE WHEN q >= 40 OR period = min(period) OVER (PARTITION BY supplier, is_returned) THEN q END"
+)
 
 # --- dates ----------------------------------------------------------------------------------------------------------
 

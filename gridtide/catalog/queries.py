@@ -22,7 +22,7 @@ from gridtide.plans import backtest as bt
 from gridtide.plans import runs as rn
 from gridtide.plans import model as md
 from gridtide.plans import scoring
-from gridtide.plans.stages import feature_table, preprocess
+from gridtide.plans.stages import feature_table, prepare_stages, preprocess
 from gridtide.session import scratch
 from gridtide.sources import readers, writers
 from gridtide.sources import payload
@@ -292,10 +292,26 @@ def feature_stage(spark, d):
     return _rounded(feature_table(known, spec, FeatureSpec((1, 3), (1,), (2,), True, ("month",)), drop=["row_id"]))
 
 
+@query
+def raw_to_features(spark, d):
+    """Observations as raw CSV files, preprocessed and made into features; the first of each series is always measured."""
+    raw = scratch(spark, "raw")
+    first = F.min("period").over(Window.partitionBy("supplier", "is_returned"))
+    rows = _observations(spark, d, least=0).withColumn("target", F.when((F.col("target") >= 40) | (F.col("period") == first), F.col("target")))
+    rows.write.options(**readers.CSV, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(raw)
+    return _rounded(
+        prepare_stages(
+            spark, raw, scratch(spark, "preprocessed"), scratch(spark, "processed"), _OBS, FeatureSpec((1, 3), (1,), (2,), True, ("month",)),
+            "2000-01-01 00:00:00", schema="supplier BIGINT, is_returned INT, period TIMESTAMP_NTZ, row_id BIGINT, target DOUBLE",
+            flag="is_returned", drop=["row_id"],
+        )
+    )
+
+
 _OBS = SeriesSpec(("supplier", "is_returned"), time="period", target="target", step="1 month", unique=True)
 
 
-def _observations(spark, d, supplier="l_suppkey"):
+def _observations(spark, d, supplier="l_suppkey", least=40):
     """Two measures per supplier: monthly quantity returned and not. Small quantities are taken as not measured."""
     month = Step.parse("1 month")
     rows = _table(spark, d, "lineitem").groupBy(
@@ -307,7 +323,7 @@ def _observations(spark, d, supplier="l_suppkey"):
     row_id = (F.col("k") * 1_000_000_000_000 + F.col("supplier") * 2 + F.col("is_returned")).alias("row_id")
     return rows.select(
         "supplier", "is_returned", month.start(F.col("k")).alias("period"), row_id,
-        F.when(F.col("q") >= 40, F.col("q")).alias("target"),
+        F.when(F.col("q") >= least, F.col("q")).alias("target"),
     )
 
 

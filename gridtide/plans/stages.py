@@ -12,7 +12,7 @@ from gridtide.operators.features import make_features
 from gridtide.operators.fill import forward_fill
 from gridtide.operators.layout import known_keys, settle
 from gridtide.operators.split import time_split
-from gridtide.sources.readers import read_observations, read_table
+from gridtide.sources.readers import OBSERVATIONS, read_observations, read_table
 from gridtide.sources.writers import write_splits
 from gridtide.spec import BacktestSpec, FeatureSpec, SeriesSpec
 
@@ -85,12 +85,22 @@ def prepare_stages(
     features: FeatureSpec = FeatureSpec(),
     cutoff=BacktestSpec().cutoff,
     force: bool = False,
+    schema: str = OBSERVATIONS,
+    flag: str = FLAG,
+    fill: str = "series",
+    order: str | None = ROW_ID,
+    boundary: str = "series",
+    drop: Sequence[str] = BOOKKEEPING,
 ) -> DataFrame:
-    """Raw CSV → preprocessed table → feature table, each skipped when it is already there. Returns the features."""
+    """Raw CSV → preprocessed table → feature table, each skipped when it is already there. Returns the features.
+
+    ``schema`` is that of the CSV files; ``flag``, ``fill``, ``order`` and ``boundary`` are as in :func:`preprocess`, ``drop`` as in :func:`feature_table`.
+    """
     from gridtide.sources.writers import is_complete
 
     if force or not is_complete(spark, preprocessed_path):
-        write_splits(preprocess(read_observations(spark, raw_path), spec, cutoff), preprocessed_path)
+        raw = read_observations(spark, raw_path, schema)
+        write_splits(preprocess(raw, spec, cutoff, flag, fill, order, boundary), preprocessed_path)
     if force or not is_complete(spark, processed_path):
-        write_splits(feature_table(read_table(spark, preprocessed_path), spec, features), processed_path)
+        write_splits(feature_table(read_table(spark, preprocessed_path), spec, features, drop), processed_path)
     return read_table(spark, processed_path)
