@@ -101,8 +101,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     rows, row = keyed(docs)
     # in the same order as by id, and rows with the same id by their number
     named = rows.withColumn(id_col, F.struct(F.col(id_col).alias("id"), F.col(row).alias("row")))
-    times = copies(named, id_col, **settings).filter("copies > 0").select(F.col("doc_id.row").alias(row), F.col("copies").cast("int").alias("_n"))
-    return rows.join(times, row).withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).drop(row, "_n")
+    n = "_n"
+    while n in rows.columns:
+        n += "_"
+    times = copies(named, id_col, **settings).filter("copies > 0").select(F.col("doc_id.row").alias(row), F.col("copies").cast("int").alias(n))
+    return rows.join(times, row).withColumn(n, F.explode(F.sequence(F.lit(1), n))).drop(row, n)
 
 
 SQL = f"""

@@ -84,3 +84,9 @@ def test_mixed_rows(spark):
 def test_empty_table(no_docs):
     assert mixing.copies(no_docs).count() == 0
     assert mixing.mixed(no_docs).count() == 0
+
+
+def test_a_column_of_the_operators_own_name(odd_docs):
+    df = odd_docs.withColumnRenamed("n", "_n")
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and out.count() == mixing.mixed(odd_docs).count()
