@@ -6,6 +6,9 @@ part (``article`` or ``main``) say of each word and tag whether it is within. A
 a bound; a tag weighs the odds against it, and is never positive. A linear scan finds the region with the largest sum. Where a page marks its main part itself, words
 outside have a context of their own. Of the region, the words that are in no boilerplate element are returned, block by block.
 
+The scan overrules names: a first scan takes no notice of classes, ids and forms, and what holds most of its region is no boilerplate, whatever it is
+called (``overruled``); wrappers are often named after what stands beside the article.
+
 Counts for the weights are added up over all pages; their number is bounded by the number of contexts, a few hundred.
 """
 
@@ -33,15 +36,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: elements whose content is not markup
 RAW = frozenset("script style textarea title noframes xmp iframe noembed".split())
 #: elements that are never main text
-BOILER = frozenset("nav footer aside form head script style noscript template textarea title iframe svg select button object menu dialog".split())
+BOILER = frozenset("nav footer aside head script style noscript template textarea title iframe svg select button object menu dialog".split())
 MAIN = frozenset(("article", "main"))
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 #: parts of class names and ids that say what an element is not
 NAMES = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb"
     " breadcrumbs cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login comment comments commentlist reply"
     " replies disqus related share sharing social footer masthead toolbar widget pagination pager skip disclaimer copyright".split()
 )
+#: parts of a class name that make it say what the page has or may do, not what the element is
+STATES = frozenset("has no with without open closed enabled disabled".split())
+#: shares of the words of the region that no boilerplate holds: where it holds the headline too, or there is none; where it does not
+HOLDS, HOLDS_ALONE = 0.5, 0.9
 #: a start tag closes open elements of these kinds, up to one that holds it; every block closes an open paragraph
 CLOSES = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
           "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
@@ -68,46 +75,65 @@ class Item(NamedTuple):
     breaks: bool  #: begins a block
     boiler: bool
     main: bool  #: within an element that the page marks as its main part
+    named: int  #: the nearest element around it that is boilerplate by its name only, -1 without
+    main_in: int  #: the same of the element that marks the main part
+
+
+class Page(NamedTuple):
+    """Tags and runs of words in order, boilerplate by its kind only, and the elements that are boilerplate by name."""
+
+    items: list[Item]
+    around: list[int]  #: of each named element the nearest one around it
+    headline: int | None  #: the named element around the first one that marks the main part, or else around the first heading; -1 without
 
 
-def _boilerplate(name: str, attributes: str, in_main: bool) -> bool:
+_SURE, _NAMED, _NOT = 2, 1, 0
+
+
+def _boilerplate(name: str, attributes: str, in_main: bool) -> int:
+    """Whether an element is boilerplate: surely, by its name only, or not."""
     if name in BOILER or name == "header" and not in_main:
-        return True
+        return _SURE
+    found = _NAMED if name == "form" else _NOT
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return found
     for key, value in _ATTRIBUTES.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id") and not NAMES.isdisjoint(_NOT_NAME.split(value)):
-            return True
+            parts = [_NOT_NAME.split(each) for each in value.split()]
+            if any(not NAMES.isdisjoint(each) and STATES.isdisjoint(each) for each in parts):
+                found = _NAMED
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return _SURE
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return _SURE
+    return found
 
 
-def items(page: str) -> list[Item]:
-    """Tags and runs of words in order. One pass; what is not closed is open to the end."""
+def parse(page: str) -> Page:
+    """One pass; what is not closed is open to the end."""
     out: list[Item] = []
-    # open elements: name, boilerplate here or around, main part here or around, nearest block, links around
-    stack: list[tuple[str, bool, bool, str, int]] = []
+    around: list[int] = []
+    marks: dict[bool, int] = {}  # the named element around the first main part, and around the first heading
+    # open elements: name, boilerplate here or around, main part here or around, nearest block, links around, nearest named, that of the main part
+    stack: list[tuple[str, bool, bool, str, int, int, int]] = []
     opened: Counter = Counter()
     at, end, fresh, pattern = 0, len(page), True, _TAG
-    boiler, main, block, links = False, False, "", 0
+    boiler, main, block, links, named, main_in = False, False, "", 0, -1, -1
 
     def say(text: str) -> None:
         nonlocal fresh
         if text:
-            context = f"w {block}{' a' if links else ''}{' x' if boiler else ''}"
-            out.append(Item(context, len(text.split()), text, fresh, boiler, main))
+            context = f"w {block}{' a' if links else ''}"
+            out.append(Item(context, len(text.split()), text, fresh, boiler, main, named, main_in))
             fresh = False
 
     def cut(depth: int) -> None:
-        nonlocal boiler, main, block, links
+        nonlocal boiler, main, block, links, named, main_in
         for element in stack[depth:]:
             opened[element[0]] -= 1
         del stack[depth:]
-        _, boiler, main, block, links = stack[-1] if stack else ("", False, False, "", 0)
+        _, boiler, main, block, links, named, main_in = stack[-1] if stack else ("", False, False, "", 0, -1, -1)
 
     while at < end:
         open_at = page.find("<", at)
@@ -143,7 +169,7 @@ def items(page: str) -> list[Item]:
         if closing:
             if opened[name]:
                 cut(max(depth for depth, element in enumerate(stack) if element[0] == name) if stack[-1][0] != name else len(stack) - 1)
-            out.append(Item(f"t /{shown}{' x' if boiler else ''}", 0, "", False, boiler, main))
+            out.append(Item(f"t /{shown}", 0, "", False, boiler, main, named, main_in))
             continue
         if name in CLOSES and any(opened[k] for k in CLOSES[name][0]):
             kinds, holders = CLOSES[name]
@@ -160,8 +186,12 @@ def items(page: str) -> list[Item]:
                     break
                 if stack[depth][0] in BLOCKS:
                     break
-        of = boiler or _boilerplate(name, attributes, main)
-        out.append(Item(f"t {shown}{' x' if of else ''}", 0, "", False, of, main))
+        how = _boilerplate(name, attributes, main)
+        of, by = boiler or how == _SURE, named
+        if how == _NAMED and not of:
+            by = len(around)
+            around.append(named)
+        out.append(Item(f"t {shown}", 0, "", False, of, main, by, main_in))
         if name == "br":
             say("\n")
         if name in VOID or attributes.endswith("/"):
@@ -169,11 +199,55 @@ def items(page: str) -> list[Item]:
         if name in RAW:
             close = re.compile(f"</{name}", re.IGNORECASE).search(page, at)
             at = close.start() if close else end
-        inside = main or name in MAIN and not of
-        stack.append((name, of, inside, name if name in BLOCKS else block, links + (name == "a")))
+        starts = not main and name in MAIN and not of
+        if not of and (starts or name == "h1"):
+            marks.setdefault(starts, by)
+        stack.append((name, of, main or starts, name if name in BLOCKS else block, links + (name == "a"), by, by if starts else main_in))
         opened[name] += 1
-        _, boiler, main, block, links = stack[-1]
-    return out
+        _, boiler, main, block, links, named, main_in = stack[-1]
+    return Page(out, around, marks.get(True, marks.get(False)))
+
+
+def overruled(page: Page, table: dict[str, float]) -> list[bool]:
+    """Which of the named elements are no boilerplate: they hold most of the region that a scan without regard to names finds."""
+    held = [0] * len(page.around)
+    plain = [_resolved(x, []) for x in page.items]
+    start, end = _best(plain, table)
+    total = 0
+    for x in plain[start:end]:
+        if x.words and not x.boiler:
+            total += x.words
+            if x.named >= 0:
+                held[x.named] += x.words
+    holds, at = set(), page.headline
+    while at is not None and at >= 0:
+        holds.add(at)
+        at = page.around[at]
+    for i in reversed(range(len(held))):  # an element comes after those around it
+        if page.around[i] >= 0:
+            held[page.around[i]] += held[i]
+    return [n > (HOLDS if page.headline is None or i in holds else HOLDS_ALONE) * total for i, n in enumerate(held)]
+
+
+def _resolved(x: Item, dropped: list[bool]) -> Item:
+    boiler = x.boiler or bool(dropped) and x.named >= 0 and dropped[x.named]
+    main = x.main and not (dropped and x.main_in >= 0 and dropped[x.main_in])
+    if not boiler and main == x.main:
+        return x
+    return x._replace(context=f"{x.context} x" if boiler else x.context, boiler=boiler, main=main)
+
+
+def items(html: str, table: dict[str, float] | None = None) -> list[Item]:
+    """Tags and runs of words in order, with what is boilerplate in the end."""
+    page = parse(html)
+    dropped: list[bool] = []
+    for i, no in enumerate(overruled(page, table or {})) if page.around else ():
+        dropped.append(not no or page.around[i] >= 0 and dropped[page.around[i]])
+    return [_resolved(x, dropped) for x in page.items]
+
+
+def _best(sequence: list[Item], table: dict[str, float]) -> tuple[int, int]:
+    return region([weight(key, table) * max(x.words, 1) if x.words or not x.text else 0.0 for key, x in _keys(sequence)])
 
 
 def _keys(page: list[Item]) -> Iterator[tuple[str, Item]]:
@@ -230,8 +304,8 @@ def region(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str, table: dict[str, float]) -> str:
     """The main text: blocks in order, white space within a block as one space, joined by one space."""
-    sequence = items(page)
-    start, end = region([weight(key, table) * max(x.words, 1) if x.words or not x.text else 0.0 for key, x in _keys(sequence)])
+    sequence = items(page, table)
+    start, end = _best(sequence, table)
     blocks: list[list[str]] = []
     broken = True
     for x in sequence[start:end]:

@@ -42,6 +42,36 @@ def test_article_among_boilerplate(table, marked):
         assert h.extract(html, table) == text
 
 
+WRAPPERS = [
+    ('<div class="content has-sidebar">', "</div>"), ('<form action="/">', "</form>"), ('<div class="layout sidebar-right">', "</div>"),
+    ('<section id="share-of-profit">', "</section>"), ('<div id="page" class="widget"><form class="signup">', "</form></div>"),
+]
+
+
+@pytest.mark.parametrize("marked", [True, False])
+@pytest.mark.parametrize("before,after", WRAPPERS)
+def test_names_do_not_overrule_the_region(table, marked, before, after):
+    """Elements with names of boilerplate around the article or the page; what is boilerplate within still goes."""
+    rng = random.Random(7)
+    for _ in range(20):
+        html, text = page(rng, marked)
+        kind = "article" if marked else "div"
+        assert h.extract(html.replace("<body>", f"<body>{before}").replace("</body>", f"{after}</body>"), table) == text
+        around = html.replace(f"<{kind}><h1>", f"{before}<{kind}><h1>").replace(f"</section></{kind}>", f"</section></{kind}>{after}")
+        assert h.extract(around, table) == text
+        assert h.extract(html.replace("<article>", '<article class="post comments-open category-social">'), table) == text
+
+
+@pytest.mark.parametrize("before,after", [*WRAPPERS, ('<article class="post comments-open">', "</article>")])
+def test_small_pages_with_names(before, after):
+    assert h.extract(f"<body>{before}<p>The story has some words.</p><p>And more of them.</p>{after}</body>", {}) == "The story has some words. And more of them."
+
+
+def test_comments_longer_than_the_article():
+    html = '<div><h1>Title here</h1><p>A short story.</p><div class="comments"><p>' + "what a comment " * 4 + "</p></div></div>"
+    assert h.extract(html, {}) == "Title here A short story."
+
+
 def test_words_are_positive_and_tags_negative(table):
     assert all(w < 0 for k, w in table.items() if k.startswith("t "))
     assert table["w p"] > 0 and table["w h1"] > 0 and table["w li a x"] < 0
@@ -99,3 +129,4 @@ def test_sample_pages(spark):
         parts = re.split(r"</?(?:p|h1)>", inner)
         want = " ".join(t for t in (" ".join(unescape(re.sub(r"<[^>]*>", lambda m: "\n" if m[0] == "<br>" else "", p)).split()) for p in parts) if t)
         assert h.extract(r.html, table) == want
+        assert h.extract(r.html.replace("<article>", "<div>").replace("</article>", "</div>"), table) == want
