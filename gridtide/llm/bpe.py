@@ -34,6 +34,8 @@ from gridtide.llm.common import kept, ship
 KEPT_STATES = 250_000
 KEPT_PAIRS = 25_000
 KEPT_PIECES = 220_000
+#: characters of a piece that is kept; longer ones are rare and are encoded anew
+KEPT_CHARS = 64
 #: bytes between looks at the number of states; characters that are cut into pieces at a time, or more up to a place to cut
 STRIDE, SLICE = 1 << 12, 1 << 16
 #: bytes of text in a batch of results; ids that are decoded at a time
@@ -72,6 +74,13 @@ class Kept(dict):
         return value
 
 
+class Pieces(Kept):
+    """Pieces of text; long ones are not kept, so that what is kept is bounded in bytes, too."""
+
+    def __missing__(self, key):
+        return self.make(key) if len(key) > KEPT_CHARS else super().__missing__(key)
+
+
 class Transducer:
     """Encodes pieces of bytes.
 
@@ -248,7 +257,7 @@ class Encoder:
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         # a space between two characters that are not white space always begins a piece, and what follows does not depend on what is before
         self.cut = re.compile(f" (?=[^{SPACE}])(?<=[^{SPACE}] )")
-        self.pieces = Kept(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
+        self.pieces = Pieces(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
 
     def encode(self, text: str) -> bytes:
         """The ids, four bytes each."""
@@ -335,7 +344,7 @@ def encode(
     """``docs`` with a column of ids (array of int) of the whole text, without special tokens, each match of ``pattern`` merged by itself.
 
     With ``decoded``, also a column of that name with the text that the ids decode to, as :func:`decode` gives it, in the same pass. A null text
-    counts as empty, and has no ids. New names must not be columns of ``docs``; the others are passed on as they are. The ranks are broadcast:
+    counts as empty, and has no ids; bytes that are not UTF-8 are read as U+FFFD. A very long text is cut where pieces end, and encoded part by part. New names must not be columns of ``docs``; the others are passed on as they are. The ranks are broadcast:
     they have the size of a vocabulary file.
     """
     names = [into] if decoded is None else [into, decoded]
@@ -349,7 +358,7 @@ def encode(
         encoder = kept(key, lambda: Encoder(*shared.value))
         for batch in batches:
             for part in sliced(batch, at):
-                packed = [encoder.encode(t.as_py() or "") for t in part.column(at)]
+                packed = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in part.column(at).cast(pa.binary())]
                 offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
                 columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))]
                 if decoded is not None:

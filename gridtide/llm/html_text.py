@@ -334,7 +334,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
             ["context", "main", "n"],
         )
 
-    rows = pages.select(F.col(html_col).cast("string").alias("html")).mapInArrow(run, "context string, main boolean, n long")
+    rows = pages.select(F.make_valid_utf8(F.col(html_col).cast("string")).alias("html")).mapInArrow(run, "context string, main boolean, n long")
     # contexts are made of element names that are listed here: a few hundred rows
     return weights({(r.context, r.main): r.n for r in rows.groupBy("context", "main").agg(F.sum("n").alias("n")).collect()})
 
@@ -345,11 +345,11 @@ def main_text(
     """(page_id, url, text, n_chars): one row for each row of ``pages``, from the whole html.
 
     A null or empty page, and one without a region above zero, has an empty text. Without labelled pages, words weigh by
-    what their context says. Repeated rows are returned as often as they come; an empty table gives no rows. Other columns are not looked at.
+    what their context says. Bytes that are not UTF-8 are read as U+FFFD. A very long page is read in one pass; of equal regions the first is taken. Repeated rows are returned as often as they come; an empty table gives no rows. Other columns are not looked at.
     """
     ship(pages.sparkSession)
     table = learn(pages, html_col) if table is None else table
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.make_valid_utf8(F.col(html_col).cast("string")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from gridtide.llm.common import ship
 
 ROUNDS = 8
+#: characters of a mail name or a secret that are permuted as one number
+PART = 64
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 
@@ -146,6 +148,11 @@ def _letters(keyed: Keyed, kind: str, text: str) -> str:
     return "".join(reversed(out))
 
 
+def _in_parts(keyed: Keyed, kind: str, text: str) -> str:
+    """As ``_letters``; long texts are permuted part by part, in time that grows with their length."""
+    return "".join(_letters(keyed, kind, text[at : at + PART]) for at in range(0, len(text), PART))
+
+
 def iban(keyed: Keyed, text: str) -> str | None:
     flat = text.replace(" ", "")
 
@@ -188,7 +195,7 @@ def date(keyed: Keyed, text: str) -> str | None:
 
 def mail(keyed: Keyed, text: str) -> str | None:
     name, _, domain = text.rpartition("@")
-    return f"{_letters(keyed, 'mail', name)}@{domain}"
+    return f"{_in_parts(keyed, 'mail', name)}@{domain}"
 
 
 def access_key(keyed: Keyed, text: str) -> str | None:
@@ -197,14 +204,14 @@ def access_key(keyed: Keyed, text: str) -> str | None:
 
 def secret(keyed: Keyed, text: str) -> str | None:
     head = re.match(r"[A-Za-z_]+\s*[=:]\s*[\"']?", text)[0]
-    return head + _letters(keyed, "secret", text[len(head) :])
+    return head + _in_parts(keyed, "secret", text[len(head) :])
 
 
 #: in the order in which they are tried where a match may begin
 KINDS: tuple[tuple[str, str, Callable[[Keyed, str], str | None]], ...] = (
     ("mail", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", mail),
     ("access_key", r"A[KS]IA[A-Z0-9]{16}(?![A-Z0-9])", access_key),
-    ("secret", r"(?:password|passwd|pwd|token|secret|api_key|apikey)\s?[=:]\s?[\"']?[A-Za-z0-9]{6,}", secret),
+    ("secret", r"(?i:password|passwd|pwd|token|secret|api_key|apikey)\s?[=:]\s?[\"']?[A-Za-z0-9!#$%&*+./?@^_~-]{5,}[A-Za-z0-9]", secret),
     ("iban", r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("date", r"\d{4}([-/.])\d\d\1\d\d(?!\d)", date),
     ("date", r"\d\d?([-/.])\d\d?\1\d{4}(?!\d)", date),
@@ -232,8 +239,8 @@ def _iban_form(length: int) -> str:
 
 
 #: the forms of one length each: what follows a number may look like more of it
-_CARD_ENDS = [re.compile(rf"\d(?:[ -]?\d){{{n - 1}}}(?!\d)") for n in range(19, 12, -1)]
-_IBAN_ENDS = {n: re.compile(_iban_form(n)) for n in range(34, 14, -1)}
+_CARD_ENDS = [re.compile(rf"\d(?:[ -]?\d){{{n - 1}}}(?!\d)", re.ASCII) for n in range(19, 12, -1)]
+_IBAN_ENDS = {n: re.compile(_iban_form(n), re.ASCII) for n in range(34, 14, -1)}
 
 
 def _ends(kind: str, m: re.Match) -> Iterator[str]:
@@ -249,10 +256,8 @@ def _ends(kind: str, m: re.Match) -> Iterator[str]:
             yield found[0]
 
 
-_COMPILED = [(kind, re.compile(form), make) for kind, form, make in KINDS]
-_ANY = re.compile(r"[0-9@]|(?:password|passwd|pwd|token|secret|api_?key)\s?[=:]")
-#: a name before an at sign has this many characters at most; what is longer is no address
-_NAME = 64
+_COMPILED = [(kind, re.compile(form, re.ASCII), make) for kind, form, make in KINDS]
+_ANY = re.compile(r"[0-9@]|(?i:password|passwd|pwd|token|secret|api_?key)\s?[=:]")
 
 
 def pseudonymise(text: str, keyed: Keyed) -> tuple[str, list[tuple[str, int, int]]]:
@@ -273,24 +278,18 @@ def pseudonymise(text: str, keyed: Keyed) -> tuple[str, list[tuple[str, int, int
     return ("".join([*out, text[done:]]), spans) if spans else (text, spans)
 
 
-_NUMBER = re.compile(r"(?<![A-Za-z0-9.+@])(?:\+(?=\d)|\((?=\d{3}\))|(?=\d))|(?<![A-Za-z0-9])(?=[A-Z]{2}\d\d|A[KS]IA)")
-_WORD = re.compile(r"(?:password|passwd|pwd|token|secret|api_key|apikey)\s?[=:]")
-_BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_NUMBER = re.compile(r"(?<![A-Za-z0-9.+@])(?:\+(?=\d)|\((?=\d{3}\))|(?=\d))|(?<![A-Za-z0-9])(?=[A-Z]{2}\d\d|A[KS]IA)", re.ASCII)
+_WORD = re.compile(r"(?i:password|passwd|pwd|token|secret|api_key|apikey)\s?[=:]")
+#: what stands before an at sign, from its first letter or digit on
+_BEFORE_AT = re.compile(r"(?<![A-Za-z0-9._%+-])[._%+-]*+(?=([A-Za-z0-9][A-Za-z0-9._%+-]*+)@)")
 
 
 def _starts(text: str) -> list[int]:
     """Places where something may begin, in order."""
     found = {m.start() for m in _NUMBER.finditer(text)}
     found |= {m.start() for m in _WORD.finditer(text) if not (m.start() and text[m.start() - 1].isalpha())}
-    at = text.find("@")
-    while at >= 0:
-        name = _BEFORE_AT.search(text[max(at - _NAME, 0) : at])
-        if name:
-            start = at - len(name[0])
-            while start < at and not text[start].isalnum():
-                start += 1
-            found.add(start)
-        at = text.find("@", at + 1)
+    if "@" in text:
+        found |= {m.start(1) for m in _BEFORE_AT.finditer(text)}
     return sorted(found)
 
 
@@ -298,7 +297,7 @@ def with_pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     """(doc_id, text, n_values, spans): one row for each row of ``docs``, its whole text with what is personal replaced.
 
     ``spans`` tells kind, start and end (code points of the text as it was). A null text stays null and has no spans; an empty one
-    is empty. Each row is handled by itself, so repeated rows give equal results; an empty table gives no rows. Other columns are not looked at.
+    is empty; bytes that are not UTF-8 are read as U+FFFD. A very long text is read once, from end to end. Digits are ASCII digits. Each row is handled by itself, so repeated rows give equal results; an empty table gives no rows. Other columns are not looked at.
     The key is the caller's to keep: it goes to tasks in the function, and into no result.
     """
 
@@ -315,6 +314,6 @@ def with_pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
                 ["doc_id", "text", "n_values", "spans"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.make_valid_utf8(F.col(text_col).cast("string")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text string, n_values long, spans array<struct<kind:string,start:int,end:int>>")

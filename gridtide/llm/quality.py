@@ -2,8 +2,9 @@
 
 Each byte has a learned vector; learned filters run over windows of bytes with a stride; windows are grouped in chunks that overlap by what a window
 reaches over, and cover the whole text; each filter's largest response in a chunk is kept. The mean and the maximum over chunks go into one
-logistic unit. Training is Adam on labelled chunks, on the driver: at most ``PER_CLASS`` rows of each label, ``CHUNKS`` chunks of each, chosen
-by hash, so what is collected is bounded (24 MB with the defaults). Scoring reads every byte of every text, in tasks, a piece at a time.
+logistic unit. Training has two steps, both on at most ``PER_CLASS`` rows of each label, chosen by hash. Vectors and filters are learned by Adam on the
+driver, from ``CHUNKS`` chunks of each row, so what is collected is bounded (24 MB with the defaults). The logistic unit is then fitted to the mean and
+maximum over all chunks of these rows, which tasks compute as in scoring. Scoring reads every byte of every text, in tasks, a piece at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import release, ship
+from gridtide.llm.common import release, ship, stage
 from gridtide.operators.layout import small_copy
 
 PER_CLASS = 1500
@@ -25,6 +26,8 @@ WIDTH, STRIDE, PER_CHUNK = 12, 2, 252
 FILTERS, DEPTH = 32, 4
 EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.01, 1e-5
 SEED = 7
+#: how strongly the second step holds to the first
+RIDGE = 1e-3
 THRESHOLD = 0.3
 #: bytes of a chunk, and from one chunk to the next
 CHUNK_BYTES, CHUNK_STEP = (PER_CHUNK - 1) * STRIDE + WIDTH, PER_CHUNK * STRIDE
@@ -56,9 +59,12 @@ class Network:
             out.append(np.maximum.reduceat(responses, range(0, len(responses), PER_CHUNK), axis=0))
         return np.maximum(np.concatenate(out), 0)
 
-    def score(self, data: bytes) -> float:
+    def features(self, data: bytes) -> np.ndarray:
         pooled = self.pooled(data)
-        z = float(np.concatenate([pooled.mean(axis=0), pooled.max(axis=0)]) @ self.combine + self.bias)
+        return np.concatenate([pooled.mean(axis=0), pooled.max(axis=0)])
+
+    def score(self, data: bytes) -> float:
+        z = float(self.features(data) @ self.combine + self.bias)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -139,6 +145,30 @@ def fit(docs: list[list[bytes]], labels: np.ndarray, weights: np.ndarray, epochs
     return Network(params["embedding"], params["filters"], params["shift"], params["combine"], float(params["bias"][0]))
 
 
+def refit(net: Network, features: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = RIDGE, steps: int = 25) -> Network:
+    """The network with a logistic unit fitted to the features of whole texts, by Newton steps from the one it has."""
+    x = np.column_stack([features, np.ones(len(features))]).astype(np.float64)
+    start = np.append(net.combine, net.bias).astype(np.float64)
+    unit, weights = start.copy(), weights / weights.sum()
+    scale = np.append((weights @ x[:, :-1] ** 2) + 1e-6, 0.0)
+
+    def loss(u: np.ndarray) -> float:
+        z = x @ u
+        return float(weights @ (np.logaddexp(0, z) - labels * z) + ridge / 2 * scale @ (u - start) ** 2)
+
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ unit, -30, 30)))
+        slope = x.T @ (weights * (p - labels)) + ridge * scale * (unit - start)
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + np.diag(ridge * scale + 1e-9)
+        step, size, now = np.linalg.solve(bend, slope), 1.0, loss(unit)
+        while size > 1e-6 and loss(unit - size * step) > now:
+            size /= 2
+        if now - loss(unit - size * step) < 1e-9:
+            break
+        unit = unit - size * step
+    return Network(net.embedding, net.filters, net.shift, unit[:-1].astype(np.float32), float(unit[-1]))
+
+
 def constant(share: float) -> Network:
     """What there is without labels of both kinds: one probability."""
     zero = np.zeros
@@ -160,7 +190,7 @@ def train(
 
     Of each label, the ``per_class`` rows whose ids have the smallest hashes are used, weighted to the label's share of all labelled rows. A row
     with several labels counts with the largest one; null labels and ids are left out. Without rows of both labels, the smoothed share of
-    label 1 is every text's probability.
+    label 1 is every text's probability. An id may come with any number of texts: of all texts of a label, too, the first ``per_class`` by hash are used.
     """
     ship(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -172,28 +202,49 @@ def train(
     for label in (0, 1):
         part = known.filter(F.col("_label") == label).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = part if picked is None else picked.union(part)
-    # at most two times per_class rows of an id and a label
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t")).join(
         small_copy(picked, 2 * per_class), F.col("id") == F.col("_id")
     )
+    chosen = chosen.select("id", "t", "_label", F.xxhash64("id", "t").alias("_order"))
+
+    def bounded(rows: DataFrame) -> list:
+        """Of each label, the first ``per_class`` rows: an id may have many."""
+        out = []
+        for label in (0, 1):
+            part = rows.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id", "place", "value")
+            out += part.limit(per_class).collect()
+        return out
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
             parts = [chunks(t.as_py()) for t in batch.column(1)]
             parts = [[p[i] for i in sorted({len(p) * j // CHUNKS for j in range(CHUNKS)})] for p in parts]
-            yield pa.record_batch(
-                [batch.column(0).cast(pa.string()), batch.column(2), pa.array(parts, pa.list_(pa.binary()))], ["id", "label", "chunks"]
-            )
+            yield pa.record_batch([*(batch.column(i) for i in (0, 2, 3)), pa.array(parts, pa.list_(pa.binary()))], names)
 
-    rows = chosen.select("id", "t", "_label").mapInArrow(cut, "id string, label int, chunks array<binary>").collect()
-    rows.sort(key=lambda r: (r.id, r.chunks))
+    names = ["id", "label", "place", "value"]
+    kinds = f"id {chosen.schema['id'].dataType.simpleString()}, label int, place long, value "
+    rows = bounded(stage(chosen.mapInArrow(cut, kinds + "array<binary>"), "labelled"))
+    rows.sort(key=lambda r: (str(r.id), r.value))
     used = np.bincount([r.label for r in rows], minlength=2)
     if not used.all():
         return constant((count.get(1, 0) + 1) / (sum(count.values()) + 2))
-    y = np.array([r.label for r in rows], np.float32)
-    weights = np.array([count[r.label] / used[r.label] for r in rows])
-    return fit([[bytes(c) for c in r.chunks] for r in rows], y, weights)
+
+    def weighed(rows: list) -> tuple[np.ndarray, np.ndarray]:
+        return np.array([r.label for r in rows], np.float32), np.array([count[r.label] / used[r.label] for r in rows])
+
+    net = fit([[bytes(c) for c in r.value] for r in rows], *weighed(rows))
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            found = [shared.value.features(t.as_py()).astype(np.float32).tolist() for t in batch.column(1)]
+            yield pa.record_batch([*(batch.column(i) for i in (0, 2, 3)), pa.array(found, pa.list_(pa.float32()))], names)
+
+    rows = bounded(stage(chosen.mapInArrow(whole, kinds + "array<float>"), "labelled-features"))
+    rows.sort(key=lambda r: (str(r.id), r.value))
+    return refit(net, np.array([r.value for r in rows], np.float32), *weighed(rows))
 
 
 def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -228,6 +279,7 @@ def keep_good(docs: DataFrame, network: Network, id_col: str = "doc_id", text_co
         release()
         net = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([net.score((t.as_py() or "").encode()) >= threshold for t in batch.column(at)], pa.bool_()))
+            texts = batch.column(at).cast(pa.binary())
+            yield batch.filter(pa.array([net.score(t.as_py() or b"") >= threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -97,3 +97,16 @@ def test_ranks_file():
     with open(PATH, "rb") as f:
         token, rank = f.readline().split()
     assert bpe.read_ranks(PATH)[base64.b64decode(token)] == int(rank)
+
+
+def test_long_pieces_are_not_kept(ranks, reference):
+    encoder = bpe.Encoder(ranks, P.PATTERN)
+    text = "short words and " + "x" * (bpe.KEPT_CHARS + 1) + " " + "y" * 5000
+    assert ids_of(encoder, text) == ids_of(encoder, text) == reference.encode_ordinary(text)
+    assert max(map(len, encoder.pieces)) <= bpe.KEPT_CHARS
+
+
+def test_broken_utf8(spark, ranks, reference):
+    rows = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text")
+    (r,) = bpe.encode(rows, ranks, P.PATTERN, decoded="decoded").select("ids", "decoded").collect()
+    assert r.ids == reference.encode_ordinary("a\ufffdb") and r.decoded == "a\ufffdb"

@@ -108,6 +108,11 @@ def test_operator(spark, table):
     assert got == sorted(((i, u, w, len(w)) for i, u, _, w in rows), key=str)
 
 
+def test_broken_utf8(spark):
+    rows = spark.sql("SELECT 1L AS page_id, 'u' AS url, CAST(X'3C703E61FF62' AS STRING) AS html")
+    assert [(r.text, r.n_chars) for r in h.main_text(rows).collect()] == [("a\ufffdb", 3)]
+
+
 def test_empty_table(spark):
     assert h.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

@@ -104,6 +104,31 @@ def test_names_and_secrets():
     assert put("bosbt.42@mail8.example.com") == re.search(r"\S+@\S+com", new)[0]
 
 
+def test_long_mail_names_go_whole():
+    new = put("to " + "a" * 70 + "@example.com, ..jo.b@x.org")
+    m = re.fullmatch(r"to ([a-z]{70})@example\.com, \.\.([a-z]{2})\.([a-z])@x\.org", new)
+    assert m and "aaaa" not in m[1] and put("a" * 64 + "@example.com")[:64] == m[1][:64]
+
+
+@pytest.mark.parametrize("text", ["Password: hunter22", "PASSWORD=abcdef9", "Token: x9y8z7w6", "password=ab-cd!efgh99", "Api_Key = 'k3.y9_z'"])
+def test_secrets_with_capitals_and_signs(text):
+    new = put(text + ".")
+    head = re.match(r"\w+\s?[=:]\s?'?", text)[0]
+    assert new != text + "." and new.startswith(head) and new.endswith(".")
+    assert [c if not c.isalnum() else "0" if c.isdigit() else "a" for c in new] == [c if not c.isalnum() else "0" if c.isdigit() else "a" for c in text + "."]
+
+
+def test_other_digits_are_left_alone():
+    for text in ("２０２０-01-01", "٢٠٢٠-01-01", "４１１１１１１１１１１１１１１１"):
+        assert put(text) == text
+
+
+def test_broken_utf8(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF2037302E312E322E33' AS STRING) AS text")
+    (r,) = ps.with_pseudonyms(rows, b"k").collect()
+    assert r.text == put("a\ufffd 70.1.2.3") and r.n_values == 1
+
+
 def test_spans_and_plain_text():
     text = "é 70.1.2.3 x"
     new, spans = ps.pseudonymise(text, KEYED)
@@ -122,5 +147,5 @@ def test_operator(odd_docs, no_docs):
 
 
 def test_long_texts_take_linear_time():
-    for part in ("1", "1 ", "a@", "AB12", "+1 (", "token=", "1.1.", "12-", "a.", "password"):
+    for part in ("1", "1 ", "a@", "AB12", "+1 (", "token=", "1.1.", "12-", "a.", "password", "Password=a1", "."):
         put(part * 30_000)

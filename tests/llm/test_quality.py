@@ -85,3 +85,36 @@ def test_without_labels(spark, odd_docs, no_docs):
     ones = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 1, 0), (7, 1, 1), (7, 1, 1)], "doc_id long, quality int, toxic int")
     assert quality.train(odd_docs, ones).score(b"x") > 0.5
     assert quality.scored(no_docs, quality.constant(0.5)).count() == 0
+
+
+def test_repeated_ids_are_collected_within_the_bound(spark, monkeypatch):
+    rows = [(i, f"text {n} of many {'!' * i}") for i in (1, 2) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda chunks, y, w: seen.append((len(chunks), y.tolist())) or fit(chunks, y, w, epochs=1))
+    quality.train(docs, labels, per_class=5)
+    assert seen == [(10, seen[0][1])] and sorted(seen[0][1]) == [0.0] * 5 + [1.0] * 5
+
+
+def test_the_unit_is_fitted_to_whole_texts():
+    """Where the maximum over many chunks misleads a unit that has seen few of them, fitting it to all of them mends that."""
+    rng = np.random.default_rng(4)
+    net = quality.fit([[b"aaaa bbbb cccc dddd"] if i % 2 else [b"%%%% !!!! ++++ ####"] for i in range(64)], np.arange(64, dtype=np.float32) % 2, np.ones(64), epochs=20)
+    texts = [bytes(rng.choice(list(b"abcd %!+"), 40_000)) + (b"" if i % 2 else b" %%%% !!!! ++++" * 2000) for i in range(40)]
+    y = np.arange(40, dtype=np.float32) % 2
+    features = np.array([net.features(t) for t in texts], np.float32)
+
+    def loss(n):
+        p = np.clip([n.score(t) for t in texts], 1e-9, 1 - 1e-9)
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    new = quality.refit(net, features, y, np.ones(40))
+    assert loss(new) < loss(net) and loss(new) < 0.2
+    assert np.mean([(new.score(t) > 0.5) == label for t, label in zip(texts, y, strict=True)]) == 1
+
+
+def test_broken_utf8(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text")
+    assert quality.keep_good(rows, quality.constant(0.75)).count() == quality.scored(rows, quality.constant(0.75)).count() == 1
