@@ -18,7 +18,7 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,10 @@ KEPT_PAIRS = 25_000
 KEPT_PIECES = 220_000
 #: characters of a piece that is kept; longer ones are rare and are encoded anew
 KEPT_CHARS = 64
-#: bytes between looks at the number of states; characters that are cut into pieces at a time, or more up to a place to cut
-STRIDE, SLICE = 1 << 12, 1 << 16
+#: bytes between looks at the number of states; characters whose pieces are encoded at a time, or more up to a place to cut
+STRIDE, SLICE = 1 << 12, 1 << 20
 #: bytes of text in a batch of results; ids that are decoded at a time
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 DECODE_IDS = 1 << 16
 #: white space as Unicode's White_Space has it (Python's \\s also has four control characters)
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -50,9 +50,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
-#: keys of a row that are no bytes
-STATE, END = -1, -2
-
 # the transducer
 
 
@@ -63,35 +60,40 @@ class Kept(dict):
         super().__init__()
         self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, key):
+    def keep(self, key, value) -> None:
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        self.keep(key, value)
         return value
 
 
-class Pieces(Kept):
-    """Pieces of text; long ones are not kept, so that what is kept is bounded in bytes, too."""
+BYTES = [bytes((i,)) for i in range(256)]
 
-    def __missing__(self, key):
-        return self.make(key) if len(key) > KEPT_CHARS else super().__missing__(key)
+
+def _named(pending: bytes, token: int) -> bytes:
+    return pending + token.to_bytes(4, "little", signed=True)
 
 
 class Transducer:
     """Encodes pieces of bytes.
 
-    A state holds the bytes since the last settled token and the nodes that paths of live positions go through: (position, token that ends
-    there, position before). The settled token itself is told apart only while it matters: while another token may start right after it, and
-    some merge could join the two.
+    A state holds the bytes since the last settled token and, for each position on a path of live ones, the token that ends there. The settled
+    token itself is told apart only while it matters: while another token may start right after it, and some merge could join the two. That
+    token and the bytes tell a state from all others. States are numbered by 256, so that a number with a byte added is the key of a step; the
+    tables hold numbers and bytes, which take little room and are not followed when Python looks for garbage.
     """
 
     def __init__(self, ranks: dict[bytes, int], kept_states: int = KEPT_STATES):
         self.ranks, self.kept = ranks, kept_states
         self.tokens = {i: t for t, i in ranks.items()}
+        self.sizes = {i: len(t) for t, i in ranks.items()}
         #: of what begins a longer token, the least rank of such tokens
         self.prefixes: dict[bytes, int] = {}
         for token, rank in ranks.items():
@@ -99,22 +101,30 @@ class Transducer:
                 begin = token[:n]
                 if self.prefixes.get(begin, rank) >= rank:
                     self.prefixes[begin] = rank
-        self.halves: dict[int, tuple[int, int] | None] = {}
-        self.alone: dict[int, bool] = {}
-        self.pairs = Kept(lambda pair: self._fits((pair >> 32) - 1, pair & 0xFFFFFFFF), KEPT_PAIRS)
-        self.weight = Kept(lambda pair: self._matters(pair >> 8, pair & 255), KEPT_PAIRS)
+        self.halves = Kept(self._halves, len(ranks))
+        self.alone = Kept(self._alone, len(ranks))
+        self.pairs = Kept(self._fits, KEPT_PAIRS)
+        self.weight = Kept(self._matters, KEPT_PAIRS)
         self._reset()
 
     def _reset(self) -> None:
-        #: a state's row: by byte, the row of the next state and the tokens that are settled, packed; under END, what is left, packed
-        self.rows: dict[tuple[bytes, bytes], dict] = {}
-        self.start = self._row((b"", array("i", (0, -1, 0)).tobytes()))
-
-    def _row(self, state: tuple[bytes, bytes]) -> dict:
-        row = self.rows.get(state)
-        if row is None:
-            row = self.rows[state] = {STATE: state}
-        return row
+        #: by number: the bytes of a state with the token before them in four more; the tokens that end at each position, None where there is no path
+        self.states: list[bytes] = []
+        self.ending: list[tuple] = []
+        self.numbers: dict[bytes, int] = {}
+        #: by state and byte: the next state, inverted if tokens are settled; these, packed; by state: what is left at the end, packed
+        self.moves: dict[int, int] = {}
+        self.settled: dict[int, bytes] = {}
+        self.ends: dict[int, bytes] = {}
+        self.start = self._number(_named(b"", -1), (-1,))
+
+    def _number(self, state: bytes, ending: tuple) -> int:
+        number = self.numbers.get(state)
+        if number is None:
+            number = self.numbers[state] = len(self.states) << 8
+            self.states.append(state)
+            self.ending.append(ending)
+        return number
 
     def merge(self, piece: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by its definition: the first of the pairs of lowest rank is merged, until no rank is below a limit."""
@@ -128,30 +138,27 @@ class Transducer:
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes a token; None of a byte."""
-        if token not in self.halves:
-            parts = self.merge(self.tokens[token], token)
-            self.halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
-        return self.halves[token]
+        parts = self.merge(self.tokens[token], token)
+        return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
 
     def _alone(self, token: int) -> bool:
         """Whether merging the bytes of a token gives the token."""
-        if token not in self.alone:
-            self.alone[token] = len(self.merge(self.tokens[token])) == 1
-        return self.alone[token]
+        return len(self.merge(self.tokens[token])) == 1
 
-    def _fits(self, left: int, right: int) -> bool:
+    def _fits(self, pair: int) -> bool:
         """Whether merging the bytes of two tokens gives these two; -1 stands for a left one that does not matter.
 
         Goes back in time from the two tokens: while two parts touch where the tokens meet, they must not have a rank that comes before the
         merge that took one of them away. Of equal ranks the left one is first.
         """
-        if not self._alone(right):
+        left, right = (pair >> 32) - 1, pair & 0xFFFFFFFF
+        if not self.alone[right]:
             return False
-        before = 1 << 60
+        before, ranks, tokens, halves = 1 << 60, self.ranks, self.tokens, self.halves
         while left >= 0:
-            if self.ranks.get(self.tokens[left] + self.tokens[right], before) < before:
+            if ranks.get(tokens[left] + tokens[right], before) < before:
                 return False
-            a, b = self._halves(left), self._halves(right)
+            a, b = halves[left], halves[right]
             if a and (not b or left > right):
                 before, left = left, a[1]
             elif b:
@@ -160,71 +167,73 @@ class Transducer:
                 break
         return True
 
-    def _matters(self, token: int, byte: int) -> bool:
+    def _matters(self, pair: int) -> bool:
         """Whether a token can fail to fit before some token that begins with a byte.
 
         It cannot if none of the parts that touch its end could merge with bytes from there on before it was taken away.
         """
-        before, byte = 1 << 60, bytes((byte,))
+        before, token, byte = 1 << 60, pair >> 8, BYTES[pair & 255]
         while True:
             begin = self.tokens[token] + byte
             if min(self.ranks.get(begin, before), self.prefixes.get(begin, before)) < before:
                 return True
-            halves = self._halves(token)
+            halves = self.halves[token]
             if not halves:
                 return False
             before, token = token, halves[1]
 
-    def _step(self, row: dict, byte: int) -> tuple[dict, bytes]:
+    def _step(self, state: int, byte: int) -> int:
         """Make the step of a state."""
-        pending, packed = row[STATE]
-        nodes = array("i", packed)
-        pending += bytes((byte,))
-        size, prefixes, tokens, starts, heads = len(pending), self.prefixes, {}, {}, [len(pending)]
-        for at, token, start in zip(nodes[::3], nodes[1::3], nodes[2::3], strict=True):
-            tokens[at], starts[at] = token, start
-            after = pending[at:]
-            if size not in tokens:
-                here = self.ranks.get(after)
-                if here is not None and self.pairs[token + 1 << 32 | here]:
-                    tokens[size], starts[size] = here, at
-            if after in prefixes:
-                heads.append(at)
-        if size not in tokens:
+        pending, ending = self.states[state >> 8][:-4] + BYTES[byte], [*self.ending[state >> 8], None]
+        size, ranks, prefixes, sizes, opened = len(pending), self.ranks, self.prefixes, self.sizes, []
+        for at in range(size):
+            token = ending[at]
+            if token is not None:
+                after = pending[at:]
+                if ending[size] is None:
+                    here = ranks.get(after)
+                    if here is not None and self.pairs[token + 1 << 32 | here]:
+                        ending[size] = here
+                if after in prefixes:
+                    opened.append(at)
+        if ending[size] is None:
             raise ValueError("the vocabulary lacks a byte or a merge")
         # from the live positions back to the last one that all their paths share: what is before that is settled
-        opened, used = heads[1:], []
-        while len(heads) > 1:
-            last = max(heads)
-            used.append(last)
-            heads.remove(last)
-            if starts[last] not in heads:
-                heads.append(starts[last])
-        root = at = heads[0]
-        settled = array("i")
-        while at:
-            settled.append(tokens[at])
-            at = starts[at]
-        settled.reverse()
-        pending, top = pending[root:], tokens[root]
+        heads, left, root = {size, *opened}, len(opened), size
+        made = [None] * (size + 1)
+        while left:
+            made[root] = token = ending[root]
+            if root - sizes[token] in heads:
+                left -= 1
+            else:
+                heads.add(root - sizes[token])
+            root -= 1
+            while root not in heads:
+                root -= 1
+        pending, top = pending[root:], ending[root]
         if top >= 0 and pending and not (root in opened and self.weight[top << 8 | pending[0]]):
             top = -1
-        nodes = array("i", (0, top, 0))
-        for at in reversed(used):
-            nodes.extend((at - root, tokens[at], starts[at] - root))
-        found = row[byte] = self._row((pending, nodes.tobytes())), settled.tobytes()
+        made[root] = top
+        found = self._number(_named(pending, top), tuple(made[root:]))
+        if root:
+            self.settled[state | byte] = self._path(ending, root)
+            found = ~found
+        self.moves[state | byte] = found
         return found
 
-    def _end(self, row: dict) -> bytes:
-        """The tokens of the bytes that are left."""
-        pending, packed = row[STATE]
-        nodes = array("i", packed)
-        tree, at, out = {nodes[i]: nodes[i + 1 : i + 3] for i in range(0, len(nodes), 3)}, len(pending), array("i")
+    def _path(self, ending: Sequence, at: int) -> bytes:
+        """The tokens up to a position, packed."""
+        out = array("i")
         while at:
-            token, at = tree[at]
-            out.append(token)
+            out.append(ending[at])
+            at -= self.sizes[ending[at]]
         out.reverse()
-        found = row[END] = out.tobytes()
+        return out.tobytes()
+
+    def _end(self, state: int) -> bytes:
+        """The tokens of the bytes that are left."""
+        ending = self.ending[state >> 8]
+        found = self.ends[state] = self._path(ending, len(ending) - 1)
         return found
 
     def encode(self, piece: bytes) -> bytes:
@@ -232,42 +241,121 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token, whether merges lead there or not
             return array("i", (whole,)).tobytes()
-        out, row = [], self.start
+        out, state = [], self.start
         for at in range(0, len(piece), STRIDE):
-            if len(self.rows) > self.kept:  # begin anew, from this state
-                state = row[STATE]
+            if len(self.states) > self.kept:  # begin anew, from this state
+                packed, ending = self.states[state >> 8], self.ending[state >> 8]
                 self._reset()
-                row = self._row(state)
+                state = self._number(packed, ending)
+            moves = self.moves
             for byte in piece[at : at + STRIDE]:
+                step = state | byte
                 try:
-                    row, settled = row[byte]
+                    state = moves[step]
                 except KeyError:
-                    row, settled = self._step(row, byte)
-                if settled:
-                    out.append(settled)
-        out.append(row[END] if END in row else self._end(row))
+                    state = self._step(state, byte)
+                if state < 0:
+                    state = ~state
+                    out.append(self.settled[step])
+        left = self.ends.get(state)
+        out.append(self._end(state) if left is None else left)
         return b"".join(out)
 
 
+    def encode_each(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of each piece, packed. The bytes with which it begins like the one before it are not gone through again: sorted pieces share most."""
+        last, moves = b"", None
+        for piece in pieces:
+            if piece in self.ranks or len(piece) > STRIDE:
+                yield self.encode(piece)
+                continue
+            if len(self.states) > self.kept:
+                self._reset()
+            if moves is not self.moves:  # emptied: no state from before holds
+                last, moves, trail, out = b"", self.moves, [self.start], []
+            same = 0
+            for a, b in zip(last, piece, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del trail[same + 1 :], out[same:]
+            state = trail[same]
+            for byte in piece[same:]:
+                step = state | byte
+                try:
+                    state = moves[step]
+                except KeyError:
+                    state = self._step(state, byte)
+                if state < 0:
+                    state = ~state
+                    out.append(self.settled[step])
+                else:
+                    out.append(b"")
+                trail.append(state)
+            left, last = self.ends.get(state), piece
+            yield b"".join(out) + (self._end(state) if left is None else left)
+
+
 class Encoder:
-    """Texts to ids. Keeps the ids of pieces, packed."""
+    """Texts to ids. Keeps the ids of pieces, packed; long pieces are not kept, so that what is kept is bounded in bytes, too."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
+        self.vocabulary = Vocabulary(self.transducer.tokens)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         # a space between two characters that are not white space always begins a piece, and what follows does not depend on what is before
         self.cut = re.compile(f" (?=[^{SPACE}])(?<=[^{SPACE}] )")
-        self.pieces = Pieces(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
+        self.pieces = Kept(None, KEPT_PIECES)
 
     def encode(self, text: str) -> bytes:
         """The ids, four bytes each."""
-        out, at = [], 0
-        while at < len(text):
-            end = self.cut.search(text, at + SLICE) if len(text) - at > SLICE else None
-            end = end.start() if end else len(text)
-            out.append(b"".join(map(self.pieces.__getitem__, self.pattern.findall(text, at, end))))
-            at = end
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text, four bytes each. Pieces are looked up, and new ones encoded in sorted order, about ``SLICE`` characters at a time."""
+        out, pieces, ends, size = [[] for _ in texts], [], [], 0
+        for i, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                end = self.cut.search(text, at + SLICE - size) if len(text) - at > SLICE - size else None
+                end = end.start() if end else len(text)
+                pieces += self.pattern.findall(text, at, end)
+                ends.append((i, len(pieces)))
+                at, size = end, size + end - at
+                if size >= SLICE:
+                    self._encode(pieces, ends, out)
+                    pieces, ends, size = [], [], 0
+        self._encode(pieces, ends, out)
+        return [b"".join(parts) for parts in out]
+
+    def _encode(self, pieces: list[str], ends: list[tuple[int, int]], out: list[list[bytes]]) -> None:
+        """Puts the ids of pieces to the texts that they are of."""
+        if not pieces:
+            return
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        names, older = coded.dictionary.to_pylist(), self.pieces.older
+        found = list(map(self.pieces.get, names))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i in new:
+            found[i] = older.get(names[i])
+        unknown = sorted((names[i].encode(), i) for i in new if found[i] is None)
+        for (_, i), ids in zip(unknown, self.transducer.encode_each(piece for piece, _ in unknown), strict=True):
+            found[i] = ids
+        for i in new:
+            if len(names[i]) <= KEPT_CHARS:
+                self.pieces.keep(names[i], found[i])
+        offsets, ids = _buffers(pa.array(found, pa.large_binary()).take(coded.indices))
+        start = 0
+        for i, end in ends:
+            out[i].append(ids[offsets[start] : offsets[end]])
+            start = end
+
+
+def _buffers(values: pa.LargeBinaryArray) -> tuple[np.ndarray, bytes]:
+    """Offsets and all bytes of an array that Arrow has just made."""
+    _, offsets, data = values.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(values) + 1)
+    return offsets, data[: offsets[-1]].to_pybytes()
 
 
 # decoding
@@ -323,12 +411,23 @@ class Utf8Stream:
         return out
 
 
-def decode_ids(ids: Sequence[int], tokens: dict[int, bytes]) -> str:
+class Vocabulary:
+    """Bytes of tokens by id."""
+
+    def __init__(self, tokens: dict[int, bytes]):
+        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.large_binary())
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        taken = self.tokens.take(pa.array(ids))
+        if taken.null_count:
+            raise ValueError("an id stands for no token")
+        return _buffers(taken)[1]
+
+
+def decode_ids(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of ids, a limited number of them at a time."""
     stream = Utf8Stream()
-    return "".join(
-        stream.feed(b"".join(map(tokens.__getitem__, ids[at : at + DECODE_IDS]))) for at in range(0, len(ids), DECODE_IDS)
-    ) + stream.end()
+    return "".join(stream.feed(vocabulary.joined(ids[at : at + DECODE_IDS])) for at in range(0, len(ids), DECODE_IDS)) + stream.end()
 
 
 # operators
@@ -358,11 +457,11 @@ def encode(
         encoder = kept(key, lambda: Encoder(*shared.value))
         for batch in batches:
             for part in sliced(batch, at):
-                packed = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in part.column(at).cast(pa.binary())]
+                packed = encoder.encode_all([(t.as_py() or b"").decode("utf-8", "replace") for t in part.column(at).cast(pa.binary())])
                 offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
                 columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))]
                 if decoded is not None:
-                    columns.append(pa.array([decode_ids(array("i", p), encoder.transducer.tokens) for p in packed], pa.string()))
+                    columns.append(pa.array([decode_ids(np.frombuffer(p, "<i4"), encoder.vocabulary) for p in packed], pa.string()))
                 yield pa.record_batch([*part.columns, *columns], [*part.schema.names, *names])
 
     made = [T.StructField(into, T.ArrayType(T.IntegerType())), T.StructField(decoded or "", T.StringType())]
@@ -378,11 +477,11 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", into: s
     at = df.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = kept(key, lambda: {i: t for t, i in shared.value.items()})
+        vocabulary = kept(key, lambda: Vocabulary({i: t for t, i in shared.value.items()}))
         for batch in batches:
             for part in sliced(batch, at):
-                rows = (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else [] for x in part.column(at))
-                texts = pa.array([decode_ids(ids, tokens) for ids in rows], pa.string())
+                rows = (x.values.to_numpy(zero_copy_only=False) if x.is_valid else [] for x in part.column(at))
+                texts = pa.array([decode_ids(ids, vocabulary) for ids in rows], pa.string())
                 yield pa.record_batch([*part.columns, texts], [*part.schema.names, into])
 
     return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(into, T.StringType())]))

@@ -1,9 +1,11 @@
 import base64
+import gc
 import hashlib
 import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -110,3 +112,26 @@ def test_broken_utf8(spark, ranks, reference):
     rows = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text")
     (r,) = bpe.encode(rows, ranks, P.PATTERN, decoded="decoded").select("ids", "decoded").collect()
     assert r.ids == reference.encode_ordinary("a\ufffdb") and r.decoded == "a\ufffdb"
+
+
+def test_many_texts_at_once(ranks, reference, monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aeiounrst  é.\n") for _ in range(rng.randrange(90))) for _ in range(400)] + ["", "x" * 9000, "ends"]
+    want = [reference.encode_ordinary(t) for t in texts]
+    for kept, size in ((10**6, 1 << 20), (40, 1000), (10**6, 1)):
+        monkeypatch.setattr(bpe, "SLICE", size)
+        encoder = bpe.Encoder(ranks, P.PATTERN)
+        encoder.transducer.kept = kept
+        assert [np.frombuffer(ids, "<i4").tolist() for ids in encoder.encode_all(texts)] == want
+
+
+def test_tables_are_not_followed_for_garbage(ranks):
+    encoder = bpe.Encoder(ranks, P.PATTERN)
+    encoder.encode("some inventive wordlings that are no tokens")
+    for table in (encoder.transducer.moves, encoder.transducer.numbers, encoder.transducer.settled, encoder.pieces):
+        assert table and not any(map(gc.is_tracked, table.values()))
+
+
+def test_batches_of_results_are_small(ranks):
+    (batch,) = pa.Table.from_pydict({"t": ["x" * 100_000] * 40}).to_batches()
+    assert max(part.num_rows for part in bpe.sliced(batch, 0)) * 100_000 <= 2 << 20
