@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gridtide.operators.layout import _BUCKET
 from gridtide.sources import readers
 from gridtide.sources.records import records
 
@@ -80,3 +81,13 @@ def test_header_is_checked_and_empty_files_are_read(spark, tmp_path):
     empty.mkdir()
     (empty / "e.csv").write_text("")
     assert readers.read_observations(spark, str(empty), DDL, multi_line=True).count() == 0
+
+
+def test_lines_of_a_range_meet_without_another_shuffle(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_text("id,text,v\n" + "".join(f'{i},"a\nb",1\n' for i in range(40)))
+    plan = records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    texts = [line for line in plan.splitlines() if "collect_list" in line]
+    # first by file, range and record; by file and record only what is cut by a range's end
+    assert any("_gt_at" in line for line in texts) and all("_gt_at" not in line or _BUCKET in line.split("collect_list")[0] for line in texts), texts
+    got = records(spark, str(tmp_path)).collect()
+    assert sorted(r.record for r in got) == sorted(["id,text,v"] + [f'{i},"a\nb",1' for i in range(40)])
