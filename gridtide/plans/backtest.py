@@ -8,14 +8,16 @@ import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtide.operators.metrics import mae
 from gridtide.operators.ordering import best_row, sort_by, top_k
 from gridtide.plans.model import regressor
+from gridtide.session import scratch
 from gridtide.sources.readers import exists
 from gridtide.spec import BacktestSpec
 
@@ -30,6 +32,9 @@ SPACE = (
     {"name": "feature_fraction", "low": 0.1, "high": 0.75, "kind": "float"},
 )
 
+#: tasks for each core at which more fits side by side would only take memory
+TASKS = 4
+
 
 def fold_error(df: DataFrame, estimator: Estimator, label: str, fold: int) -> float:
     """MAE on ``block = fold`` of a model fitted on all earlier blocks (see ``expanding_folds``)."""
@@ -40,14 +45,22 @@ def fold_error(df: DataFrame, estimator: Estimator, label: str, fold: int) -> fl
 def _fold_errors(
     df: DataFrame, estimators: Sequence[Estimator], label: str, k: int, parallel: int
 ) -> list[list[float]]:
-    """Errors per estimator and fold. Fits run side by side: a fit is many short jobs, which leave the cluster idle alone."""
+    """Errors per estimator and fold. Fits run side by side: a fit is many short jobs, which leave the cluster idle alone.
+
+    Each holds its rows in memory, so there are only as many (two at least) as give each core ``TASKS`` tasks to work off.
+    """
     jobs = [(e, fold) for e in estimators for fold in range(1, k + 1)]
+    parallel = min(parallel, _side_by_side(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
     run = inheritable_thread_target(df.sparkSession)(lambda job: fold_error(df, job[0], label, job[1]))
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(jobs)))) as pool:
         errors = list(pool.map(run, jobs))
     return [errors[i * k : (i + 1) * k] for i in range(len(estimators))]
 
 
+def _side_by_side(cores: int, parts: int) -> int:
+    return max(2, math.ceil(TASKS * cores / max(1, parts)))
+
+
 def _mean(errors: Sequence[float]) -> float:
     return sum(errors) / len(errors)
 
@@ -58,12 +71,31 @@ def _std(errors: Sequence[float]) -> float:
     return math.sqrt(sum((e - m) ** 2 for e in errors) / len(errors))
 
 
-def _cached(df: DataFrame, label: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """The rows that belong to a fold, computed once for all fits. Lost parts are recomputed, or read again from disk."""
+def _assembly(estimator: Estimator) -> tuple[tuple | None, VectorAssembler | None, Estimator]:
+    """The assembly of features that a pipeline begins with (its settings, and itself), and what is left to fit."""
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else []
+    if len(stages) < 2 or not isinstance(stages[0], VectorAssembler):
+        return None, None, estimator
+    head = stages[0]
+    return (tuple(head.getInputCols()), head.getOutputCol(), head.getHandleInvalid()), head, Pipeline(stages=stages[1:])
+
+
+def _fold_rows(
+    df: DataFrame, estimators: Sequence[Estimator], label: str, cols: Sequence[str] | None = None
+) -> tuple[DataFrame, list[Estimator]]:
+    """The rows that belong to a fold, written once by block: a fit reads its blocks only, and memory is left to the fits.
+
+    If all estimators begin with the same assembly of features, it is done here, once, and the estimators come without it.
+    """
     cols = [c for c in (cols if cols is not None else df.columns) if c not in (label, "block")]
     rows = df.select(*cols, F.col(label).cast("double").alias(label), "block")
     rows = rows.filter(F.col(label).isNotNull() & F.col("block").isNotNull())
-    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = [_assembly(e) for e in estimators]
+    if len({settings for settings, _, _ in parts}) == 1 and parts[0][1] is not None:
+        rows, estimators = parts[0][1].transform(rows), [rest for _, _, rest in parts]
+    path = scratch(df.sparkSession, "folds")
+    rows.write.partitionBy("block").parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path), list(estimators)
 
 
 def backtest(
@@ -76,13 +108,9 @@ def backtest(
 ) -> DataFrame:
     """One row per fold (``fold``, ``mae``) with the mean and population std of all folds beside it.
 
-    Name the ``features`` to cache these columns only.
+    Name the ``features`` to write these columns only.
     """
-    rows = _cached(df, label, features)
-    try:
-        errors = _fold_errors(rows, [estimator], label, k, parallel)[0]
-    finally:
-        rows.unpersist()
+    errors = _fold_errors(*_fold_rows(df, [estimator], label, features), label, k, parallel)[0]
     out = [(i, e, _mean(errors), _std(errors)) for i, e in enumerate(errors, 1)]
     return df.sparkSession.createDataFrame(out, "fold INT, mae DOUBLE, cv_mean DOUBLE, cv_std DOUBLE")
 
@@ -119,22 +147,18 @@ def sweep(
 ) -> DataFrame:
     """Random search over the folds of ``df`` (with ``block``); one row per trial.
 
-    Only the feature, label and block columns are cached, once for all fits; trials and folds run side by side. With
+    Only the feature, label and block columns are written, once for all fits; trials and folds run side by side. With
     ``path`` the trials are appended to that table and numbering goes on from the study's earlier trials.
     """
     spark = df.sparkSession
     first = trials_table(spark, path, study).count() if path and exists(spark, path) else 0
     draws = sample_params(space, n_trials, seed, first)
     make = estimator_fn or (lambda params: regressor(features, label, params, seed))
-    rows = _cached(df, label, features)
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", UserWarning)
         estimators = [make(params) for params in draws]
-    try:
-        errors = _fold_errors(rows, estimators, label, k, parallel)
-    finally:
-        rows.unpersist()
+    errors = _fold_errors(*_fold_rows(df, estimators, label, features), label, k, parallel)
     done = [
         (first + i, _mean(e), {p: float(v) for p, v in params.items()}, e, _std(e), study)
         for i, (params, e) in enumerate(zip(draws, errors, strict=True))

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from gridtide.functions.dates import add_date_features
@@ -178,6 +179,33 @@ def test_backtest_and_sweep(spark, features, tmp_path):
     folds.unpersist()
 
 
+def test_features_of_a_sweep_are_assembled_once(spark, features, monkeypatch):
+    """All fits read the same assembled rows, by block, and err as whole pipelines do on the rows of their folds."""
+    made, spec = features
+    folds = expanding_folds(made, spec, 3).persist()
+    estimators = [regressor(FEATURES, "target", {**TREES, "num_trees": n}) for n in (2, 3)]
+    assembled, seen, transform, error = [], [], VectorAssembler._transform, bt.fold_error
+    monkeypatch.setattr(VectorAssembler, "_transform", lambda self, df: assembled.append(1) or transform(self, df))
+    monkeypatch.setattr(bt, "fold_error", lambda df, *job: seen.append(df) or error(df, *job))
+    rows, fitted = bt._fold_rows(folds, estimators, "target", FEATURES)
+    got = bt._fold_errors(rows, fitted, "target", 3, 2)
+    assert len(assembled) == 1 and len(seen) == 6
+    assert rows.count() == folds.filter("target IS NOT NULL AND block IS NOT NULL").count()
+    raw = rows.drop("features")
+    want = [[error(raw, e, "target", fold) for fold in (1, 2, 3)] for e in estimators]
+    assert got == [pytest.approx(e, rel=1e-9) for e in want]
+    assert "PartitionFilters: [isnotnull(block" in rows.filter("block < 2")._jdf.queryExecution().executedPlan().toString()
+    # another assembly for each: nothing is shared, and raw columns stay
+    apart = [regressor(FEATURES[:n], "target", TREES) for n in (2, 3)]
+    rows, fitted = bt._fold_rows(folds, apart, "target", FEATURES)
+    assert fitted == apart and set(rows.columns) == {*FEATURES, "target", "block"}
+    folds.unpersist()
+
+
+def test_fits_side_by_side():
+    assert [bt._side_by_side(12, parts) for parts in (0, 1, 12, 16, 24, 1000)] == [48, 48, 4, 3, 2, 2]
+
+
 def test_sampled_parameters():
     a = bt.sample_params(bt.SPACE, 50, seed=3)
     assert a == bt.sample_params(bt.SPACE, 50, seed=3) and a[10:] == bt.sample_params(bt.SPACE, 40, 3, first=10)
